@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedmetrics.plans import logs, oracle_logs
+from feedmetrics.plans import logs, oracle_logs, oracle_sensors, sensors
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -11,10 +11,12 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def queries():
     q = {}
     q.update(logs.QUERIES)
+    q.update(sensors.QUERIES)
     return q
 
 
 def oracle_sql():
     s = {}
     s.update(oracle_logs.SQL)
+    s.update(oracle_sensors.SQL)
     return s
