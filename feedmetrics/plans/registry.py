@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedmetrics.plans import logs, oracle_logs, oracle_sensors, sensors
+from feedmetrics.plans import feeds, logs, oracle_feeds, oracle_logs, oracle_sensors, sensors
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -12,6 +12,7 @@ def queries():
     q = {}
     q.update(logs.QUERIES)
     q.update(sensors.QUERIES)
+    q.update(feeds.QUERIES)
     return q
 
 
@@ -19,4 +20,5 @@ def oracle_sql():
     s = {}
     s.update(oracle_logs.SQL)
     s.update(oracle_sensors.SQL)
+    s.update(oracle_feeds.SQL)
     return s

@@ -40,15 +40,15 @@ def work_dir(spark: SparkSession) -> str:
     """Root of the shared folder for checkpoints and intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset (local tests) is a
-    private temporary folder created and registered on the session.
+    private temporary folder created. The folder is also registered as the checkpoint folder
+    of the SparkContext when none is.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="feedmetrics-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d) if not spark.sparkContext.getCheckpointDir() else None
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
