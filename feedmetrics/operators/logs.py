@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmetrics.functions.columns import classify_suffix
@@ -15,46 +15,56 @@ SERVICE_DEFAULT = "Web Service"
 CACHE_RULES = ((("HIT",), "HIT"), (("HIT1",), "HIT1"))
 CACHE_DEFAULT = "MISS"
 
-FIELD_COLUMNS = ("n_fields", "latency", "ip", "hit_status", "time_text", "zone", "content", "size_text", "size")
-
-
-def split_fields(df: DataFrame, col: str = "value", keep: bool = True) -> DataFrame:
-    """Split each line on single spaces and type the seven positional tokens.
-
-    Trailing spaces are dropped first (a split on ' ' keeps no trailing empty token in the
-    reference); inner double spaces give empty tokens, which make the line invalid.
-    Missing positions give NULL (``get``), bad numbers give NULL (``try_cast``).
+FIELD_COLUMNS = ("n_fields", "latency", "ip", "hit_status", "time_text", "zone", "content", "size_text", "size", "ok")
+
+
+def _typed(t: Column, with_time: bool) -> Column:
+    """Struct of typed fields from one token array ``t`` (a lambda variable)."""
+    lat = F.get(t, 0).try_cast("double")
+    status = F.get(t, 2)
+    size_text = F.get(t, 6)
+    size = F.when(size_text.rlike("^[0-9]+$"), size_text.try_cast("bigint"))
+    time_text = F.concat(F.get(t, 3), F.lit(" "), F.get(t, 4))
+    ok = F.coalesce((F.size(t) == 7) & (lat >= 0) & ~F.isnan(lat) & (size > 0) & (status != F.lit("-")),
+                    F.lit(False))
+    fields = [F.size(t).alias("n_fields"), lat.alias("latency"), F.get(t, 1).alias("ip"), status.alias("hit_status"),
+              time_text.alias("time_text"), F.get(t, 4).alias("zone"), F.get(t, 5).alias("content"),
+              size_text.alias("size_text"), size.alias("size"), ok.alias("ok")]
+    if with_time:
+        fields.append(log_time_ms(time_text).alias("ts_ms"))
+    return F.struct(*fields)
+
+
+def parse_log(df: DataFrame, col: str = "value", with_time: bool = True, keep: str = "all") -> DataFrame:
+    """Lines -> typed fields, ``ok`` (valid record, never NULL) and ``ts_ms`` (epoch ms or
+    NULL; only when ``with_time``). ``keep``: ``"all"``, ``"valid"`` or ``"invalid"`` lines.
+
+    Tokens: split on single spaces after dropping trailing spaces (a split on ' ' keeps no
+    trailing empty token in the reference); inner double spaces give empty tokens, which
+    make the line invalid. Missing positions give NULL (``get``), bad numbers NULL
+    (``try_cast``). Valid: 7 fields, latency a number >= 0, size all digits and > 0, status
+    not ``-``.
+
+    The typed record is produced by a generator (``inline``) over a one-element array, which
+    is empty for a line that is not kept. A plain filter on ``ok`` would be pushed below the
+    projection and repeat the split (and the line's whole derivation) once per field.
     """
-    toks = F.split(F.regexp_replace(F.col(col), " +$", ""), " ")
-    size_text = F.get(toks, 6)
-    typed = [
-        F.size(toks).alias("n_fields"),
-        F.get(toks, 0).try_cast("double").alias("latency"),
-        F.get(toks, 1).alias("ip"),
-        F.get(toks, 2).alias("hit_status"),
-        F.concat(F.get(toks, 3), F.lit(" "), F.get(toks, 4)).alias("time_text"),
-        F.get(toks, 4).alias("zone"),
-        F.get(toks, 5).alias("content"),
-        size_text.alias("size_text"),
-        F.when(size_text.rlike("^[0-9]+$"), size_text.try_cast("bigint")).alias("size"),
-    ]
-    base = [F.col(c) for c in df.columns] if keep else []
-    return df.select(*base, *typed)
-
-
-def validity(df: DataFrame) -> DataFrame:
-    """Adds boolean ``ok``: 7 fields, latency a number >= 0, size all digits and > 0,
-    status not ``-``. Never NULL."""
-    lat = F.col("latency")
-    cond = ((F.col("n_fields") == 7) & (lat >= 0) & ~F.isnan(lat)
-            & (F.col("size") > 0) & (F.col("hit_status") != F.lit("-")))
-    return df.withColumn("ok", F.coalesce(cond, F.lit(False)))
-
-
-def parse_log(df: DataFrame, col: str = "value") -> DataFrame:
-    """Lines -> typed fields + ``ok`` + ``ts_ms`` (epoch ms, NULL when unparseable)."""
-    out = validity(split_fields(df, col))
-    return out.withColumn("ts_ms", log_time_ms(F.col("time_text")))
+    cols = [F.col(c) for c in df.columns]
+    tmp = df.select(*cols, F.split(F.regexp_replace(F.col(col), " +$", ""), " ").alias("_toks"))
+    rec = _typed(F.col("_toks"), with_time)
+    if keep == "all":
+        rows = F.array(rec)
+    elif keep in ("valid", "invalid"):
+        ok = rec.getField("ok")
+        rows = F.when(ok if keep == "valid" else ~ok, F.array(rec))  # NULL array: no row
+    else:
+        raise ValueError(f"keep must be all, valid or invalid, not {keep!r}")
+    return tmp.select(*cols, F.inline(rows))
+
+
+def split_fields(df: DataFrame, col: str = "value") -> DataFrame:
+    """Typed positional fields only (see ``parse_log``)."""
+    return parse_log(df, col, with_time=False).drop("ok")
 
 
 def valid_records(df: DataFrame) -> DataFrame:

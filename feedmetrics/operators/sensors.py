@@ -74,7 +74,11 @@ def parse_envelope(df: DataFrame, schema: StructType, numeric_strings: str = "co
             fields.append((raw if isinstance(f.dataType, StringType) else coerce_numeric(raw, f.dataType)).alias(f.name))
     else:
         raise ValueError(f"numeric_strings must be 'coerce' or 'null', not {numeric_strings!r}")
-    return df.select(*[F.col(k) for k in keep], parsed).select(*[F.col(k) for k in keep], *fields)
+    # One JSON parse per message: the typed row comes out of a generator over a one-element
+    # array, so filters on its fields (e.g. a join's ``Time IS NOT NULL``) stay above it
+    # instead of being pushed down as a second ``from_json``.
+    tmp = df.select(*[F.col(k) for k in keep], parsed)
+    return tmp.select(*[F.col(k) for k in keep], F.inline(F.array(F.struct(*fields))))
 
 
 def split_malformed(df: DataFrame, schema: StructType, col: str = "value") -> tuple[DataFrame, DataFrame]:

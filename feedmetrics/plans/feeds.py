@@ -20,7 +20,7 @@ FEED_SCHEMA = "event_id bigint, ts string, user_id bigint, event_type string, va
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed rows (``events``), each to be published on the topic named by its type."""
-    return read_table(spark, sf_dir, "events")
+    return read_table(spark, sf_dir, "events", spread=True)
 
 
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:

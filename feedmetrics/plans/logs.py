@@ -15,12 +15,17 @@ CITY_FOR_TRAFFIC = "NATION_7"
 DOUBLE_SCALE = 6  # means are rounded so that summation order does not show
 
 
-def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs.parse_log(log_lines(read_table(spark, sf_dir, "events")))
+def parsed(spark: SparkSession, sf_dir: str, with_time: bool = False, keep: str = "all") -> DataFrame:
+    lines = log_lines(read_table(spark, sf_dir, "events", spread=True))
+    return logs.parse_log(lines, with_time=with_time, keep=keep)
 
 
-def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs.valid_records(parsed(spark, sf_dir))
+def valid(spark: SparkSession, sf_dir: str, with_time: bool = False) -> DataFrame:
+    return parsed(spark, sf_dir, with_time, keep="valid")
+
+
+def invalid(spark: SparkSession, sf_dir: str, with_time: bool = False) -> DataFrame:
+    return parsed(spark, sf_dir, with_time, keep="invalid")
 
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +43,7 @@ def log_fields(spark, sf_dir):
 
 
 def log_time(spark, sf_dir):
-    return parsed(spark, sf_dir).select("line_id", "ts_ms")
+    return parsed(spark, sf_dir, with_time=True).select("line_id", "ts_ms")
 
 
 def log_valid(spark, sf_dir):
@@ -46,7 +51,7 @@ def log_valid(spark, sf_dir):
 
 
 def log_invalid(spark, sf_dir):
-    return stats.count_rows(logs.invalid_records(parsed(spark, sf_dir)))
+    return stats.count_rows(invalid(spark, sf_dir))
 
 
 def _first10(df):
@@ -54,11 +59,11 @@ def _first10(df):
 
 
 def log_first10(spark, sf_dir):
-    return _first10(valid(spark, sf_dir))
+    return _first10(valid(spark, sf_dir, with_time=True))
 
 
 def bad_first10(spark, sf_dir):
-    return _first10(logs.invalid_records(parsed(spark, sf_dir)))
+    return _first10(invalid(spark, sf_dir, with_time=True))
 
 
 def service_counts(spark, sf_dir):

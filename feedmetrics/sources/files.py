@@ -9,9 +9,22 @@ DICTIONARY_SCHEMA = "ip string, region string, city string, isp string"
 DOCUMENT_SCHEMA = "value string"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's parquet tables (``{sf_dir}/{name}.parquet``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One of the driver's parquet tables (``{sf_dir}/{name}.parquet``).
+
+    ``spread=True``: when the scan yields fewer splits than the cluster has task slots (a
+    small or unsplittable file: one parquet row group is one split), spread the rows
+    round-robin over the slots before CPU-heavy per-row work. Large inputs already have
+    many splits and are left as they are, so this never adds a shuffle at scale. Filters
+    and column pruning still reach the scan through the repartition.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small(df) if spread else df
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
