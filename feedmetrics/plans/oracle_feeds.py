@@ -12,6 +12,6 @@ SQL = {
     "partition_slice": _PUBLISHED + "SELECT topic, partition, value FROM published WHERE partition = 0",
     "route_counts": _PUBLISHED + "SELECT topic, partition, count(*) AS records FROM published GROUP BY 1, 2",
     "malformed_split": """SELECT CASE event_type WHEN 'view' THEN 'AIR' WHEN 'click' THEN 'EARTH' ELSE 'WATER' END AS topic,
-           cast(count_if(event_id % 97 <> 0) AS bigint) AS good, cast(count_if(event_id % 97 = 0) AS bigint) AS bad
+           cast(count(*) FILTER (WHERE event_id % 97 <> 0) AS bigint) AS good, cast(count(*) FILTER (WHERE event_id % 97 = 0) AS bigint) AS bad
            FROM events WHERE event_type IN ('view', 'click', 'purchase') GROUP BY 1""",
 }

@@ -40,9 +40,9 @@ enriched AS (
               ELSE 'MISS' END AS cache_status
   FROM valid v LEFT JOIN dict d ON v.ip = d.ip),
 isp_counts AS (
-  SELECT isp, cast(count_if(cache_status = 'HIT') AS bigint) AS hit,
-         cast(count_if(cache_status = 'HIT1') AS bigint) AS hit1,
-         cast(count_if(cache_status = 'MISS') AS bigint) AS miss
+  SELECT isp, cast(count(*) FILTER (WHERE cache_status = 'HIT') AS bigint) AS hit,
+         cast(count(*) FILTER (WHERE cache_status = 'HIT1') AS bigint) AS hit1,
+         cast(count(*) FILTER (WHERE cache_status = 'MISS') AS bigint) AS miss
   FROM enriched GROUP BY isp),
 isp_rates AS (
   SELECT *, CASE WHEN hit + hit1 + miss = 0 THEN NULL
@@ -95,11 +95,11 @@ SQL = {
               FROM enriched WHERE latency IS NOT NULL) WHERE rn = (n + 1) // 2"""),
     "latency_top2": _w("""SELECT cast(row_number() OVER (ORDER BY latency DESC) AS integer) AS rank, latency FROM (
               SELECT latency FROM enriched WHERE latency IS NOT NULL ORDER BY latency DESC LIMIT 2)"""),
-    "cache_counts": _w("""SELECT cast(count_if(cache_status = 'HIT') AS bigint) AS hit,
-            cast(count_if(cache_status = 'HIT1') AS bigint) AS hit1,
-            cast(count_if(cache_status = 'MISS') AS bigint) AS miss FROM enriched"""),
+    "cache_counts": _w("""SELECT cast(count(*) FILTER (WHERE cache_status = 'HIT') AS bigint) AS hit,
+            cast(count(*) FILTER (WHERE cache_status = 'HIT1') AS bigint) AS hit1,
+            cast(count(*) FILTER (WHERE cache_status = 'MISS') AS bigint) AS miss FROM enriched"""),
     "cache_hit_rate": _w("""SELECT CASE WHEN count(*) = 0 THEN NULL ELSE
-            cast(count_if(cache_status <> 'MISS') AS double) / cast(count(*) AS double) END AS hit_rate
+            cast(count(*) FILTER (WHERE cache_status <> 'MISS') AS double) / cast(count(*) AS double) END AS hit_rate
             FROM enriched"""),
     "isp_cache": _w("SELECT isp, hit, hit1, miss, rate FROM isp_rates"),
     "best_isp": _w("SELECT isp, rate FROM isp_rates WHERE rate = (SELECT max(rate) FROM isp_rates)"),

@@ -64,7 +64,7 @@ flags AS (
     CASE WHEN Earth_pH < 5.5 OR Earth_pH > 7.0 THEN 1 ELSE 0 END AS Earth_pH_Out
   FROM report_input),
 stats AS (
-  SELECT cast(count_if(Air_Temperature_Out + Air_Moisture_Out + Earth_pH_Out >= 1) AS bigint) AS n,
+  SELECT cast(count(*) FILTER (WHERE Air_Temperature_Out + Air_Moisture_Out + Earth_pH_Out >= 1) AS bigint) AS n,
          max(Air_Temperature) AS Max_Air_Temperature, min(Air_Temperature) AS Min_Air_Temperature,
          max(Air_Moisture) AS Max_Air_Moisture, min(Air_Moisture) AS Min_Air_Moisture,
          max(Earth_pH) AS Max_Earth_pH, min(Earth_pH) AS Min_Earth_pH
@@ -105,11 +105,11 @@ SQL = {
            Max_Earth_pH, Min_Earth_pH FROM stats""",
     "range_report": _REPORT,
     "range_duration_events": """SELECT n AS minutes_out_of_range, n // 60 AS hours, n % 60 AS minutes FROM (
-           SELECT cast(count_if(value < 5.0 OR value > 40.0) AS bigint) AS n FROM events)""",
+           SELECT cast(count(*) FILTER (WHERE value < 5.0 OR value > 40.0) AS bigint) AS n FROM events)""",
     "range_stats_lineitem": """SELECT n AS minutes_out_of_range, n // 60 AS hours, n % 60 AS minutes,
            Max_l_quantity + 0.0 AS Max_l_quantity, Min_l_quantity + 0.0 AS Min_l_quantity,
            Max_l_discount + 0.0 AS Max_l_discount, Min_l_discount + 0.0 AS Min_l_discount FROM (
-           SELECT cast(count_if((CASE WHEN l_quantity < 5.0 OR l_quantity > 40.0 THEN 1 ELSE 0 END) +
+           SELECT cast(count(*) FILTER (WHERE (CASE WHEN l_quantity < 5.0 OR l_quantity > 40.0 THEN 1 ELSE 0 END) +
                                 (CASE WHEN l_discount < 0.02 OR l_discount > 0.08 THEN 1 ELSE 0 END) >= 1) AS bigint) AS n,
                   max(l_quantity) AS Max_l_quantity, min(l_quantity) AS Min_l_quantity,
                   max(l_discount) AS Max_l_discount, min(l_discount) AS Min_l_discount FROM lineitem)""",
