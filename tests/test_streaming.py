@@ -57,3 +57,23 @@ def test_run_all_raises_and_stops_others(spark, scratch):
     with pytest.raises(Exception):
         streaming.run_all([q1, q2], timeout=120)
     assert not q1.isActive
+
+
+def test_environment_application(spark, scratch):
+    """All sensor queries at once (means per topic + aligned documents), like the reference's
+    streaming job; results equal the batch queries."""
+    from feedmetrics.sources.files import read_documents
+    from feedmetrics.streaming.environment import start_environment_queries
+
+    sf = "/root/testdata/sf0.01"
+    ev = streaming.table_stream(spark, sf, "events")
+    topics = {t: sensor_messages(ev, t) for t in ("AIR", "EARTH", "WATER")}
+    qs = start_environment_queries(topics, scratch + "/out", scratch + "/chk", trigger=streaming.AVAILABLE_NOW)
+    assert set(qs) == {"means_air", "means_earth", "means_water", "documents"}
+    streaming.run_all(list(qs.values()), timeout=600)
+    docs = sensors.flatten(sensors.parse_document(read_documents(spark, scratch + "/out/documents")))
+    want = plans.report_input(spark, sf)
+    assert sorted(tuple(r) for r in docs.collect()) == sorted(tuple(r) for r in want.collect())
+    m = spark.read.parquet(scratch + "/out/means_earth").first().asDict()
+    b = sensors.running_means(plans.parse_earth(spark, sf), sensors.MEAN_COLUMNS["EARTH"]).first().asDict()
+    assert {k: round(v, 6) for k, v in m.items()} == {k: round(v, 6) for k, v in b.items()}
