@@ -108,15 +108,11 @@ def _stream_parsed(spark, sf_dir, topic):
     return parsed(spark, sf_dir, topic, events=ev)
 
 
-def _run(query) -> None:
-    streaming.run_all([query])
-
-
 def _stream_means(spark, sf_dir, topic):
     means = sensors.running_means(_stream_parsed(spark, sf_dir, topic), sensors.MEAN_COLUMNS[topic])
     path = fresh_path(spark, f"means-{topic.lower()}")
-    _run(streaming.start_sink(means, "table", path=path, checkpoint=path + "-checkpoint",
-                              trigger=streaming.AVAILABLE_NOW, output_mode="complete"))
+    streaming.run_available_now(means, "table", path, path + "-checkpoint", output_mode="complete",
+                                skip_final_cleanup=True)
     out = spark.read.parquet(path)
     return out.select(*[F.round(c, MEAN_SCALE).alias(c) for c in out.columns])
 
@@ -140,16 +136,15 @@ def _stream_aligned(spark, sf_dir):
 
 def align3_stream(spark, sf_dir):
     path = fresh_path(spark, "aligned")
-    _run(streaming.start_sink(_stream_aligned(spark, sf_dir), "parquet", path=path,
-                              checkpoint=path + "-checkpoint", trigger=streaming.AVAILABLE_NOW))
+    streaming.run_available_now(_stream_aligned(spark, sf_dir), "parquet", path, path + "-checkpoint",
+                                skip_final_cleanup=True)  # inner join: eviction emits nothing
     return spark.read.parquet(path)
 
 
 def doc_stream_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "documents-stream")
     docs = sensors.build_document(_stream_aligned(spark, sf_dir))
-    _run(streaming.start_sink(docs, "json", path=path, checkpoint=path + "-checkpoint",
-                              trigger=streaming.AVAILABLE_NOW))
+    streaming.run_available_now(docs, "json", path, path + "-checkpoint", skip_final_cleanup=True)
     return sensors.flatten(sensors.parse_document(read_documents(spark, path)))
 
 

@@ -61,6 +61,28 @@ def start_sink(df: DataFrame, kind: str, path: str | None = None, checkpoint: st
     raise ValueError(f"unknown sink kind {kind!r}")
 
 
+def run_available_now(df: DataFrame, kind: str, path: str, checkpoint: str, output_mode: str = "append",
+                      skip_final_cleanup: bool = False, **kw) -> None:
+    """Process everything available now, then stop (one-shot incremental run).
+
+    ``skip_final_cleanup=True`` leaves out the closing no-data micro-batch, whose only work
+    is evicting state below the watermark. That is safe only when eviction emits nothing
+    (inner joins, complete-mode aggregates): the next run evicts instead. Append-mode window
+    aggregates and outer joins must keep it.
+    """
+    spark = df.sparkSession
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key, "true")
+    if skip_final_cleanup:
+        spark.conf.set(key, "false")  # read once when the query starts
+    try:
+        q = start_sink(df, kind, path=path, checkpoint=checkpoint, trigger=AVAILABLE_NOW,
+                       output_mode=output_mode, **kw)
+    finally:
+        spark.conf.set(key, before)
+    run_all([q])
+
+
 def run_all(queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
     """Wait until every query ends; when one fails, stop the others and raise its error."""
     deadline = None if timeout is None else time.time() + timeout
