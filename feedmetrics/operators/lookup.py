@@ -7,19 +7,39 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dictionary is broadcast only when its row count is at most this (checked with a count of
-# the de-duplicated dictionary); beyond it the join is a shuffle join on the key, and AQE
+# A dictionary is broadcast only when a bounded probe shows at most this many rows and
+# about this many bytes; beyond either limit the join is a shuffle join on the key, and AQE
 # may still turn it into a broadcast join at run time from the measured shuffle size.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 5_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+def _payload_bytes(df: DataFrame) -> list:
+    """Per-row byte estimate: string and binary values by their length, other types by a
+    fixed 8 bytes (numbers, dates, flags)."""
+    out = []
+    for f in df.schema.fields:
+        name = f.dataType.simpleString()
+        if name in ("string", "binary"):
+            out.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+        else:
+            out.append(F.lit(8))
+    return out
 
-    The count runs on ``df`` only (a bounded job: ``df`` is the small side); it stops
-    counting early because it reads at most ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows and ``max_bytes`` of
+    payload, else ``df`` unchanged (the planner then shuffles both sides on the key).
+
+    The probe is one job over at most ``max_rows + 1`` rows of ``df`` (the small side)."""
+    width = None
+    for c in _payload_bytes(df):
+        width = c if width is None else width + c
+    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    n, b = probe["n"], probe["b"] or 0
+    ok = n <= max_rows and b <= max_bytes
+    return (F.broadcast(df), True) if ok else (df, False)
 
 
 def dedup_dictionary(dict_df: DataFrame, on: str, attrs: Sequence[str], on_duplicate: str = "error",
@@ -48,12 +68,13 @@ def dedup_dictionary(dict_df: DataFrame, on: str, attrs: Sequence[str], on_dupli
 def dictionary_lookup(df: DataFrame, dict_df: DataFrame, on: str = "ip",
                       attrs: Sequence[str] = ("region", "city", "isp"), default: str | None = "Unknown",
                       on_duplicate: str = "error", order_by: Sequence[str] | None = None,
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Left lookup of ``attrs`` by ``on``; rows without a match get ``default`` in every
     attribute. A matched row keeps its attributes as they are, NULL included."""
     d = dedup_dictionary(dict_df, on, attrs, on_duplicate, order_by)
     d = d.select(F.col(on), *[F.col(a).alias(f"_d_{a}") for a in attrs], F.lit(True).alias("_matched"))
-    d, _ = checked_broadcast(d, max_broadcast_rows)
+    d, _ = checked_broadcast(d, max_broadcast_rows, max_broadcast_bytes)
     j = df.join(d, on=on, how="left")
     out = [F.col(c) for c in df.columns if c not in attrs]
     for a in attrs:

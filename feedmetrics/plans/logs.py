@@ -106,17 +106,20 @@ def city_traffic(spark, sf_dir):
     return stats.traffic(enriched(spark, sf_dir), F.col("city") == F.lit(CITY_FOR_TRAFFIC))
 
 
+# Latency statistics read the valid records: the enrichment is a left join on unique
+# dictionary keys, so it keeps every valid record exactly once and adds nothing to latency.
+
 def latency_summary(spark, sf_dir):
-    s = stats.summary(enriched(spark, sf_dir), "latency")
+    s = stats.summary(valid(spark, sf_dir), "latency")
     return s.select(F.round("latency_mean", DOUBLE_SCALE).alias("latency_mean"), "latency_max", "latency_min")
 
 
 def latency_median(spark, sf_dir):
-    return stats.median_disc(enriched(spark, sf_dir), "latency")
+    return stats.median_disc(valid(spark, sf_dir), "latency")
 
 
 def latency_top2(spark, sf_dir):
-    return stats.kth_largest(enriched(spark, sf_dir), "latency", 2)
+    return stats.kth_largest(valid(spark, sf_dir), "latency", 2)
 
 
 def cache_counts(spark, sf_dir):

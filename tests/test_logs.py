@@ -91,6 +91,13 @@ def test_lookup_not_hinted_when_over_limit(spark):
                               "ip string, region string, city string, isp string")
     df, hinted = lookup.checked_broadcast(d, max_rows=1)
     assert not hinted
+    _, hinted = lookup.checked_broadcast(d, max_rows=10, max_bytes=20)   # 2 rows x ~22 bytes
+    assert not hinted
+    _, hinted = lookup.checked_broadcast(d, max_rows=10, max_bytes=100)
+    assert hinted
+    plan = lookup.dictionary_lookup(_records(spark), d, max_broadcast_rows=1)._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    assert "broadcast" not in plan.lower()
 
 
 @pytest.mark.parametrize("values,median,top2", [
