@@ -42,6 +42,40 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     return (F.broadcast(df), True) if ok else (df, False)
 
 
+def hot_keys(df: DataFrame, on: str, hot_fraction: float = 0.01, sample_fraction: float = 0.05,
+             seed: int = 17) -> list:
+    """Keys holding at least ``hot_fraction`` of the rows, estimated on a row sample.
+
+    At most ``1 / hot_fraction`` keys can qualify, so the result is bounded whatever the data
+    size; counting is a partial aggregate and only the top keys reach the driver."""
+    sample = df.select(on).where(F.col(on).isNotNull()).sample(fraction=sample_fraction, seed=seed)
+    total = sample.count()
+    if total == 0:
+        return []
+    limit = int(1 / hot_fraction)
+    top = (sample.groupBy(on).agg(F.count(F.lit(1)).alias("_c"))
+           .where(F.col("_c") >= F.lit(hot_fraction * total)).orderBy(F.col("_c").desc()).limit(limit))
+    return [r[0] for r in top.collect()]
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: str, how: str, keys: list, buckets: int = 32,
+                seed: int = 29) -> DataFrame:
+    """Equi-join on ``on`` that spreads each hot key over ``buckets`` tasks.
+
+    Rows of ``left`` with a hot key get a random salt in ``[0, buckets)``; the ``right`` rows of
+    hot keys are repeated once per salt; every other row has salt 0. Each left row still meets
+    exactly one copy of its right rows, so the result equals the plain join. ``right`` must be
+    the side with few rows per key (here: one dictionary row per key)."""
+    if not keys:
+        return left.join(right, on=on, how=how)
+    hot = F.col(on).isin(keys)
+    lsalt = F.when(hot, F.floor(F.rand(seed) * buckets).cast("int")).otherwise(F.lit(0))
+    rsalt = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0))))
+    l = left.withColumn("_salt", lsalt)
+    r = right.select("*", rsalt.alias("_salt"))
+    return l.join(r, on=[on, "_salt"], how=how).drop("_salt")
+
+
 def dedup_dictionary(dict_df: DataFrame, on: str, attrs: Sequence[str], on_duplicate: str = "error",
                      order_by: Sequence[str] | None = None) -> DataFrame:
     """One row per key.
@@ -69,13 +103,21 @@ def dictionary_lookup(df: DataFrame, dict_df: DataFrame, on: str = "ip",
                       attrs: Sequence[str] = ("region", "city", "isp"), default: str | None = "Unknown",
                       on_duplicate: str = "error", order_by: Sequence[str] | None = None,
                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+                      max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                      hot_fraction: float | None = 0.01, salt_buckets: int = 32) -> DataFrame:
     """Left lookup of ``attrs`` by ``on``; rows without a match get ``default`` in every
-    attribute. A matched row keeps its attributes as they are, NULL included."""
+    attribute. A matched row keeps its attributes as they are, NULL included.
+
+    A dictionary within the broadcast limits is broadcast (no shuffle of ``df``, hot keys
+    cost nothing extra). A larger one is a shuffle join; then keys of ``df`` holding at least
+    ``hot_fraction`` of its rows are salted over ``salt_buckets`` tasks (``None``: off)."""
     d = dedup_dictionary(dict_df, on, attrs, on_duplicate, order_by)
     d = d.select(F.col(on), *[F.col(a).alias(f"_d_{a}") for a in attrs], F.lit(True).alias("_matched"))
-    d, _ = checked_broadcast(d, max_broadcast_rows, max_broadcast_bytes)
-    j = df.join(d, on=on, how="left")
+    d, small = checked_broadcast(d, max_broadcast_rows, max_broadcast_bytes)
+    if small or hot_fraction is None:
+        j = df.join(d, on=on, how="left")
+    else:
+        j = salted_join(df, d, on, "left", hot_keys(df, on, hot_fraction), salt_buckets)
     out = [F.col(c) for c in df.columns if c not in attrs]
     for a in attrs:
         out.append(F.when(F.col("_matched").isNull(), F.lit(default)).otherwise(F.col(f"_d_{a}")).alias(a))
