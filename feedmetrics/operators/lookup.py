@@ -62,14 +62,17 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, how: str, keys: list
                 seed: int = 29) -> DataFrame:
     """Equi-join on ``on`` that spreads each hot key over ``buckets`` tasks.
 
-    Rows of ``left`` with a hot key get a random salt in ``[0, buckets)``; the ``right`` rows of
-    hot keys are repeated once per salt; every other row has salt 0. Each left row still meets
-    exactly one copy of its right rows, so the result equals the plain join. ``right`` must be
-    the side with few rows per key (here: one dictionary row per key)."""
+    Rows of ``left`` with a hot key get a salt in ``[0, buckets)`` from a hash of the whole row;
+    the ``right`` rows of hot keys are repeated once per salt; every other row has salt 0. Each
+    left row still meets exactly one copy of its right rows, so the result equals the plain
+    join. The salt is a pure function of the row, so a recomputed task after a lost executor
+    routes every row as before. ``right`` must be the side with few rows per key (here: one
+    dictionary row per key)."""
     if not keys:
         return left.join(right, on=on, how=how)
     hot = F.col(on).isin(keys)
-    lsalt = F.when(hot, F.floor(F.rand(seed) * buckets).cast("int")).otherwise(F.lit(0))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], F.lit(seed))
+    lsalt = F.when(hot, F.pmod(row_hash, F.lit(buckets)).cast("int")).otherwise(F.lit(0))
     rsalt = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0))))
     l = left.withColumn("_salt", lsalt)
     r = right.select("*", rsalt.alias("_salt"))
