@@ -14,10 +14,10 @@ from pyspark.sql.types import DataType
 
 
 def q(name: str) -> str:
-    """Quote a column name so dots (``PM2.5``) and alias prefixes are read literally.
+    """Back-quote a column name so a dot (``PM2.5``) is part of the name, not a field access.
 
-    ``q("PM2.5")`` -> "`PM2.5`"; ``q("air.Station")`` -> "`air`.`Station`" is *not* produced:
-    pass ``q("air") + "." + q("Station")`` for an alias-qualified name.
+    ``q("PM2.5")`` -> "`PM2.5`". An alias-qualified name is two quoted parts:
+    ``q("air") + "." + q("Station")``.
     """
     return "`" + name.replace("`", "``") + "`"
 

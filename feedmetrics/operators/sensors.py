@@ -42,9 +42,6 @@ REPORT_DOCUMENT_SCHEMA = StructType([
 ])
 REPORT_FIELDS = {"Air_Temperature": "Air.Temperature", "Air_Moisture": "Air.Moisture", "Earth_pH": "Earth.pH"}
 
-CORRUPT = "_corrupt_record"
-
-
 def safe_name(name: str) -> str:
     """Column-name form without dots: ``PM2.5`` -> ``PM2_5``."""
     return name.replace(".", "_")
@@ -81,15 +78,6 @@ def parse_envelope(df: DataFrame, schema: StructType, numeric_strings: str = "co
     return tmp.select(*[F.col(k) for k in keep], F.inline(F.array(F.struct(*fields))))
 
 
-def split_malformed(df: DataFrame, schema: StructType, col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(well-formed, malformed) messages. Malformed: NULL payload, or text that is not one
-    JSON object. Both sides keep the input columns; one parse serves both."""
-    s = StructType(_as_text(schema).fields + [StructField(CORRUPT, StringType(), True)])
-    tagged = df.withColumn("_bad", F.col(col).isNull() | F.from_json(
-        F.col(col).cast("string"), s, {"columnNameOfCorruptRecord": CORRUPT}).getField(CORRUPT).isNotNull())
-    return tagged.where(~F.col("_bad")).drop("_bad"), tagged.where(F.col("_bad")).drop("_bad")
-
-
 def prefixed(df: DataFrame, alias: str, on: Sequence[str]) -> DataFrame:
     """Rename every non-key column to ``<alias>_<name>`` (dots become underscores)."""
     return df.select(*[F.col(q(c)).alias(c if c in on else f"{alias}_{safe_name(c)}") for c in df.columns])

@@ -1,7 +1,6 @@
 """Access-log edge rows (literal tables) and the log operators."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from feedmetrics.operators import cache, logs, lookup, stats
 

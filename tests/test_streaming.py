@@ -1,6 +1,5 @@
 """Streams: equal to batch, restart from checkpoint without loss or duplicates."""
 
-import os
 
 from pyspark.sql import functions as F
 
