@@ -34,7 +34,9 @@ def start_sink(df: DataFrame, kind: str, path: str | None = None, checkpoint: st
 
     kind: ``json``/``parquet``/``csv``/``text`` (file sink, append), ``table`` (the whole
     result rewritten as parquet per micro-batch: for small complete-mode aggregates),
-    ``memory`` (driver memory: small results in tests only), ``console`` (preview).
+    ``kafka`` (publish ``topic, partition, key, value`` rows; pass
+    ``options={"kafka.bootstrap.servers": ...}``; needs the Kafka connector), ``memory``
+    (driver memory: small results in tests only), ``console`` (preview).
     Durable kinds need ``checkpoint``; it lives and dies with ``path``.
     """
     w = df.writeStream.outputMode(output_mode).trigger(**(trigger or EVERY_MINUTE))
@@ -44,6 +46,10 @@ def start_sink(df: DataFrame, kind: str, path: str | None = None, checkpoint: st
         if not checkpoint or not path:
             raise ValueError(f"{kind} sink needs path and checkpoint")
         w = w.option("checkpointLocation", checkpoint)
+    if kind == "kafka":
+        if not checkpoint:
+            raise ValueError("kafka sink needs a checkpoint")
+        w = w.option("checkpointLocation", checkpoint)
     for k, v in (options or {}).items():
         w = w.option(k, v)
     if kind == "table":
@@ -52,6 +58,8 @@ def start_sink(df: DataFrame, kind: str, path: str | None = None, checkpoint: st
         if partition_by:
             w = w.partitionBy(*partition_by)
         return w.format(kind).start(path)
+    if kind == "kafka":
+        return w.format("kafka").start()
     if kind == "memory":
         if not name:
             raise ValueError("memory sink needs a name")
