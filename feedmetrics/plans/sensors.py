@@ -103,8 +103,8 @@ def range_stats_lineitem(spark, sf_dir):
 
 # ---- streams (file-backed topic stream, availableNow) -------------------------------------
 
-def _stream_parsed(spark, sf_dir, topic):
-    ev = streaming.table_stream(spark, sf_dir, "events")
+def _stream_parsed(spark, sf_dir, topic, events=None):
+    ev = events if events is not None else streaming.table_stream(spark, sf_dir, "events")
     return parsed(spark, sf_dir, topic, events=ev)
 
 
@@ -130,7 +130,8 @@ def stream_means_water(spark, sf_dir):
 
 
 def _stream_aligned(spark, sf_dir):
-    return sensors.align_streams([(ALIASES[t], _stream_parsed(spark, sf_dir, t)) for t in TOPICS],
+    ev = streaming.table_stream(spark, sf_dir, "events")  # one source feeds all three topics
+    return sensors.align_streams([(ALIASES[t], _stream_parsed(spark, sf_dir, t, ev)) for t in TOPICS],
                                  on=["Time"], watermark=ALIGN_WATERMARK)
 
 
