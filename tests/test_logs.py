@@ -140,3 +140,13 @@ def test_empty_inputs(spark):
     assert cache.hit_rate(df).first()[0] is None
     assert stats.traffic(df).first()[0] is None
     assert stats.argmax_ties(cache.hit_rate_by(df, "isp"), "rate").count() == 0
+
+
+def test_approximate_options(spark):
+    df = spark.createDataFrame([(float(i % 500), f"ip{i % 300}") for i in range(20000)], "latency double, ip string")
+    exact = stats.distinct_count(df, "ip").first()[0]
+    approx = stats.distinct_count(df, "ip", approx=True).first()[0]
+    assert exact == 300 and abs(approx - 300) <= 15
+    m_exact = stats.median_disc(df, "latency").first()[0]
+    m_approx = stats.median_disc(df, "latency", approx=True).first()[0]
+    assert m_exact == 249.0 and abs(m_approx - m_exact) <= 5
