@@ -84,6 +84,7 @@ SQL = {
     "unique_clients": _w("SELECT count(DISTINCT ip) AS unique_clients FROM valid"),
     "log_enriched": _w("SELECT * FROM enriched"),
     "dictionary_lookup": _w("SELECT line_id, ip, region, city, isp FROM enriched"),
+    "dictionary_lookup_shuffled": _w("SELECT line_id, ip, region, city, isp FROM enriched"),
     "providers": _w("SELECT DISTINCT isp FROM enriched"),
     "provider_count": _w("SELECT count(*) AS providers FROM (SELECT DISTINCT isp FROM enriched)"),
     "city_count": _w("SELECT count(*) AS records FROM enriched WHERE city = 'NATION_3'"),
