@@ -20,6 +20,23 @@ SCALE_CONF = {
 }
 
 
+# Starting point for a large cluster (~100 TB inputs, ~1000 executors). Scans are cut into
+# 256 MB splits; shuffles start wide (tens of thousands of partitions, so no reducer holds more
+# than a few hundred MB even for the widest stage) and AQE coalesces them to ~256 MB or splits
+# skewed ones. Broadcasts are capped by size; larger sides fall back to shuffle joins.
+CLUSTER_CONF = {
+    **SCALE_CONF,
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+}
+
+
 def local_session(cores: int | str = 8, app: str = "feedmetrics", shuffle_partitions: int | None = None,
                   event_log_dir: str | None = None) -> SparkSession:
     """A local-mode session for tests and the bench (UI off, UTC, AQE on)."""
