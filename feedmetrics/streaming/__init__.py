@@ -14,7 +14,9 @@ EVERY_MINUTE = {"processingTime": "1 minute"}
 
 def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A driver table as a stream: new parquet files named ``<table>.parquet`` are new data."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").schema
+    from feedmetrics.sources.files import TABLE_SCHEMAS
+
+    schema = TABLE_SCHEMAS.get(table) or spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").schema
     r = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
