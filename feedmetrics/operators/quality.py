@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmetrics.functions.columns import duration_parts, outside
+from feedmetrics.functions.columns import nan_as_null as nan_as_null_col
 
 # The ideal ranges the reference checks, and the units its report prints.
 IDEAL_BOUNDS = {"Air_Temperature": (23.0, 28.0), "Air_Moisture": (60.0, 80.0), "Earth_pH": (5.5, 7.0)}
@@ -39,10 +40,11 @@ def _duration(df: DataFrame, bounds: Bounds, minutes_per_record: int) -> list[Co
     return [(n * F.lit(minutes_per_record)).alias("minutes_out_of_range"), h.alias("hours"), m.alias("minutes")]
 
 
-def _extremes(cols) -> list[Column]:
+def _extremes(cols, nan_as_null: bool = False) -> list[Column]:
     out = []
     for c in cols:
-        out += [F.max(c).alias(f"Max_{c}"), F.min(c).alias(f"Min_{c}")]
+        v = nan_as_null_col(c) if nan_as_null else F.col(c)
+        out += [F.max(v).alias(f"Max_{c}"), F.min(v).alias(f"Min_{c}")]
     return out
 
 
@@ -52,14 +54,16 @@ def out_of_range_duration(df: DataFrame, bounds: Bounds = IDEAL_BOUNDS, minutes_
     return df.agg(*_duration(df, bounds, minutes_per_record))
 
 
-def min_max(df: DataFrame, cols) -> DataFrame:
-    """One row: ``Max_<c>``, ``Min_<c>`` per column, one aggregation."""
-    return df.agg(*_extremes(cols))
+def min_max(df: DataFrame, cols, nan_as_null: bool = False) -> DataFrame:
+    """One row: ``Max_<c>``, ``Min_<c>`` per column, one aggregation (NaN is the max unless
+    ``nan_as_null``)."""
+    return df.agg(*_extremes(cols, nan_as_null))
 
 
-def range_stats(df: DataFrame, bounds: Bounds = IDEAL_BOUNDS, minutes_per_record: int = 1) -> DataFrame:
+def range_stats(df: DataFrame, bounds: Bounds = IDEAL_BOUNDS, minutes_per_record: int = 1,
+                nan_as_null: bool = False) -> DataFrame:
     """Duration and extremes together: one scan, one aggregation."""
-    return df.agg(*_duration(df, bounds, minutes_per_record), *_extremes(bounds.keys()))
+    return df.agg(*_duration(df, bounds, minutes_per_record), *_extremes(bounds.keys(), nan_as_null))
 
 
 def _text(c: Column) -> Column:

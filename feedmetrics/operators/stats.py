@@ -14,6 +14,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedmetrics.functions.columns import nan_as_null as nan_as_null_col
+
 
 def count_rows(df: DataFrame, name: str = "records") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
@@ -41,9 +43,12 @@ def traffic(df: DataFrame, cond: Column | None = None, col: str = "size", name:
     return d.agg(F.sum(col).alias(name))
 
 
-def summary(df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
+def summary(df: DataFrame, col: str, prefix: str | None = None, nan_as_null: bool = False) -> DataFrame:
+    """Mean, max and min. A NaN makes the mean NaN and sorts above every number (so it is the
+    max); ``nan_as_null=True`` leaves NaN out like NULL."""
     p = prefix or col
-    return df.agg(F.avg(col).alias(f"{p}_mean"), F.max(col).alias(f"{p}_max"), F.min(col).alias(f"{p}_min"))
+    c = nan_as_null_col(F.col(col)) if nan_as_null else F.col(col)
+    return df.agg(F.avg(c).alias(f"{p}_mean"), F.max(c).alias(f"{p}_max"), F.min(c).alias(f"{p}_min"))
 
 
 def first_k(df: DataFrame, order_by: Sequence[Column | str], k: int = 10) -> DataFrame:

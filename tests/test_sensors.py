@@ -124,3 +124,16 @@ def test_write_report(spark, scratch):
     text = spark.read.text(scratch + "/report").collect()
     assert [r.value for r in text][0].startswith("Average Time Out of Ideal")
     assert len(text) == 7
+
+
+def test_nan_in_extremes_and_means(spark):
+    from feedmetrics.operators import stats
+
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "Air_Temperature double")
+    keep = quality.min_max(df, ["Air_Temperature"]).first()
+    assert math.isnan(keep.Max_Air_Temperature) and keep.Min_Air_Temperature == 1.0
+    skip = quality.min_max(df, ["Air_Temperature"], nan_as_null=True).first()
+    assert skip.Max_Air_Temperature == 3.0
+    s = stats.summary(df, "Air_Temperature", nan_as_null=True).first()
+    assert s[0] == 2.0 and s[1] == 3.0 and s[2] == 1.0
+    assert math.isnan(stats.summary(df, "Air_Temperature").first()[0])
