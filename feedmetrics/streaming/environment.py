@@ -19,11 +19,13 @@ from feedmetrics.streaming import EVERY_MINUTE, start_sink
 
 def start_environment_queries(topics: Mapping[str, DataFrame], out_root: str, checkpoint_root: str,
                               trigger: dict | None = None, watermark: str | None = "30 minutes",
-                              console: bool = False, numeric_strings: str = "coerce") -> dict[str, StreamingQuery]:
+                              console: bool = False, numeric_strings: str = "coerce",
+                              means_kind: str = "table") -> dict[str, StreamingQuery]:
     """``topics``: ``{"AIR": messages, "EARTH": ..., "WATER": ...}`` streaming DataFrames in the
     Kafka column layout. Returns the started queries by name; wait with ``run_all``.
 
-    Outputs: ``{out_root}/means_<topic>`` (parquet, one row) and ``{out_root}/documents`` (JSON
+    Outputs: ``{out_root}/means_<topic>`` (parquet, one row; with ``means_kind="memory"`` a
+    driver-memory table ``stats_table_<topic>`` instead) and ``{out_root}/documents`` (JSON
     lines ``{"value": ...}``, readable with ``read_documents``)."""
     trig = trigger or EVERY_MINUTE
     parsed = {t: sensors.parse_envelope(df, sensors.SCHEMAS[t], numeric_strings) for t, df in topics.items()}
@@ -32,9 +34,13 @@ def start_environment_queries(topics: Mapping[str, DataFrame], out_root: str, ch
         for t, df in parsed.items():
             name = t.lower()
             means = sensors.running_means(df, sensors.MEAN_COLUMNS[t])
-            started[f"means_{name}"] = start_sink(
-                means, "table", path=f"{out_root}/means_{name}", checkpoint=f"{checkpoint_root}/means_{name}",
-                trigger=trig, output_mode="complete")
+            if means_kind == "memory":
+                started[f"means_{name}"] = start_sink(means, "memory", name=f"stats_table_{name}", trigger=trig,
+                                                      output_mode="complete")
+            else:
+                started[f"means_{name}"] = start_sink(
+                    means, "table", path=f"{out_root}/means_{name}", checkpoint=f"{checkpoint_root}/means_{name}",
+                    trigger=trig, output_mode="complete")
             if console:
                 started[f"preview_{name}"] = start_sink(df, "console", trigger=trig)
         aligned = sensors.align_streams([(t.lower(), parsed[t]) for t in ("AIR", "EARTH", "WATER")],

@@ -94,3 +94,14 @@ def test_running_means_over_several_batches(spark, sf_dir, scratch):
     got = spark.read.parquet(scratch + "/m").first().asDict()
     want = sensors.running_means(plans.parse_air(spark, sf_dir), sensors.MEAN_COLUMNS["AIR"]).first().asDict()
     assert {k: round(v, 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()}
+
+
+def test_environment_means_as_memory_tables(spark, scratch):
+    from feedmetrics.streaming.environment import start_environment_queries
+
+    ev = streaming.table_stream(spark, "/root/testdata/sf0.001", "events")
+    topics = {t: sensor_messages(ev, t) for t in ("AIR", "EARTH", "WATER")}
+    qs = start_environment_queries(topics, scratch + "/out", scratch + "/chk", trigger=streaming.AVAILABLE_NOW,
+                                   means_kind="memory")
+    streaming.run_all(list(qs.values()), timeout=600)
+    assert spark.table("stats_table_water").columns == ["pH_mean", "DO_mean", "Temperature_mean", "Salinity_mean"]
