@@ -30,7 +30,7 @@ def log_report(spark: SparkSession, log_path: str, dictionary_path: str, cities:
     valid = logs.valid_records(parsed)
     d = read_dictionary(spark, dictionary_path)
     if on_duplicate == "last" and dictionary_order is None:
-        d = d.withColumn("_file", F.input_file_name()).withColumn("_pos", F.monotonically_increasing_id())
+        d = d.withColumn("_file", F.col("_metadata.file_path")).withColumn("_pos", F.monotonically_increasing_id())
         order = ["_file", "_pos"]
     else:
         order = [dictionary_order] if dictionary_order else None
@@ -89,7 +89,7 @@ def feed_messages(spark: SparkSession, csv_path: str, schema: str, topic: str, p
     file and the position in it)."""
     rows = read_feed(spark, csv_path, schema)
     if order_by is None:
-        rows = rows.withColumn("_file", F.input_file_name()).withColumn("_pos", F.monotonically_increasing_id())
+        rows = rows.withColumn("_file", F.col("_metadata.file_path")).withColumn("_pos", F.monotonically_increasing_id())
         order = ["_file", "_pos"]
     else:
         order = list(order_by)

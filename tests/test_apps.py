@@ -56,3 +56,19 @@ def test_consume_partition_stores_each_message_once(spark, scratch):
     good = want.where("event_id % 97 <> 0" if "event_id" in want.columns else "offset % 97 <> 0")
     assert back.count() == good.count()
     assert {r.partition for r in back.select("partition").distinct().collect()} == {0}
+
+
+def test_default_orders_follow_the_file(spark, scratch):
+    import json
+
+    ev = spark.read.parquet(f"{SF}/events.parquet").where("event_id < 500")
+    ev.select("event_id", "event_type").orderBy("event_id").coalesce(1).write.option("header", True).csv(scratch + "/feed")
+    m = apps.feed_messages(spark, scratch + "/feed", "event_id long, event_type string", "EVENTS")
+    assert all(r.partition == json.loads(r.value)["event_id"] % 2 for r in m.collect())
+
+    with open(scratch + "/dict.csv", "w") as f:
+        f.write("10.0.0.1,R,OLD,I1\n10.0.0.2,R,C2,I2\n10.0.0.1,R,NEW,I9\n")
+    with open(scratch + "/log.txt", "w") as f:
+        f.write("0.5 10.0.0.1 TCP_HIT [02/Dec/2018:00:00:01 +0700] /a.mpd 100\n")
+    r = apps.log_report(spark, scratch + "/log.txt", scratch + "/dict.csv")
+    assert r["enriched"].select("city", "isp").first() == ("NEW", "I9")
