@@ -52,13 +52,16 @@ def _as_text(schema: StructType) -> StructType:
 
 
 def parse_envelope(df: DataFrame, schema: StructType, numeric_strings: str = "coerce", col: str = "value",
-                   keep: Sequence[str] = ()) -> DataFrame:
-    """Payload (binary or text JSON) -> one column per schema field.
+                   keep: Sequence[str] = (), fields: Sequence[str] | None = None) -> DataFrame:
+    """Payload (binary or text JSON) -> one column per schema field (or per name in ``fields``:
+    only those are parsed; the generator below hides unused fields from column pruning).
 
     ``numeric_strings="coerce"``: every field is read as text and cast with ``try_cast``, so a
     number published as a string (``"120"``) is still a number. ``"null"``: the plain typed
     read, where such values become NULL. A wholly malformed payload gives a row of NULLs.
     """
+    if fields is not None:
+        schema = StructType([f for f in schema.fields if f.name in fields])
     text = F.col(col).cast("string")
     if numeric_strings == "null":
         parsed = F.from_json(text, schema).alias("_p")

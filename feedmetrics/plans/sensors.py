@@ -28,12 +28,21 @@ def topic_messages(spark: SparkSession, sf_dir: str, topic: str, events: DataFra
     return read_topic(spark, TopicSpec(subscribe=(topic,)), stored=sensor_messages(ev, topic))
 
 
-def parsed(spark: SparkSession, sf_dir: str, topic: str, events: DataFrame | None = None) -> DataFrame:
-    return sensors.parse_envelope(topic_messages(spark, sf_dir, topic, events), sensors.SCHEMAS[topic])
+def parsed(spark: SparkSession, sf_dir: str, topic: str, events: DataFrame | None = None,
+           fields=None) -> DataFrame:
+    return sensors.parse_envelope(topic_messages(spark, sf_dir, topic, events), sensors.SCHEMAS[topic],
+                                  fields=fields)
 
 
-def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sensors.align_streams([(ALIASES[t], parsed(spark, sf_dir, t)) for t in TOPICS], on=["Time"])
+def aligned(spark: SparkSession, sf_dir: str, fields: dict | None = None) -> DataFrame:
+    """Three topics joined on Time; ``fields`` limits what is parsed per topic."""
+    f = fields or {}
+    return sensors.align_streams([(ALIASES[t], parsed(spark, sf_dir, t, fields=f.get(t))) for t in TOPICS],
+                                 on=["Time"])
+
+
+# What the out-of-range report reads from each topic (Time joins them).
+REPORT_TOPIC_FIELDS = {"AIR": ["Time", "Temperature", "Moisture"], "EARTH": ["Time", "pH"], "WATER": ["Time"]}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,9 +51,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report's readings, taken from the aligned rows. Equal to parsing the stored
-    documents (``doc_roundtrip`` checks that path) but lets column pruning reach the topic
-    parsers: only Time, Air Temperature and Moisture and Earth pH are read."""
-    return aligned(spark, sf_dir).select(
+    documents (``doc_roundtrip`` checks that path); only Time, Air Temperature and Moisture and
+    Earth pH are parsed from the topic payloads."""
+    return aligned(spark, sf_dir, REPORT_TOPIC_FIELDS).select(
         "Time", *[F.col(f"{a.lower()}_{f.split('.')[1]}").alias(n) for n, f in sensors.REPORT_FIELDS.items()
                   for a in [f.split(".")[0]]])
 
