@@ -23,7 +23,8 @@ def _typed(t: Column, with_time: bool) -> Column:
     lat = F.get(t, 0).try_cast("double")
     status = F.get(t, 2)
     size_text = F.get(t, 6)
-    size = F.when(size_text.rlike("^[0-9]+$"), size_text.try_cast("bigint"))
+    all_digits = (F.length(size_text) > 0) & (F.length(F.translate(size_text, "0123456789", "")) == 0)
+    size = F.when(all_digits, size_text.try_cast("bigint"))
     time_text = F.concat(F.get(t, 3), F.lit(" "), F.get(t, 4))
     ok = F.coalesce((F.size(t) == 7) & (lat >= 0) & ~F.isnan(lat) & (size > 0) & (status != F.lit("-")),
                     F.lit(False))
@@ -50,7 +51,7 @@ def parse_log(df: DataFrame, col: str = "value", with_time: bool = True, keep: s
     projection and repeat the split (and the line's whole derivation) once per field.
     """
     cols = [F.col(c) for c in df.columns]
-    tmp = df.select(*cols, F.split(F.regexp_replace(F.col(col), " +$", ""), " ").alias("_toks"))
+    tmp = df.select(*cols, F.split(F.rtrim(F.col(col)), " ").alias("_toks"))  # rtrim: trailing ' ' only
     rec = _typed(F.col("_toks"), with_time)
     if keep == "all":
         rows = F.array(rec)
