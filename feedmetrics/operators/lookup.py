@@ -107,20 +107,35 @@ def dictionary_lookup(df: DataFrame, dict_df: DataFrame, on: str = "ip",
                       on_duplicate: str = "error", order_by: Sequence[str] | None = None,
                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                      hot_fraction: float | None = 0.01, salt_buckets: int = 32) -> DataFrame:
+                      skew: str = "aqe", hot_fraction: float = 0.01, salt_buckets: int = 32) -> DataFrame:
     """Left lookup of ``attrs`` by ``on``; rows without a match get ``default`` in every
     attribute. A matched row keeps its attributes as they are, NULL included.
 
     A dictionary within the broadcast limits is broadcast (no shuffle of ``df``, hot keys
-    cost nothing extra). A larger one is a shuffle join; then keys of ``df`` holding at least
-    ``hot_fraction`` of its rows are salted over ``salt_buckets`` tasks (``None``: off)."""
+    cost nothing extra). A larger one is a shuffle join, and a key of ``df`` holding a large
+    share of its rows is split over several tasks:
+
+    - ``skew="aqe"``: the de-duplicated dictionary is checkpointed (one write of the small
+      side into the shared checkpoint folder), so the join reads it as a plain shuffle and
+      adaptive execution's skew join splits oversized partitions of ``df`` at run time. No
+      extra pass over ``df``.
+    - ``skew="salt"``: keys holding at least ``hot_fraction`` of ``df`` (found on a sample:
+      one extra pass over ``df``) are salted over ``salt_buckets`` tasks; works without AQE.
+    - ``skew="off"``: plain shuffle join."""
     d = dedup_dictionary(dict_df, on, attrs, on_duplicate, order_by)
     d = d.select(F.col(on), *[F.col(a).alias(f"_d_{a}") for a in attrs], F.lit(True).alias("_matched"))
     d, small = checked_broadcast(d, max_broadcast_rows, max_broadcast_bytes)
-    if small or hot_fraction is None:
+    if small or skew == "off":
         j = df.join(d, on=on, how="left")
-    else:
+    elif skew == "aqe":
+        from feedmetrics.session import work_dir
+
+        work_dir(df.sparkSession)  # a checkpoint folder must be registered
+        j = df.join(d.checkpoint(eager=True), on=on, how="left")
+    elif skew == "salt":
         j = salted_join(df, d, on, "left", hot_keys(df, on, hot_fraction), salt_buckets)
+    else:
+        raise ValueError(f"skew must be aqe, salt or off, not {skew!r}")
     out = [F.col(c) for c in df.columns if c not in attrs]
     for a in attrs:
         out.append(F.when(F.col("_matched").isNull(), F.lit(default)).otherwise(F.col(f"_d_{a}")).alias(a))

@@ -84,11 +84,11 @@ def dictionary_lookup(spark, sf_dir):
 
 
 def dictionary_lookup_shuffled(spark, sf_dir):
-    """The lookup as it runs when the dictionary is beyond the broadcast limits: a shuffle join
-    on ip with the busiest client ips (>= 0.5% of the log rows) salted over 16 tasks."""
+    """The lookup as it runs when the dictionary is beyond the broadcast limits: the
+    de-duplicated dictionary is checkpointed and joined by a shuffle join on ip, whose skewed
+    partitions adaptive execution splits."""
     v = valid(spark, sf_dir).select("line_id", "ip")
-    return lookup.dictionary_lookup(v, dictionary(spark, sf_dir), max_broadcast_rows=0,
-                                    hot_fraction=0.005, salt_buckets=16)
+    return lookup.dictionary_lookup(v, dictionary(spark, sf_dir), max_broadcast_rows=0)
 
 
 def dictionary_last_wins(spark, sf_dir):

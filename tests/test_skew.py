@@ -56,7 +56,8 @@ def test_lookup_with_hot_ip_over_broadcast_limit(spark, skew_conf):
     d = spark.createDataFrame([(f"10.0.1.{i}", "R", f"C{i}", "I") for i in range(200)] + [("10.0.0.1", "R", "HOT", "I")],
                               "ip string, region string, city string, isp string")
     assert lookup.hot_keys(recs, "ip", hot_fraction=0.1) == ["10.0.0.1"]
-    out = lookup.dictionary_lookup(recs, d, max_broadcast_rows=10, salt_buckets=8)  # too big to broadcast
+    out = lookup.dictionary_lookup(recs, d, max_broadcast_rows=10, skew="salt", hot_fraction=0.1,
+                                   salt_buckets=8)  # too big to broadcast
     plan = _final_plan(out)
     assert "BroadcastHashJoin" not in plan
     # the hot key is spread over several join tasks, not one
@@ -64,5 +65,16 @@ def test_lookup_with_hot_ip_over_broadcast_limit(spark, skew_conf):
     assert parts > 1
     assert out.where(F.col("city") == "HOT").count() == 4000
     assert out.count() == 6000
-    plain = lookup.dictionary_lookup(recs, d, max_broadcast_rows=10, hot_fraction=None)
+    plain = lookup.dictionary_lookup(recs, d, max_broadcast_rows=10, skew="off")
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_lookup_hot_ip_split_by_adaptive_execution(spark, skew_conf):
+    recs = spark.createDataFrame([(i, "10.0.0.1" if i % 3 else f"10.0.1.{i % 200}") for i in range(6000)],
+                                 "line_id long, ip string").repartition(8)
+    d = spark.createDataFrame([(f"10.0.1.{i}", "R", f"C{i}", "I") for i in range(200)] + [("10.0.0.1", "R", "HOT", "I")],
+                              "ip string, region string, city string, isp string")
+    out = lookup.dictionary_lookup(recs, d, max_broadcast_rows=10)   # default skew="aqe"
+    plan = _final_plan(out)
+    assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    assert out.where(F.col("city") == "HOT").count() == 4000 and out.count() == 6000
