@@ -37,6 +37,8 @@ def log_report(spark: SparkSession, log_path: str, dictionary_path: str, cities:
     enriched = lookup.enrich(valid, d, on_duplicate=on_duplicate, order_by=order)
     with_status = logs.with_cache_status(valid)
     out = {
+        # all global figures in one scan; the single-figure frames below are kept for parity
+        "overview": logs.overview(parsed),
         "valid_count": stats.count_rows(valid),
         "invalid_count": stats.count_rows(logs.invalid_records(parsed)),
         "valid_first10": stats.first_k(valid.select("line_id", "ts_ms", F.col("value").alias("line")),

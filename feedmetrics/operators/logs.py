@@ -86,3 +86,34 @@ def cache_status(col: str = "hit_status"):
 
 def with_cache_status(df: DataFrame, col: str = "hit_status") -> DataFrame:
     return df.withColumn("cache_status", cache_status(col))
+
+
+def overview(parsed: DataFrame, approx_clients: bool = False) -> DataFrame:
+    """Every global log figure in one aggregation over parsed lines (``parse_log(keep="all")``):
+    line counts, valid records per service class and cache status, latency mean/max/min,
+    traffic and distinct clients of the valid records.
+
+    One scan instead of one per figure. The exact distinct count makes Spark expand the rows
+    once for the distinct part; ``approx_clients=True`` uses a fixed-size sketch instead."""
+    ok = F.col("ok")
+    service = classify_suffix("content", SERVICE_RULES, SERVICE_DEFAULT)
+    status = cache_status()
+    lat = F.when(ok, F.col("latency"))
+    ip = F.when(ok, F.col("ip"))
+    aggs = [
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(ok).alias("valid"),
+        F.count_if(~ok).alias("invalid"),
+        F.count_if(ok & (service == F.lit("HLS"))).alias("hls"),
+        F.count_if(ok & (service == F.lit("MPEG-DASH"))).alias("mpeg_dash"),
+        F.count_if(ok & (service == F.lit("Web Service"))).alias("web_service"),
+        F.count_if(ok & (status == F.lit("HIT"))).alias("hit"),
+        F.count_if(ok & (status == F.lit("HIT1"))).alias("hit1"),
+        F.count_if(ok & (status == F.lit("MISS"))).alias("miss"),
+        F.avg(lat).alias("latency_mean"),
+        F.max(lat).alias("latency_max"),
+        F.min(lat).alias("latency_min"),
+        F.sum(F.when(ok, F.col("size"))).alias("traffic"),
+        (F.approx_count_distinct(ip) if approx_clients else F.count_distinct(ip)).alias("unique_clients"),
+    ]
+    return parsed.agg(*aggs)

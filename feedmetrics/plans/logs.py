@@ -74,6 +74,11 @@ def unique_clients(spark, sf_dir):
     return stats.distinct_count(valid(spark, sf_dir), "ip", name="unique_clients")
 
 
+def log_overview(spark, sf_dir):
+    o = logs.overview(parsed(spark, sf_dir))
+    return o.select(*[F.round(c, DOUBLE_SCALE).alias(c) if c == "latency_mean" else F.col(c) for c in o.columns])
+
+
 def log_enriched(spark, sf_dir):
     return enriched(spark, sf_dir)
 
@@ -147,7 +152,7 @@ def best_isp(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    log_fields, log_time, log_valid, log_invalid, log_first10, bad_first10, service_counts,
+    log_fields, log_time, log_valid, log_invalid, log_first10, bad_first10, service_counts, log_overview,
     unique_clients, log_enriched, dictionary_lookup, dictionary_lookup_shuffled, dictionary_last_wins, providers,
     provider_count, city_count, city_traffic, latency_summary, latency_median, latency_top2,
     cache_counts, cache_hit_rate, isp_cache, best_isp)}

@@ -83,6 +83,21 @@ SQL = {
             ELSE 'Web Service' END AS service, count(*) AS records FROM valid GROUP BY 1"""),
     "unique_clients": _w("SELECT count(DISTINCT ip) AS unique_clients FROM valid"),
     "log_enriched": _w("SELECT * FROM enriched"),
+    "log_overview": _w("""SELECT count(*) AS lines,
+            count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS invalid,
+            count(*) FILTER (WHERE ok AND (ends_with(content, '.mpd') OR ends_with(content, '.m3u8'))) AS hls,
+            count(*) FILTER (WHERE ok AND NOT (ends_with(content, '.mpd') OR ends_with(content, '.m3u8'))
+                             AND (ends_with(content, '.dash') OR ends_with(content, '.ts'))) AS mpeg_dash,
+            count(*) FILTER (WHERE ok AND NOT (ends_with(content, '.mpd') OR ends_with(content, '.m3u8')
+                             OR ends_with(content, '.dash') OR ends_with(content, '.ts'))) AS web_service,
+            count(*) FILTER (WHERE ok AND ends_with(hit_status, 'HIT')) AS hit,
+            count(*) FILTER (WHERE ok AND NOT ends_with(hit_status, 'HIT') AND ends_with(hit_status, 'HIT1')) AS hit1,
+            count(*) FILTER (WHERE ok AND NOT ends_with(hit_status, 'HIT') AND NOT ends_with(hit_status, 'HIT1')) AS miss,
+            round(avg(latency) FILTER (WHERE ok), 6) AS latency_mean,
+            max(latency) FILTER (WHERE ok) AS latency_max, min(latency) FILTER (WHERE ok) AS latency_min,
+            cast(sum(size) FILTER (WHERE ok) AS bigint) AS traffic,
+            count(DISTINCT ip) FILTER (WHERE ok) AS unique_clients
+            FROM flagged"""),
     "dictionary_lookup": _w("SELECT line_id, ip, region, city, isp FROM enriched"),
     "dictionary_lookup_shuffled": _w("SELECT line_id, ip, region, city, isp FROM enriched"),
     "providers": _w("SELECT DISTINCT isp FROM enriched"),

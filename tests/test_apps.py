@@ -72,3 +72,14 @@ def test_default_orders_follow_the_file(spark, scratch):
         f.write("0.5 10.0.0.1 TCP_HIT [02/Dec/2018:00:00:01 +0700] /a.mpd 100\n")
     r = apps.log_report(spark, scratch + "/log.txt", scratch + "/dict.csv")
     assert r["enriched"].select("city", "isp").first() == ("NEW", "I9")
+
+
+def test_overview_agrees_with_single_figures(spark):
+    o = log_plans.log_overview(spark, SF).first()
+    assert o.valid == log_plans.log_valid(spark, SF).first()[0]
+    assert o.invalid == log_plans.log_invalid(spark, SF).first()[0]
+    c = log_plans.cache_counts(spark, SF).first()
+    assert (o.hit, o.hit1, o.miss) == (c.hit, c.hit1, c.miss)
+    assert o.unique_clients == log_plans.unique_clients(spark, SF).first()[0]
+    services = {r.service: r.records for r in log_plans.service_counts(spark, SF).collect()}
+    assert (o.hls, o.mpeg_dash, o.web_service) == (services["HLS"], services["MPEG-DASH"], services["Web Service"])
