@@ -106,11 +106,14 @@ def publish_feed(spark: SparkSession, csv_path: str, schema: str, topic: str, sp
 
 
 def consume_partition(spark: SparkSession, spec: TopicSpec, out_path: str, checkpoint: str,
-                      trigger: dict | None = None, stored: DataFrame | None = None):
+                      trigger: dict | None = None, stored: DataFrame | None = None, schema: str | None = None):
     """Application D, consumer side: messages of the pinned partitions, well-formed ones
-    stored as CSV under ``topic=<t>/partition=<p>/`` (payload kept as JSON text), each once.
-    Returns the started streaming query."""
+    stored as CSV under ``topic=<t>/partition=<p>/``, each exactly once (the checkpoint and the
+    output live together). With ``schema`` the JSON payload becomes one CSV column per field;
+    without it the payload is kept as JSON text in ``value``. Returns the started query."""
     msgs = read_topic(spark, spec, stream=True, stored=stored)
     good, _ = messages.split_malformed(msgs.select("topic", "partition", F.col("value").cast("string").alias("value")))
+    if schema is not None:
+        good = good.select("topic", "partition", F.from_json("value", schema).alias("m")).select("topic", "partition", "m.*")
     return streaming.start_sink(good, "csv", path=out_path, checkpoint=checkpoint, trigger=trigger,
                                 partition_by=["topic", "partition"], options={"header": "true"})

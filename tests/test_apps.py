@@ -83,3 +83,17 @@ def test_overview_agrees_with_single_figures(spark):
     assert o.unique_clients == log_plans.unique_clients(spark, SF).first()[0]
     services = {r.service: r.records for r in log_plans.service_counts(spark, SF).collect()}
     assert (o.hls, o.mpeg_dash, o.web_service) == (services["HLS"], services["MPEG-DASH"], services["Web Service"])
+
+
+def test_consume_partition_expands_fields(spark, scratch):
+    ev = streaming.table_stream(spark, SF, "events")
+    stored = sensor_messages(ev, "WATER")
+    schema = "Time string, Station string, pH double, DO double, Temperature double, Salinity double"
+    q = apps.consume_partition(spark, TopicSpec(assign={"WATER": [1]}), scratch + "/out", scratch + "/chk",
+                               trigger=streaming.AVAILABLE_NOW, stored=stored, schema=schema)
+    streaming.run_all([q], timeout=300)
+    back = spark.read.schema(schema + ", topic string, partition int").option("header", True).csv(scratch + "/out")
+    batch = sensor_plans.parse_water(spark, SF)
+    want = sensor_messages(spark.read.parquet(f"{SF}/events.parquet"), "WATER").where("partition = 1 AND offset % 97 <> 0")
+    assert back.count() == want.count() and back.where("pH IS NULL").count() == 0
+    assert back.select("Station").distinct().count() == batch.where("Station IS NOT NULL").select("Station").distinct().count()
