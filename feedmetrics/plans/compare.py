@@ -8,9 +8,12 @@ significant digits.
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
+STRICT = bool(os.environ.get("FEEDMETRICS_STRICT"))  # exact doubles instead of 9 significant digits
+
 DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
               "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
 
@@ -33,6 +36,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
+        if STRICT:
+            return repr(v)
         if v == 0:
             return "0"
         return repr(float(f"{v:.9g}"))
