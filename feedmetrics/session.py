@@ -61,11 +61,14 @@ def work_dir(spark: SparkSession) -> str:
     private temporary folder created. The folder is also registered as the checkpoint folder
     of the SparkContext when none is.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. Spark Connect: the server owns the context and its checkpoint folder
+        sc = None
+    d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
         d = tempfile.mkdtemp(prefix="feedmetrics-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 

@@ -36,8 +36,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False
 
 
 def spread_small(df: DataFrame) -> DataFrame:
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave the scan as it is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
