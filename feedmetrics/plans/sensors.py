@@ -113,8 +113,10 @@ def range_stats_lineitem(spark, sf_dir):
 # ---- streams (file-backed topic stream, availableNow) -------------------------------------
 
 def _stream_parsed(spark, sf_dir, topic, events=None):
-    ev = events if events is not None else streaming.table_stream(spark, sf_dir, "events")
-    return parsed(spark, sf_dir, topic, events=ev)
+    """Built in a private ``stream_session`` (state partitions = task slots)."""
+    ss = events.sparkSession if events is not None else streaming.stream_session(spark)
+    ev = events if events is not None else streaming.table_stream(ss, sf_dir, "events")
+    return parsed(ss, sf_dir, topic, events=ev)
 
 
 def _stream_means(spark, sf_dir, topic):
@@ -139,7 +141,8 @@ def stream_means_water(spark, sf_dir):
 
 
 def _stream_aligned(spark, sf_dir):
-    ev = streaming.table_stream(spark, sf_dir, "events")  # one source feeds all three topics
+    ss = streaming.stream_session(spark)
+    ev = streaming.table_stream(ss, sf_dir, "events")  # one source feeds all three topics
     return sensors.align_streams([(ALIASES[t], _stream_parsed(spark, sf_dir, t, ev)) for t in TOPICS],
                                  on=["Time"], watermark=ALIGN_WATERMARK)
 

@@ -12,6 +12,32 @@ AVAILABLE_NOW = {"availableNow": True}
 EVERY_MINUTE = {"processingTime": "1 minute"}
 
 
+def stream_session(spark: SparkSession, state_partitions: int | None = None,
+                   final_cleanup: bool = True) -> SparkSession:
+    """A private session for one streaming run: the caller's SQL settings, plus the number of
+    state-store partitions (fixed in the checkpoint at the first batch; default: the
+    cluster's task slots, not ``spark.sql.shuffle.partitions``, which batch jobs size for
+    shuffles) and whether a closing no-data batch runs (see ``run_available_now``).
+    The caller's session is left untouched."""
+    s = spark.newSession()
+    try:
+        for k, v in spark.conf.getAll.items():
+            if k.startswith("spark.sql.") and not k.startswith("spark.sql.catalog"):
+                try:
+                    s.conf.set(k, v)
+                except Exception:
+                    pass
+    except Exception:
+        pass
+    try:
+        slots = spark.sparkContext.defaultParallelism
+    except Exception:
+        slots = 8
+    s.conf.set("spark.sql.shuffle.partitions", str(state_partitions or max(1, slots)))
+    s.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true" if final_cleanup else "false")
+    return s
+
+
 def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A driver table as a stream: new parquet files named ``<table>.parquet`` are new data."""
     from feedmetrics.sources.files import TABLE_SCHEMAS
@@ -91,6 +117,7 @@ def run_available_now(df: DataFrame, kind: str, path: str, checkpoint: str, outp
     finally:
         spark.conf.set(key, before)
     run_all([q])
+    # Build ``df`` in a ``stream_session`` so that this toggle never touches a shared session.
 
 
 def run_all(queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
