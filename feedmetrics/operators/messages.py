@@ -33,21 +33,23 @@ def with_positions(df: DataFrame, order_by: Sequence[str], name: str = "position
 
     range-partition and sort by the keys, number rows inside each partition, count rows per
     partition (one row per partition), turn the counts into offsets, add them back (a
-    broadcast of one row per partition). The partition count is fixed, so adaptive execution
-    does not coalesce the partitions that the numbering relies on.
+    broadcast of one row per partition).
 
     The numbered rows are checkpointed (reliable checkpoint in the shared
     ``spark.checkpoint.dir``) before they are counted: range bounds come from a seeded
     sample, so two evaluations of the range shuffle may cut at different keys, and a
-    recomputation after a lost executor must not renumber anything.
+    recomputation after a lost executor must not renumber anything. Since partition ids and
+    row numbers are fixed in the same stage and then stored, adaptive execution may size the
+    range partitions freely (merging neighbours keeps the order); ``partitions`` fixes the
+    count instead.
     """
     from feedmetrics.session import work_dir
 
     spark = df.sparkSession
     work_dir(spark)  # makes sure a checkpoint folder is registered
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(q(c)) for c in order_by]
-    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    tagged = (ranged.sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
