@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dictionary is broadcast only when a bounded probe shows at most this many rows and
-# about this many bytes; beyond either limit the join is a shuffle join on the key, and AQE
+# A dictionary is broadcast only when a probe (row count and payload bytes) shows at most
+# this many rows and about this many bytes; beyond either limit the join is a shuffle join on the key, and AQE
 # may still turn it into a broadcast join at run time from the measured shuffle size.
 DEFAULT_MAX_BROADCAST_ROWS = 5_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
@@ -32,11 +32,12 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows and ``max_bytes`` of
     payload, else ``df`` unchanged (the planner then shuffles both sides on the key).
 
-    The probe is one job over at most ``max_rows + 1`` rows of ``df`` (the small side)."""
+    The probe is one partial aggregation over ``df`` (the small side; no ``limit``, which
+    would funnel rows into a single task)."""
     width = None
     for c in _payload_bytes(df):
         width = c if width is None else width + c
-    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    probe = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     n, b = probe["n"], probe["b"] or 0
     ok = n <= max_rows and b <= max_bytes
     return (F.broadcast(df), True) if ok else (df, False)
