@@ -65,8 +65,7 @@ def compare(spark, con, name, spark_fn, sql, sf_dir):
     res = con.execute(sql)
     d_names = [d[0] for d in res.description]
     d_rows = res.fetchall()
-    d_types = [str(t) for t in con.execute(f"DESCRIBE {sql}").fetchall() and
-               [r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()]]
+    d_types = [str(r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()]
     out = {"query": name, "spark_rows": len(s_rows), "duck_rows": len(d_rows), "spark_sec": round(t1 - t0, 2)}
     out["names_ok"] = sorted(s_names) == sorted(d_names)
     st = dict(zip(s_names, s_types))
