@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmetrics.llm import bpe, token_files
+from feedmetrics.llm import bpe, chat, decontaminate, divergence, site_style_tree, token_files, warc
 from feedmetrics.llm.common import table
 
 
@@ -19,11 +19,37 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op2_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style_tree.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(table(spark, sf_dir, "documents"))
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (warc.deduplicated_archives(table(spark, sf_dir, "pages"), min_bytes=0)
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_site_style_tree": op2_site_style_tree,
+    "op3_decontaminate": op3_decontaminate,
+    "op6_divergence": op6_divergence,
+    "op7_chat": op7_chat,
+    "op8_warc": op8_warc,
     "op9_bpe": op9_bpe,
 }
