@@ -146,8 +146,8 @@ def nearest(words: list[bytes], classes: np.ndarray, refs: dict[str, Reference])
     return min(by_class, default=0.0), min(by_word, default=0.0)
 
 
-def judge(docs: DataFrame, refs: dict[str, Reference] | None = None, *, min_words: int = 50, max_class: float = 0.15,
-          max_word: float = 0.45, noise: float = 2.0) -> DataFrame:
+def judge(docs: DataFrame, refs: dict[str, Reference] | None = None, *, min_words: int = 50, max_class: float = 0.28,
+          max_word: float = 0.5, noise: float = 2.0) -> DataFrame:
     """Per document: doc_id, the base counts, base_failed, kept, and both distances."""
     refs = references(docs, min_words=min_words) if refs is None else refs
 

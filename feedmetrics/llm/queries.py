@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmetrics.llm import bpe, chat, decontaminate, divergence, site_style_tree, token_files, warc
+from feedmetrics.llm import bpe, chat, crf, decontaminate, divergence, line_dedup, site_style_tree, token_files, warc
 from feedmetrics.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.delete_repeats(docs).select("doc_id", "n_lines", "n_deleted", "text")
+
+
 def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(table(spark, sf_dir, "documents"))
 
@@ -44,12 +49,18 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op10_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_site_style_tree": op2_site_style_tree,
     "op3_decontaminate": op3_decontaminate,
+    "op4_line_dedup": op4_line_dedup,
     "op6_divergence": op6_divergence,
     "op7_chat": op7_chat,
     "op8_warc": op8_warc,
     "op9_bpe": op9_bpe,
+    "op10_crf": op10_crf,
 }
