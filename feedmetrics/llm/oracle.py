@@ -1,5 +1,60 @@
-"""DuckDB SQL for the registered queries that SQL can express."""
+"""DuckDB SQL for the registered queries that SQL can express, by plainer ways than the operators'."""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+# Runs of lines: the shortest with 50 words from each line and to each line, as whole lists of
+# lines; a run is a later copy where an equal list begins earlier.
+LINE_DEDUP = r"""
+WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, lines, unnest(range(len(lines))) AS i,
+             unnest(list_transform(lines, lambda x: len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')))) AS w FROM docs),
+c AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING), 0) AS upto FROM l),
+onward AS (SELECT a.doc_id, a.i AS s, min(b.i) AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.w >= 50 GROUP BY ALL),
+back AS (SELECT a.doc_id, max(b.i) AS s, a.i AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i <= a.i AND a.upto - b.upto + b.w >= 50 GROUP BY ALL),
+runs AS (SELECT DISTINCT r.doc_id, s, e, list_slice(d.lines, s + 1, e + 1) AS run FROM (SELECT * FROM onward UNION SELECT * FROM back) r JOIN docs d USING (doc_id)),
+later AS (SELECT doc_id, s, e FROM (SELECT *, min((doc_id, s)) OVER (PARTITION BY run) AS first FROM runs) WHERE first < (doc_id, s)),
+gone AS (SELECT DISTINCT c.doc_id, c.i FROM c JOIN later r ON c.doc_id = r.doc_id AND c.i BETWEEN r.s AND r.e),
+left_ AS (SELECT l.doc_id, string_agg(l.lines[l.i + 1], chr(10) ORDER BY l.i) AS text FROM l ANTI JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(d.lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(n.n, 0) AS BIGINT) AS n_deleted, t.text
+FROM docs d LEFT JOIN left_ t USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+JACCARD = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                             ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) END AS s FROM docs),
+n AS (SELECT doc_id, len(s) AS n FROM sets),
+rows_ AS (SELECT doc_id, unnest(s) AS g FROM sets),
+links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM rows_ a JOIN rows_ b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+          GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+reach(x, y) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r.y) AS component_id FROM n JOIN reach r ON r.x = n.doc_id GROUP BY n.doc_id, n.n
+"""
+
+CHAT = r"""
+WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i FROM conversations),
+p AS (SELECT conv_id, i, list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS turns, max(i) OVER (PARTITION BY conv_id) AS n FROM t),
+begun AS (SELECT DISTINCT turns FROM p WHERE i < n),
+kept AS (SELECT min(conv_id) AS conv_id, turns FROM p WHERE i = n AND turns NOT IN (SELECT turns FROM begun) GROUP BY turns)
+SELECT conv_id, CAST(len(turns) AS BIGINT) AS n_turns,
+       array_to_string(list_transform(turns, lambda x: '<|im_start|>' || coalesce(x.r, '') || chr(10) || coalesce(x.t, '') || '<|im_end|>' || chr(10)), '') AS text
+FROM kept
+"""
+
+WARC = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS h, max(page_id) OVER (PARTITION BY html) AS original FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, CAST(5 * i // 4 + 1 AS INT), 2) AS INT) >> CAST(3 - (5 * i) % 4 AS INT)) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> original THEN original END AS refers_to
+FROM d
+"""
+
+SQL: dict[str, str] = {
+    "op4_line_dedup": LINE_DEDUP,
+    "op5_jaccard": JACCARD,
+    "op7_chat": CHAT,
+    "op8_warc": WARC,
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmetrics.llm import bpe, chat, crf, decontaminate, divergence, line_dedup, site_style_tree, token_files, warc
+from feedmetrics.llm import bpe, chat, crf, decontaminate, divergence, jaccard, line_dedup, site_style_tree, token_files, warc
 from feedmetrics.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.delete_repeats(docs).select("doc_id", "n_lines", "n_deleted", "text")
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op2_site_style_tree": op2_site_style_tree,
     "op3_decontaminate": op3_decontaminate,
     "op4_line_dedup": op4_line_dedup,
+    "op5_jaccard": op5_jaccard,
     "op6_divergence": op6_divergence,
     "op7_chat": op7_chat,
     "op8_warc": op8_warc,
