@@ -183,7 +183,8 @@ class Comparer:
     def __init__(self, docs: DataFrame, point_rows: DataFrame, region_rows: DataFrame):
         self.sizes = saved(region_rows.groupBy("cid").agg(F.max("n").alias("n"), F.collect_list("g").alias("gs")), "point-regions")
         reps = point_rows.where("is_rep").groupBy("u", "cid").count().select("u", "cid").join(self.sizes.select("cid"), "cid")
-        text = docs.select("u", "text").join(saved(reps, "representatives"), "u")
+        # Always a merge join: the representatives grow with the documents.
+        text = docs.select("u", "text").join(saved(reps, "representatives").hint("merge"), "u")
         # Rows of one key may differ in text; the digest of the set tells which is the point.
         self.texts = saved(text.select("cid", "text"), "point-texts")
 
@@ -309,6 +310,6 @@ def keep_first(docs: DataFrame) -> DataFrame:
     first = saved(rows.where("c is not null").groupBy("c").agg(F.min(place).alias("first")), "first-of-component")
     gone = saved(rows.join(first, "c").where(place != F.col("first")).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct(), "copies")
     own = docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_h"])
-    left = docs.join(gone, own, "left_anti")
+    left = docs.join(gone.hint("merge"), own, "left_anti")
     again = rows.where("c is not null").groupBy("doc_id", "h").count().where("count > 1")
     return left if again.isEmpty() else left.dropDuplicates(["doc_id", "text"])
