@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.bpe import LINE, PATTERN, SLICE_BYTES, START, WORD, Recent, pieces
+from feedmetrics.llm.bpe import LINE, MAX_REMEMBERED, PATTERN, SLICE_BYTES, START, WORD, Recent, pieces
 from feedmetrics.llm.common import Folder, column, slices
 from feedmetrics.session import fresh_path
 
@@ -61,7 +61,7 @@ class PieceEncoder:
         self.special = special
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.line = self.ids("\n")[0]
-        self.recent = Recent(self.compute)
+        self.recent = Recent(self.compute, 2 * MAX_REMEMBERED)
 
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -89,10 +89,14 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        parts = [[k for x in (self.cut.split(t) if any(s in t for s in self.special) else [t]) if x
-                  for k in ([WORD + x] if x in self.special else pieces(x, self.splitter))] for t in texts]
-        known = self.recent.learn(set().union(*parts))
-        return [b"".join([known[k] for k in p]) for p in parts]
+        parts = [self.keys(t) for t in texts]
+        get = self.recent.learn(set().union(*parts)).__getitem__
+        return [b"".join(map(get, p)) for p in parts]
+
+    def keys(self, text: str) -> list[str]:
+        if any(s in text for s in self.special):
+            return [k for x in self.cut.split(text) if x for k in ([WORD + x] if x in self.special else pieces(x, self.splitter))]
+        return pieces(text, self.splitter) if text else []
 
 
 _encoder: dict[int, PieceEncoder] = {}
