@@ -26,7 +26,8 @@ def log_report(spark: SparkSession, log_path: str, dictionary_path: str, cities:
     wins; Spark keeps no line order across file splits, so the order is the dictionary's
     ``dictionary_order`` column when given, else its file name and position in the file."""
     lines = read_log_lines(spark, log_path).withColumn("line_id", F.monotonically_increasing_id())
-    parsed = logs.parse_log(lines)
+    timed = logs.parse_log(lines)  # only the first-10 figures read the time
+    parsed = logs.parse_log(lines, with_time=False)
     valid = logs.valid_records(parsed)
     d = read_dictionary(spark, dictionary_path)
     if on_duplicate == "last" and dictionary_order is None:
@@ -41,9 +42,9 @@ def log_report(spark: SparkSession, log_path: str, dictionary_path: str, cities:
         "overview": logs.overview(parsed),
         "valid_count": stats.count_rows(valid),
         "invalid_count": stats.count_rows(logs.invalid_records(parsed)),
-        "valid_first10": stats.first_k(valid.select("line_id", "ts_ms", F.col("value").alias("line")),
+        "valid_first10": stats.first_k(logs.valid_records(timed).select("line_id", "ts_ms", F.col("value").alias("line")),
                                        ["ts_ms", "line_id"], 10),
-        "invalid_first10": stats.first_k(logs.invalid_records(parsed).select(
+        "invalid_first10": stats.first_k(logs.invalid_records(timed).select(
             "line_id", "ts_ms", F.col("value").alias("line")), ["ts_ms", "line_id"], 10),
         "service_counts": stats.count_by(logs.with_service(valid), "service"),
         "unique_clients": stats.distinct_count(valid, "ip", name="unique_clients"),
@@ -65,10 +66,11 @@ def log_report(spark: SparkSession, log_path: str, dictionary_path: str, cities:
 
 
 def environment_job(spark: SparkSession, topics: Mapping[str, TopicSpec], out_root: str, checkpoint_root: str,
-                    trigger: dict | None = None, watermark: str | None = "30 minutes", console: bool = False):
+                    trigger: dict | None = None, watermark: str | None = None, console: bool = False):
     """Application B: read the AIR, EARTH and WATER topics, keep running means and store the
     aligned documents. Returns the started queries; wait with ``streaming.run_all``."""
-    frames = {name: read_topic(spark, spec, stream=True) for name, spec in topics.items()}
+    own = streaming.stream_session(spark)  # state partitions fit the cluster, not batch shuffles
+    frames = {name: read_topic(own, spec, stream=True) for name, spec in topics.items()}
     return start_environment_queries(frames, out_root, checkpoint_root, trigger=trigger, watermark=watermark,
                                      console=console)
 
@@ -106,14 +108,22 @@ def publish_feed(spark: SparkSession, csv_path: str, schema: str, topic: str, sp
 
 
 def consume_partition(spark: SparkSession, spec: TopicSpec, out_path: str, checkpoint: str,
-                      trigger: dict | None = None, stored: DataFrame | None = None, schema: str | None = None):
+                      trigger: dict | None = None, stored: DataFrame | None = None, schema: str | None = None,
+                      rejects_path: str | None = None):
     """Application D, consumer side: messages of the pinned partitions, well-formed ones
     stored as CSV under ``topic=<t>/partition=<p>/``, each exactly once (the checkpoint and the
     output live together). With ``schema`` the JSON payload becomes one CSV column per field;
-    without it the payload is kept as JSON text in ``value``. Returns the started query."""
+    without it the payload is kept as JSON text in ``value``. Malformed messages are stored
+    likewise under ``rejects_path`` (default: ``<out_path>_rejects``), as they came. Returns the
+    two started queries: good and rejected messages."""
     msgs = read_topic(spark, spec, stream=True, stored=stored)
-    good, _ = messages.split_malformed(msgs.select("topic", "partition", F.col("value").cast("string").alias("value")))
+    good, bad = messages.split_malformed(msgs.select("topic", "partition", F.col("value").cast("string").alias("value")))
     if schema is not None:
         good = good.select("topic", "partition", F.from_json("value", schema).alias("m")).select("topic", "partition", "m.*")
-    return streaming.start_sink(good, "csv", path=out_path, checkpoint=checkpoint, trigger=trigger,
-                                partition_by=["topic", "partition"], options={"header": "true"})
+    sink = {"kind": "csv", "trigger": trigger, "partition_by": ["topic", "partition"], "options": {"header": "true"}}
+    stored_good = streaming.start_sink(good, path=out_path, checkpoint=checkpoint, **sink)
+    try:
+        return stored_good, streaming.start_sink(bad, path=rejects_path or f"{out_path}_rejects", checkpoint=f"{checkpoint}_rejects", **sink)
+    except Exception:
+        stored_good.stop()
+        raise

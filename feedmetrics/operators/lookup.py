@@ -7,11 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dictionary is broadcast only when a probe (row count and payload bytes) shows at most
-# this many rows and about this many bytes; beyond either limit the join is a shuffle join on the key, and AQE
-# may still turn it into a broadcast join at run time from the measured shuffle size.
+# A dictionary is broadcast only when a probe (row count and bytes, with the overhead of a row in
+# memory) shows at most this many rows and no more bytes than the session broadcasts by itself
+# (spark.sql.autoBroadcastJoinThreshold); beyond either limit the join is a shuffle join on the
+# key, and AQE may still turn it into a broadcast join at run time from the measured shuffle size.
 DEFAULT_MAX_BROADCAST_ROWS = 5_000_000
-DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 64
+
+
+def session_broadcast_bytes(spark) -> int:
+    """The session's broadcast threshold in bytes; below 0 means never."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def _payload_bytes(df: DataFrame) -> list:
@@ -28,15 +34,18 @@ def _payload_bytes(df: DataFrame) -> list:
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows and ``max_bytes`` of
-    payload, else ``df`` unchanged (the planner then shuffles both sides on the key).
+                      max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows and ``max_bytes`` (default: the
+    session's threshold) in memory, else ``df`` unchanged (the planner then shuffles both sides on the key).
 
     The probe is one partial aggregation over ``df`` (the small side; no ``limit``, which
     would funnel rows into a single task)."""
-    width = None
+    max_bytes = session_broadcast_bytes(df.sparkSession) if max_bytes is None else max_bytes
+    if max_bytes < 0:
+        return df, False
+    width = F.lit(ROW_OVERHEAD_BYTES)
     for c in _payload_bytes(df):
-        width = c if width is None else width + c
+        width = width + c
     probe = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     n, b = probe["n"], probe["b"] or 0
     ok = n <= max_rows and b <= max_bytes
@@ -59,23 +68,24 @@ def hot_keys(df: DataFrame, on: str, hot_fraction: float = 0.01, sample_fraction
     return [r[0] for r in top.collect()]
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: str, how: str, keys: list, buckets: int = 32,
-                seed: int = 29) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, on: str, how: str, keys: list, buckets: int = 32) -> DataFrame:
     """Equi-join on ``on`` that spreads each hot key over ``buckets`` tasks.
 
-    Rows of ``left`` with a hot key get a salt in ``[0, buckets)`` from a hash of the whole row;
-    the ``right`` rows of hot keys are repeated once per salt; every other row has salt 0. Each
-    left row still meets exactly one copy of its right rows, so the result equals the plain
-    join. The salt is a pure function of the row, so a recomputed task after a lost executor
-    routes every row as before. ``right`` must be the side with few rows per key (here: one
-    dictionary row per key)."""
+    Rows of ``left`` with a hot key get a salt in ``[0, buckets)`` from their place in the input
+    (partition and number), so equal rows are spread as well; the numbered rows are checkpointed,
+    so a recomputed task after a lost executor routes every row as before. The ``right`` rows of
+    hot keys are repeated once per salt; every other row has salt 0. Each left row still meets
+    exactly one copy of its right rows, so the result equals the plain join. ``right`` must be
+    the side with few rows per key (here: one dictionary row per key)."""
     if not keys:
         return left.join(right, on=on, how=how)
     hot = F.col(on).isin(keys)
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], F.lit(seed))
-    lsalt = F.when(hot, F.pmod(row_hash, F.lit(buckets)).cast("int")).otherwise(F.lit(0))
+    from feedmetrics.session import work_dir
+
+    work_dir(left.sparkSession)  # a checkpoint folder must be registered
+    lsalt = F.when(hot, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)).cast("int")).otherwise(F.lit(0))
     rsalt = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0))))
-    l = left.withColumn("_salt", lsalt)
+    l = left.withColumn("_salt", lsalt).checkpoint(eager=True)
     r = right.select("*", rsalt.alias("_salt"))
     return l.join(r, on=[on, "_salt"], how=how).drop("_salt")
 
@@ -107,7 +117,7 @@ def dictionary_lookup(df: DataFrame, dict_df: DataFrame, on: str = "ip",
                       attrs: Sequence[str] = ("region", "city", "isp"), default: str | None = "Unknown",
                       on_duplicate: str = "error", order_by: Sequence[str] | None = None,
                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                      max_broadcast_bytes: int | None = None,
                       skew: str = "aqe", hot_fraction: float = 0.01, salt_buckets: int = 32) -> DataFrame:
     """Left lookup of ``attrs`` by ``on``; rows without a match get ``default`` in every
     attribute. A matched row keeps its attributes as they are, NULL included.

@@ -6,23 +6,35 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, NumericType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, MapType, NumericType, StringType, StructField, StructType
 
 from feedmetrics.functions.columns import q
 
 CORRUPT = "_corrupt_record"
 
 
-def to_messages(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """JSON object of the row: numbers and booleans stay JSON numbers/booleans, every other
-    value (time stamps, dates, text) becomes a JSON string. NULL fields are left out."""
+def to_messages(df: DataFrame, columns: Sequence[str] | None = None, blanks: str = "nan", booleans: str = "text") -> Column:
+    """JSON object of the row: numbers stay JSON numbers, every other value (booleans, time
+    stamps, dates, text) becomes a JSON string.
+
+    ``blanks="nan"`` publishes a NULL float or double as NaN, as a CSV producer does that reads
+    a blank cell as NaN (``to_json`` writes it as the string "NaN", which parses back to NaN);
+    ``blanks="omit"`` leaves it out. Other NULL fields are left out. ``booleans="text"`` writes
+    ``"True"`` / ``"False"``; ``booleans="json"`` keeps JSON booleans."""
+    if blanks not in ("nan", "omit") or booleans not in ("text", "json"):
+        raise ValueError("blanks is 'nan' or 'omit', booleans is 'text' or 'json'")
     fields = []
     for f in df.schema.fields:
         if columns is not None and f.name not in columns:
             continue
         c = F.col(q(f.name))
-        keep = isinstance(f.dataType, (NumericType, BooleanType, StringType))
-        fields.append((c if keep else c.cast("string")).alias(f.name))
+        if isinstance(f.dataType, (FloatType, DoubleType)) and blanks == "nan":
+            c = F.coalesce(c, F.lit(float("nan")))
+        elif isinstance(f.dataType, BooleanType) and booleans == "text":
+            c = F.when(c, "True").when(~c, "False")
+        elif not isinstance(f.dataType, (NumericType, BooleanType, StringType)):
+            c = c.cast("string")
+        fields.append(c.alias(f.name))
     return F.to_json(F.struct(*fields))
 
 
@@ -67,10 +79,18 @@ def assign_partition(df: DataFrame, n: int, order_by: Sequence[str], name: str =
 
 
 def malformed_flag(df: DataFrame, col: str = "value", name: str = "malformed") -> DataFrame:
-    """Adds boolean ``malformed``: the payload is NULL or not one JSON object."""
+    """Adds boolean ``malformed``: the payload is NULL, blank or not exactly one JSON object.
+
+    The parser stops at the end of the first value and so would accept text after it. The
+    payload is therefore parsed inside brackets and inside braces: what follows the object
+    would have to fit both."""
+    text = F.col(col).cast("string")
+    options = {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
     probe = StructType([StructField(CORRUPT, StringType(), True)])
-    parsed = F.from_json(F.col(col).cast("string"), probe, {"columnNameOfCorruptRecord": CORRUPT})
-    return df.withColumn(name, F.col(col).isNull() | parsed.getField(CORRUPT).isNotNull())
+    braced = F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), StructType([StructField("x", probe), StructField(CORRUPT, StringType())]), options)
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), ArrayType(MapType(StringType(), StringType())), {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
+    good = text.rlike(r"^\s*\{") & braced.getField(CORRUPT).isNull() & (F.size(listed) == 1) & F.get(listed, F.lit(0)).isNotNull()
+    return df.withColumn(name, ~F.coalesce(good, F.lit(False)))
 
 
 def split_malformed(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,23 +90,28 @@ def prefixed(df: DataFrame, alias: str, on: Sequence[str]) -> DataFrame:
 
 def align_streams(frames: Sequence[tuple[str, DataFrame]], on: Sequence[str] = ("Time",),
                   watermark: str | None = None, event_time: str = "event_time",
-                  dedup: Sequence[str] | None = None) -> DataFrame:
+                  dedup: Sequence[str] | None = None, time_pattern: str | None = None) -> DataFrame:
     """Inner equi-join of several topic frames on ``on``; keys appear once, other columns as
     ``<alias>_<name>``.
 
     Joining on ``Time`` alone pairs every reading of one time with every other (as the
-    reference does); ``on=("Time", "Station")`` or ``dedup`` narrows that. In a stream,
-    ``watermark`` bounds the join state: each side gets ``withWatermark(event_time, delay)``
-    and the event-time column joins too, so state older than the watermark is dropped.
-    ``dedup`` keeps one reading per (key columns) per side, within the watermark in a stream.
+    reference does); ``on=("Time", "Station")`` or ``dedup`` narrows that. By default nothing is
+    dropped. In a stream, ``watermark`` bounds the join state: the event time is read from
+    ``Time`` (``time_pattern``, or any text that casts to a time) and joins too, so readings and
+    state older than the watermark go; readings whose ``Time`` cannot be read are left out then
+    (``untimed`` gives them). ``dedup`` keeps one reading per (key columns) per side, within the
+    watermark in a stream.
+
+    In a batch, each further join of three or more frames takes its key anew (a struct of the
+    key columns), so that both its sides are exchanged for it and adaptive execution can split
+    a hot time in every join, at the price of one more exchange per frame after the second.
     """
     on = list(on)
     prepared = []
     for alias, df in frames:
         d = df
         if watermark:
-            if event_time not in d.columns:
-                d = d.withColumn(event_time, F.to_timestamp(F.col("Time"), "yyyy-MM-dd HH:mm"))
+            d = d.withColumn(event_time, read_time(time_pattern)).where(F.col(event_time).isNotNull())
             d = d.withWatermark(event_time, watermark)
             if dedup:
                 d = d.dropDuplicatesWithinWatermark(list(dedup))
@@ -113,11 +120,28 @@ def align_streams(frames: Sequence[tuple[str, DataFrame]], on: Sequence[str] = (
         keys = on + ([event_time] if watermark else [])
         prepared.append((prefixed(d, alias, keys), keys))
     out, keys = prepared[0]
-    for d, _ in prepared[1:]:
-        out = out.join(d, on=keys, how="inner")
+    for i, (d, _) in enumerate(prepared[1:]):
+        if i == 0 or out.isStreaming:
+            out = out.join(d, on=keys, how="inner")
+        else:
+            key = F.struct(*[F.col(q(k)) for k in keys])
+            known = d.select(key.alias("_key"), *[F.col(q(c)) for c in d.columns if c not in keys])
+            # A struct of nulls would equal another one; a null key matches nothing.
+            some = [F.col(q(k)).isNotNull() for k in keys]
+            out = out.where(reduce(and_, some)).withColumn("_key", key).join(known, on="_key", how="inner").drop("_key")
     return out.drop(event_time) if watermark else out
 
 
+def read_time(pattern: str | None = None) -> Column:
+    """The time in ``Time``, NULL where the text is none."""
+    return F.try_to_timestamp(F.col("Time"), F.lit(pattern)) if pattern else F.col("Time").try_cast("timestamp")
+
+
+def untimed(df: DataFrame, pattern: str | None = None) -> DataFrame:
+    """The readings whose ``Time`` cannot be read: what an alignment with a watermark leaves out."""
+    return df.where(read_time(pattern).isNull())
+
+
 def build_document(aligned: DataFrame, parts=DOCUMENT_PARTS, key: str = "Time") -> DataFrame:
     """Aligned row -> ``value``: JSON text ``{Time, Air{...}, Earth{...}, Water{...}}``.
 

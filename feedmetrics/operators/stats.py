@@ -10,11 +10,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmetrics.functions.columns import nan_as_null as nan_as_null_col
+from feedmetrics.session import work_dir
 
 
 def count_rows(df: DataFrame, name: str = "records") -> DataFrame:
@@ -88,9 +88,9 @@ def kth_smallest(df: DataFrame, col: str, rank: int | None = None, fraction: flo
       4. repeat inside that bucket while it still holds more than ``max_bucket_rows``
          distinct values, then scan the bucket in order.
     """
+    work_dir(df.sparkSession)  # a checkpoint folder must be registered
     hist = (df.select(F.col(col).alias("v")).where(F.col("v").isNotNull())
-            .groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+            .groupBy("v").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True))
     fracs = [i / buckets for i in range(1, buckets)]
     stats = hist.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).first()
     n, d = stats["n"] or 0, stats["d"]

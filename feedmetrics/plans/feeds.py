@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedmetrics import streaming
 from feedmetrics.operators import messages
 from feedmetrics.plans.sensors import TOPICS
 from feedmetrics.session import fresh_path
@@ -20,7 +21,7 @@ FEED_SCHEMA = "event_id bigint, ts string, user_id bigint, event_type string, va
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed rows (``events``), each to be published on the topic named by its type."""
-    return read_table(spark, sf_dir, "events", spread=True)
+    return read_table(spark, sf_dir, "events")
 
 
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,4 +60,49 @@ def malformed_split(spark, sf_dir):
     return messages.malformed_counts(stored, by="topic")
 
 
-QUERIES = {f.__name__: f for f in (feed_to_messages, partition_slice, route_counts, malformed_split)}
+def malformed_rows(spark, sf_dir):
+    """Per message whether it is malformed: text after the object, single quotes, blank, two
+    objects, cut off, NULL, and well-formed ones."""
+    rows = feed(spark, sf_dir)
+    good, k = messages.to_messages(rows, ["event_id", "user_id", "event_type"]), F.col("event_id") % 8
+    value = (F.when(k == 0, F.concat(good, F.lit(" xyz"))).when(k == 1, F.lit("{'a': 1}")).when(k == 2, F.lit("  "))
+             .when(k == 3, F.concat(good, good)).when(k == 4, F.substring(good, 1, 9)).when(k == 5, F.lit(None)).otherwise(good))
+    return messages.malformed_flag(rows.select("event_id", value.alias("value"))).select("event_id", "malformed")
+
+
+def feed_blank_cells(spark, sf_dir):
+    """A CSV feed with blank cells: published as NaN, and read as NaN by the parser."""
+    path, schema = fresh_path(spark, "blank-cells"), "event_id bigint, value double"
+    blank = F.when(F.col("event_id") % 5 != 0, F.col("value"))
+    feed(spark, sf_dir).select("event_id", blank.alias("value")).write.option("header", True).csv(path)
+    rows = read_feed(spark, path, schema)
+    read = rows.select(messages.to_messages(rows).alias("value")).select(F.from_json("value", schema).alias("m")).select("m.*")
+    return read.select("event_id", F.isnan("value").alias("blank"), F.nanvl("value", F.lit(None).cast("double")).alias("value"))
+
+
+def consume_roundtrip(spark, sf_dir):
+    """The consumer end to end as a stream: one pinned partition, good and rejected messages
+    stored as CSV and read back."""
+    from feedmetrics.apps import consume_partition
+
+    ss = streaming.stream_session(spark)
+    stored = sensor_messages(streaming.table_stream(ss, sf_dir, "events"), "WATER")
+    path, schema = fresh_path(spark, "consumed"), "Time string, Station string, pH double, DO double, Temperature double, Salinity double"
+    streaming.run_all(consume_partition(ss, TopicSpec(assign={"WATER": [0]}), f"{path}/good", f"{path}/checkpoint",
+                                        trigger=streaming.AVAILABLE_NOW, stored=stored, schema=schema, rejects_path=f"{path}/bad"))
+    good = read_feed(spark, f"{path}/good", schema + ", topic string, partition int").select(F.lit("good").alias("kind"), "partition", "Time", "Station", "pH")
+    bad = read_feed(spark, f"{path}/bad", "value string, topic string, partition int")
+    return good.unionByName(bad.select(F.lit("bad").alias("kind"), "partition"), allowMissingColumns=True)
+
+
+def overwrite_twice(spark, sf_dir):
+    """A second run with ``mode="overwrite"`` leaves only its own rows."""
+    path = fresh_path(spark, "overwritten")
+    rows = feed(spark, sf_dir).select("event_id", F.col("event_type").alias("topic"), (F.col("event_id") % PARTITIONS).cast("int").alias("partition"))
+    for some in (rows, rows.where("event_id % 3 = 0")):
+        route_to_csv(some, path, mode="overwrite")
+    return read_feed(spark, path, "event_id bigint, topic string, partition int")
+
+
+QUERIES = {f.__name__: f for f in (feed_to_messages, partition_slice, route_counts, malformed_split, malformed_rows,
+                                   feed_blank_cells, consume_roundtrip, overwrite_twice)}

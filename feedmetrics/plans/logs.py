@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from feedmetrics.operators import cache, lookup, logs, stats
 from feedmetrics.sources.derived import ip_dictionary, ip_dictionary_with_updates, log_lines
-from feedmetrics.sources.files import read_table
+from feedmetrics.session import fresh_path
+from feedmetrics.sources.files import read_dictionary, read_log_lines, read_table
 
 # Parameters of the registered queries (the reference asked about two named cities).
 CITY_FOR_COUNT = "NATION_3"
@@ -16,7 +17,7 @@ DOUBLE_SCALE = 6  # means are rounded so that summation order does not show
 
 
 def parsed(spark: SparkSession, sf_dir: str, with_time: bool = False, keep: str = "all") -> DataFrame:
-    lines = log_lines(read_table(spark, sf_dir, "events", spread=True))
+    lines = log_lines(read_table(spark, sf_dir, "events"))
     return logs.parse_log(lines, with_time=with_time, keep=keep)
 
 
@@ -151,7 +152,27 @@ def best_isp(spark, sf_dir):
     return stats.argmax_ties(isp_cache(spark, sf_dir), "rate").select("isp", "rate")
 
 
-QUERIES = {f.__name__: f for f in (
+def log_file_roundtrip(spark, sf_dir):
+    """Log lines stored as a text file, read and parsed from there."""
+    path = fresh_path(spark, "log-lines")
+    log_lines(read_table(spark, sf_dir, "events")).select("value").write.text(path)
+    lines = read_log_lines(spark, path).withColumn("line_id", F.monotonically_increasing_id())
+    return logs.parse_log(lines, with_time=False).select("n_fields", "latency", "ip", "hit_status", "content", "size")
+
+
+def dictionary_file_lookup(spark, sf_dir):
+    """The dictionary stored as a CSV file without header, read from there for the lookup."""
+    path = fresh_path(spark, "dictionary")
+    dictionary(spark, sf_dir).select("ip", "region", "city", "isp").write.csv(path)
+    return lookup.enrich(valid(spark, sf_dir), read_dictionary(spark, path))
+
+
+def latency_median_bucketed(spark, sf_dir):
+    """The median by narrowing buckets (as on columns with very many distinct values)."""
+    return stats.kth_smallest(valid(spark, sf_dir), "latency", fraction=0.5, max_bucket_rows=64, buckets=16, name="latency_median")
+
+
+QUERIES = {f.__name__: f for f in (log_file_roundtrip, dictionary_file_lookup, latency_median_bucketed, 
     log_fields, log_time, log_valid, log_invalid, log_first10, bad_first10, service_counts, log_overview,
     unique_clients, log_enriched, dictionary_lookup, dictionary_lookup_shuffled, dictionary_last_wins, providers,
     provider_count, city_count, city_traffic, latency_summary, latency_median, latency_top2,

@@ -11,7 +11,14 @@ SQL = {
     "feed_to_messages": _PUBLISHED + "SELECT topic, partition, value FROM published",
     "partition_slice": _PUBLISHED + "SELECT topic, partition, value FROM published WHERE partition = 0",
     "route_counts": _PUBLISHED + "SELECT topic, partition, count(*) AS records FROM published GROUP BY 1, 2",
-    "malformed_split": """SELECT CASE event_type WHEN 'view' THEN 'AIR' WHEN 'click' THEN 'EARTH' ELSE 'WATER' END AS topic,
-           cast(count(*) FILTER (WHERE event_id % 97 <> 0) AS bigint) AS good, cast(count(*) FILTER (WHERE event_id % 97 = 0) AS bigint) AS bad
-           FROM events WHERE event_type IN ('view', 'click', 'purchase') GROUP BY 1""",
+    "malformed_split": """SELECT topic, cast(count(*) FILTER (WHERE event_id % 97 <> 0) AS bigint) AS good,
+           cast(count(*) FILTER (WHERE event_id % 97 = 0) AS bigint) AS bad
+           FROM events CROSS JOIN (VALUES ('AIR'), ('EARTH'), ('WATER')) t(topic) GROUP BY 1""",
+    "malformed_rows": "SELECT event_id, event_id % 8 <= 5 AS malformed FROM events",
+    "feed_blank_cells": "SELECT event_id, event_id % 5 = 0 AS blank, CASE WHEN event_id % 5 <> 0 THEN value END AS value FROM events",
+    "consume_roundtrip": """SELECT CASE WHEN event_id % 97 = 0 THEN 'bad' ELSE 'good' END AS kind, cast(0 AS integer) AS partition,
+           CASE WHEN event_id % 97 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS "Time",
+           CASE WHEN event_id % 97 <> 0 THEN 'ST' || cast(user_id % 3 AS varchar) END AS "Station",
+           CASE WHEN event_id % 97 <> 0 THEN value / 20 END AS "pH" FROM events WHERE event_id % 2 = 0""",
+    "overwrite_twice": "SELECT event_id, event_type AS topic, cast(event_id % 2 AS integer) AS partition FROM events WHERE event_id % 3 = 0",
 }

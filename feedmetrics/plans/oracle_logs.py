@@ -83,6 +83,7 @@ SQL = {
             ELSE 'Web Service' END AS service, count(*) AS records FROM valid GROUP BY 1"""),
     "unique_clients": _w("SELECT count(DISTINCT ip) AS unique_clients FROM valid"),
     "log_enriched": _w("SELECT * FROM enriched"),
+    "dictionary_file_lookup": _w("SELECT * FROM enriched"),
     "log_overview": _w("""SELECT count(*) AS lines,
             count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS invalid,
             count(*) FILTER (WHERE ok AND (ends_with(content, '.mpd') OR ends_with(content, '.m3u8'))) AS hls,
@@ -106,6 +107,10 @@ SQL = {
     "city_traffic": _w("SELECT cast(sum(size) AS bigint) AS traffic FROM enriched WHERE city = 'NATION_7'"),
     "latency_summary": _w("""SELECT round(avg(latency), 6) AS latency_mean, max(latency) AS latency_max,
             min(latency) AS latency_min FROM enriched"""),
+    "latency_median_bucketed": _w("""SELECT latency AS latency_median FROM (
+              SELECT latency, row_number() OVER (ORDER BY latency) AS rn, count(*) OVER () AS n
+              FROM enriched WHERE latency IS NOT NULL) WHERE rn = (n + 1) // 2"""),
+    "log_file_roundtrip": _w("SELECT n_fields, latency, ip, hit_status, content, size FROM parsed"),
     "latency_median": _w("""SELECT latency AS latency_median FROM (
               SELECT latency, row_number() OVER (ORDER BY latency) AS rn, count(*) OVER () AS n
               FROM enriched WHERE latency IS NOT NULL) WHERE rn = (n + 1) // 2"""),

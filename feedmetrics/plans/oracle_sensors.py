@@ -12,14 +12,13 @@ _MEASURES = {
               "Water_Root": "value * 2", "Water_Leaf": "kd * 2", "Water_Level": "value + kd", "Voltage": "kd / 20"},
     "WATER": {"pH": "value / 20", "DO": "kd / 10", "Temperature": "value", "Salinity": "kd / 100"},
 }
-_ETYPE = {"AIR": "view", "EARTH": "click", "WATER": "purchase"}
 _SQLTYPE = {"string": "varchar", "double": "double", "int": "integer"}
 
 EV = """ev AS (
   SELECT event_id, event_type, value,
          try_cast(json_extract_string(props, '$.k') AS integer) AS k,
          cast(try_cast(json_extract_string(props, '$.k') AS integer) AS double) AS kd,
-         strftime(ts, '%Y-%m-%d %H:') || cast(minute(ts) // 10 AS varchar) || '0' AS t10,
+         strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS t10,
          'ST' || cast(user_id % 3 AS varchar) AS st
   FROM events)"""
 
@@ -32,9 +31,8 @@ def topic_cte(topic: str) -> str:
         typ = _SQLTYPE[f.dataType.simpleString()]
         good.append(f'cast({expr} AS {typ}) AS "{f.name}"')
         bad.append(f'cast(NULL AS {typ}) AS "{f.name}"')
-    where = f"event_type = '{_ETYPE[topic]}'"
-    return (f"{name} AS (\n  SELECT {', '.join(good)} FROM ev WHERE {where} AND event_id % 97 <> 0\n"
-            f"  UNION ALL\n  SELECT {', '.join(bad)} FROM ev WHERE {where} AND event_id % 97 = 0)")
+    return (f"{name} AS (\n  SELECT {', '.join(good)} FROM ev WHERE event_id % 97 <> 0\n"
+            f"  UNION ALL\n  SELECT {', '.join(bad)} FROM ev WHERE event_id % 97 = 0)")
 
 
 def _with(*ctes: str) -> str:
@@ -104,6 +102,7 @@ SQL = {
     "range_minmax": ALIGNED + """SELECT Max_Air_Temperature, Min_Air_Temperature, Max_Air_Moisture, Min_Air_Moisture,
            Max_Earth_pH, Min_Earth_pH FROM stats""",
     "range_report": _REPORT,
+    "report_roundtrip": f"SELECT line FROM ({_REPORT})",
     "range_duration_events": """SELECT n AS minutes_out_of_range, n // 60 AS hours, n % 60 AS minutes FROM (
            SELECT cast(count(*) FILTER (WHERE value < 5.0 OR value > 40.0) AS bigint) AS n FROM events)""",
     "range_stats_lineitem": """SELECT n AS minutes_out_of_range, n // 60 AS hours, n % 60 AS minutes,

@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from feedmetrics import streaming
 from feedmetrics.operators import quality, sensors
 from feedmetrics.session import fresh_path
-from feedmetrics.sinks import write_documents
+from feedmetrics.sinks import write_documents, write_report
 from feedmetrics.sources.derived import sensor_messages
 from feedmetrics.sources.files import read_documents, read_table
 from feedmetrics.sources.topics import TopicSpec, read_topic
 
 MEAN_SCALE = 6  # running means are rounded so that summation order does not show
-ALIGN_WATERMARK = "30 minutes"
 TOPICS = ("AIR", "EARTH", "WATER")
 ALIASES = {"AIR": "air", "EARTH": "earth", "WATER": "water"}
 
@@ -24,7 +23,7 @@ LINEITEM_BOUNDS = {"l_quantity": (5.0, 40.0), "l_discount": (0.02, 0.08)}
 
 
 def topic_messages(spark: SparkSession, sf_dir: str, topic: str, events: DataFrame | None = None) -> DataFrame:
-    ev = events if events is not None else read_table(spark, sf_dir, "events", spread=True)
+    ev = events if events is not None else read_table(spark, sf_dir, "events")
     return read_topic(spark, TopicSpec(subscribe=(topic,)), stored=sensor_messages(ev, topic))
 
 
@@ -97,6 +96,13 @@ def range_report(spark, sf_dir):
     return quality.range_report(report_input(spark, sf_dir))
 
 
+def report_roundtrip(spark, sf_dir):
+    """The report stored as a text file and read back."""
+    path = fresh_path(spark, "report")
+    write_report(range_report(spark, sf_dir), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 def range_duration_events(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select("value")
     return quality.out_of_range_duration(ev, EVENT_VALUE_BOUNDS)
@@ -124,7 +130,7 @@ def _stream_means(spark, sf_dir, topic):
     path = fresh_path(spark, f"means-{topic.lower()}")
     streaming.run_available_now(means, "table", path, path + "-checkpoint", output_mode="complete",
                                 skip_final_cleanup=True)
-    out = spark.read.parquet(path)
+    out = streaming.read_result_table(spark, path)
     return out.select(*[F.round(c, MEAN_SCALE).alias(c) for c in out.columns])
 
 
@@ -144,7 +150,7 @@ def _stream_aligned(spark, sf_dir):
     ss = streaming.stream_session(spark)
     ev = streaming.table_stream(ss, sf_dir, "events")  # one source feeds all three topics
     return sensors.align_streams([(ALIASES[t], _stream_parsed(spark, sf_dir, t, ev)) for t in TOPICS],
-                                 on=["Time"], watermark=ALIGN_WATERMARK)
+                                 on=["Time"])
 
 
 def align3_stream(spark, sf_dir):
@@ -163,5 +169,5 @@ def doc_stream_roundtrip(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     parse_air, parse_earth, parse_water, align3, doc_roundtrip, range_flags, range_duration,
-    range_minmax, range_report, range_duration_events, range_stats_lineitem,
+    range_minmax, range_report, report_roundtrip, range_duration_events, range_stats_lineitem,
     stream_means_air, stream_means_earth, stream_means_water, align3_stream, doc_stream_roundtrip)}

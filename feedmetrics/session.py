@@ -13,6 +13,7 @@ SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -57,8 +58,9 @@ def local_session(cores: int | str = 8, app: str = "feedmetrics", shuffle_partit
 def work_dir(spark: SparkSession) -> str:
     """Root of the shared folder for checkpoints and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset (local tests) is a
-    private temporary folder created. The folder is also registered as the checkpoint folder
+    Uses the cluster's ``spark.checkpoint.dir``. Where it is unset, a private temporary folder is
+    created if the master is local (as in tests); any other master raises, since executors
+    would not see the driver's folder. The folder is also registered as the checkpoint folder
     of the SparkContext when none is.
     """
     try:
@@ -67,6 +69,8 @@ def work_dir(spark: SparkSession) -> str:
         sc = None
     d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
+        if not spark.conf.get("spark.master", "").startswith("local[") and spark.conf.get("spark.master", "") != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="feedmetrics-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

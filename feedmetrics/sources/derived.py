@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 # How event types map onto cache status tokens and sensor topics.
 EVENT_STATUS = {"view": "TCP_HIT", "click": "TCP_HIT1", "purchase": "TCP_MISS", "signup": "EXPIRED"}
-EVENT_TOPIC = {"view": "AIR", "click": "EARTH", "purchase": "WATER"}
 CONTENT_SUFFIXES = (".mpd", ".m3u8", ".dash", ".ts", ".html")
 
 
@@ -84,21 +83,19 @@ def _k() -> Column:
     return F.get_json_object("props", "$.k").try_cast("int")
 
 
-def _time_bucket() -> Column:
-    """10-minute bucket of ``ts`` as text ``yyyy-MM-dd HH:m0`` (no time-zone involved)."""
-    return F.concat(F.date_format("ts", "yyyy-MM-dd HH:"),
-                    F.floor(F.minute("ts") / F.lit(10)).cast("string"), F.lit("0"))
+def _time_text() -> Column:
+    """``ts`` as text, to the microsecond (no time-zone involved)."""
+    return F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
 def sensor_rows(events: DataFrame, topic: str) -> DataFrame:
-    """Typed sensor readings of one topic (AIR from views, EARTH from clicks, WATER from
-    purchases); measures are fixed functions of ``value`` and ``props.k``. The station is
+    """Typed sensor readings of one topic: every event yields one reading per topic at its own
+    time, so an alignment on ``Time`` has about a row per event at any scale; measures are fixed functions of ``value`` and ``props.k``. The station is
     ``ST<user_id % 3>``. ``Wind_Direction`` is text, as a CSV producer that stringifies
     non-native integers would publish it."""
-    etype = {v: k for k, v in EVENT_TOPIC.items()}[topic]
     v, k = F.col("value"), _k()
     kd = k.cast("double")
-    head = [_time_bucket().alias("Time"),
+    head = [_time_text().alias("Time"),
             F.concat(F.lit("ST"), (F.col("user_id") % 3).cast("string")).alias("Station")]
     if topic == "AIR":
         body = [v.alias("Temperature"), kd.alias("Moisture"), (v * 10).alias("Light"),
@@ -111,8 +108,7 @@ def sensor_rows(events: DataFrame, topic: str) -> DataFrame:
                 (v + kd).alias("Water_Level"), (kd / 20).alias("Voltage")]
     else:
         body = [(v / 20).alias("pH"), (kd / 10).alias("DO"), v.alias("Temperature"), (kd / 100).alias("Salinity")]
-    return (events.where(F.col("event_type") == F.lit(etype))
-            .select(F.col("event_id"), F.col("ts"), *head, *body))
+    return events.select(F.col("event_id"), F.col("ts"), *head, *body)
 
 
 def sensor_messages(events: DataFrame, topic: str) -> DataFrame:

@@ -21,27 +21,10 @@ TABLE_SCHEMAS = {
 DOCUMENT_SCHEMA = "value string"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """One of the driver's parquet tables (``{sf_dir}/{name}.parquet``).
-
-    ``spread=True``: when the scan yields fewer splits than the cluster has task slots (a
-    small or unsplittable file: one parquet row group is one split), spread the rows
-    round-robin over the slots before CPU-heavy per-row work. Large inputs already have
-    many splits and are left as they are, so this never adds a shuffle at scale. Filters
-    and column pruning still reach the scan through the repartition.
-    """
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's parquet tables (``{sf_dir}/{name}.parquet``)."""
     reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small(df) if spread else df
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Spark Connect session): leave the scan as it is
-        return df
-    return df.repartition(slots) if splits < slots else df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -20,48 +20,55 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None,
     shuffles) and whether a closing no-data batch runs (see ``run_available_now``).
     The caller's session is left untouched."""
     s = spark.newSession()
-    try:
-        for k, v in spark.conf.getAll.items():
-            if k.startswith("spark.sql.") and not k.startswith("spark.sql.catalog"):
-                try:
-                    s.conf.set(k, v)
-                except Exception:
-                    pass
-    except Exception:
-        pass
-    try:
-        slots = spark.sparkContext.defaultParallelism
-    except Exception:
-        slots = 8
+    for k, v in spark.conf.getAll.items():
+        if k.startswith("spark.sql.") and not k.startswith("spark.sql.catalog") and spark.conf.isModifiable(k):
+            s.conf.set(k, v)
+    slots = spark.sparkContext.defaultParallelism
     s.conf.set("spark.sql.shuffle.partitions", str(state_partitions or max(1, slots)))
     s.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true" if final_cleanup else "false")
     return s
 
 
 def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A driver table as a stream: new parquet files named ``<table>.parquet`` are new data."""
+    """A driver table as a stream: the part files of the folder ``<table>.parquet`` are the data,
+    or, where that is a single file, files of this name. Raises if there is neither."""
     from feedmetrics.sources.files import TABLE_SCHEMAS
 
-    schema = TABLE_SCHEMAS.get(table) or spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(hadoop)
+    schema = TABLE_SCHEMAS.get(table) or spark.read.parquet(path).schema
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(sf_dir)
+    return r.parquet(path) if status.isDirectory() else r.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
 
 def _overwrite_table(path: str):
+    """Each micro-batch writes a folder of its own, so a reader always has a complete result."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id:020d}")
     return write
 
 
+def read_result_table(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete result of a ``table`` sink (its folder with the largest epoch that has
+    the writer's success mark)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/epoch=*/_SUCCESS")
+    found = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(hadoop)
+    if not found:
+        raise FileNotFoundError(f"no complete result under {path}")
+    return spark.read.parquet(max(f.getPath().getParent().toString() for f in found))
+
+
 def start_sink(df: DataFrame, kind: str, path: str | None = None, checkpoint: str | None = None,
                name: str | None = None, trigger: dict | None = None, output_mode: str = "append",
                partition_by: Sequence[str] = (), options: dict | None = None) -> StreamingQuery:
     """Start one streaming query.
 
     kind: ``json``/``parquet``/``csv``/``text`` (file sink, append), ``table`` (the whole
-    result rewritten as parquet per micro-batch: for small complete-mode aggregates),
+    result written as parquet per micro-batch, each in a folder of its own, see
+    ``read_result_table``: for small complete-mode aggregates),
     ``kafka`` (publish ``topic, partition, key, value`` rows; pass
     ``options={"kafka.bootstrap.servers": ...}``; needs the Kafka connector), ``memory``
     (driver memory: small results in tests only), ``console`` (preview).

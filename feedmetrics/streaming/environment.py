@@ -18,7 +18,7 @@ from feedmetrics.streaming import EVERY_MINUTE, start_sink
 
 
 def start_environment_queries(topics: Mapping[str, DataFrame], out_root: str, checkpoint_root: str,
-                              trigger: dict | None = None, watermark: str | None = "30 minutes",
+                              trigger: dict | None = None, watermark: str | None = None,
                               console: bool = False, numeric_strings: str = "coerce",
                               means_kind: str = "table") -> dict[str, StreamingQuery]:
     """``topics``: ``{"AIR": messages, "EARTH": ..., "WATER": ...}`` streaming DataFrames in the

@@ -49,12 +49,14 @@ def test_consume_partition_stores_each_message_once(spark, scratch):
     spec = TopicSpec(assign={"AIR": [0], "EARTH": [0]})
     q = apps.consume_partition(spark, spec, scratch + "/out", scratch + "/chk", trigger=streaming.AVAILABLE_NOW,
                                stored=stored)
-    streaming.run_all([q], timeout=300)
+    streaming.run_all(q, timeout=300)
     back = spark.read.schema("value string, topic string, partition int").option("header", True).csv(scratch + "/out")
+    rejects = spark.read.schema("value string, topic string, partition int").option("header", True).csv(scratch + "/out_rejects")
     batch = spark.read.parquet(f"{SF}/events.parquet")
     want = sensor_messages(batch, "AIR").unionByName(sensor_messages(batch, "EARTH")).where("partition = 0")
     good = want.where("event_id % 97 <> 0" if "event_id" in want.columns else "offset % 97 <> 0")
     assert back.count() == good.count()
+    assert rejects.count() == want.count() - good.count() > 0
     assert {r.partition for r in back.select("partition").distinct().collect()} == {0}
 
 
@@ -91,7 +93,7 @@ def test_consume_partition_expands_fields(spark, scratch):
     schema = "Time string, Station string, pH double, DO double, Temperature double, Salinity double"
     q = apps.consume_partition(spark, TopicSpec(assign={"WATER": [1]}), scratch + "/out", scratch + "/chk",
                                trigger=streaming.AVAILABLE_NOW, stored=stored, schema=schema)
-    streaming.run_all([q], timeout=300)
+    streaming.run_all(q, timeout=300)
     back = spark.read.schema(schema + ", topic string, partition int").option("header", True).csv(scratch + "/out")
     batch = sensor_plans.parse_water(spark, SF)
     want = sensor_messages(spark.read.parquet(f"{SF}/events.parquet"), "WATER").where("partition = 1 AND offset % 97 <> 0")

@@ -92,7 +92,7 @@ def test_lookup_not_hinted_when_over_limit(spark):
     assert not hinted
     _, hinted = lookup.checked_broadcast(d, max_rows=10, max_bytes=20)   # 2 rows x ~22 bytes
     assert not hinted
-    _, hinted = lookup.checked_broadcast(d, max_rows=10, max_bytes=100)
+    _, hinted = lookup.checked_broadcast(d, max_rows=10, max_bytes=200)   # with 64 bytes a row
     assert hinted
     plan = lookup.dictionary_lookup(_records(spark), d, max_broadcast_rows=1)._jdf.queryExecution() \
         .optimizedPlan().toString()

@@ -14,7 +14,15 @@ def test_to_messages_types(spark):
     df = spark.createDataFrame([(1, 2.5, "x", True, None)], "i int, d double, s string, b boolean, n string")
     df = df.withColumn("ts", F.to_timestamp(F.lit("2024-01-01 00:00:07.5")))
     got = json.loads(df.select(messages.to_messages(df).alias("v")).first().v)
-    assert got == {"i": 1, "d": 2.5, "s": "x", "b": True, "ts": "2024-01-01 00:00:07.5"}
+    assert got == {"i": 1, "d": 2.5, "s": "x", "b": "True", "ts": "2024-01-01 00:00:07.5"}
+
+
+def test_blank_numbers_and_booleans(spark):
+    df = spark.createDataFrame([(None, None, None)], "i int, d double, b boolean")
+    assert json.loads(df.select(messages.to_messages(df).alias("v")).first().v) == {"d": "NaN"}
+    assert df.select(messages.to_messages(df, blanks="omit", booleans="json").alias("v")).first().v == "{}"
+    yes = spark.createDataFrame([(True,)], "b boolean")
+    assert json.loads(yes.select(messages.to_messages(yes, booleans="json").alias("v")).first().v) == {"b": True}
 
 
 def test_positions_are_dense_and_ordered(spark):

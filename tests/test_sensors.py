@@ -46,6 +46,10 @@ def test_split_malformed(spark):
     df = _msgs(spark, ['{"a":1}', "garbage", '{"a": 1', None, "[1,2]"])
     good, bad = messages.split_malformed(df)
     assert good.count() == 1 and bad.count() == 4
+    # The parser alone would accept these.
+    odd = ['{"a":1} xyz', "{'a':1}", '{"a":1}{"b":2}', "", "  ", '{"a":1},{"b":2}', '{"a":1}],[{"b":2}', '{"a":1}},{"y":{"b":2}', "5", '"a"', "null"]
+    good, bad = messages.split_malformed(_msgs(spark, [*odd, ' {"a": {"b": [1, {"c": null}]}, "d": "}]"} ', "{}", '{"a": NaN}']))
+    assert bad.count() == len(odd) and good.count() == 3
 
 
 def _side(spark, rows):

@@ -50,6 +50,26 @@ def test_alignment_with_one_hot_time(spark, skew_conf):
     assert out.count() == 3000 * 2 + 3000
 
 
+def test_every_join_of_three_frames_splits_a_hot_time(spark, skew_conf):
+    rows = [("hot", f"S{i % 3}", float(i)) for i in range(3000)] + [(f"t{i}", "S0", float(i)) for i in range(3000)]
+    few = [("hot", "S0", 1.0)] + [(f"t{i}", "S0", 1.0) for i in range(3000)]
+    schema = "Time string, Station string, x double"
+    a = spark.createDataFrame([*rows, (None, "S", 1.0)], schema).repartition(8)
+    b, c = (spark.createDataFrame([*few, (None, "S", 1.0)], schema).repartition(8) for _ in range(2))
+    out = sensors.align_streams([("a", a), ("b", b), ("c", c)])
+    assert _final_plan(out).count("SortMergeJoin(skew=true)") == 2
+    assert out.columns == ["Time", "a_Station", "a_x", "b_Station", "b_x", "c_Station", "c_x"]
+    assert out.count() == 3000 + 3000
+
+
+def test_salt_splits_equal_rows(spark, skew_conf):
+    left = spark.createDataFrame([("k", 1)] * 4000, "ip string, x int").repartition(4)
+    right = spark.createDataFrame([("k", "v")], "ip string, y string")
+    out = lookup.salted_join(left, right, "ip", "left", ["k"], buckets=8)
+    assert out.count() == 4000
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
 def test_lookup_with_hot_ip_over_broadcast_limit(spark, skew_conf):
     recs = spark.createDataFrame([(i, "10.0.0.1" if i % 3 else f"10.0.1.{i % 200}") for i in range(6000)],
                                  "line_id long, ip string").repartition(8)

@@ -1,6 +1,6 @@
 """Streams: equal to batch, restart from checkpoint without loss or duplicates."""
 
-
+import pytest
 from pyspark.sql import functions as F
 
 from feedmetrics import streaming
@@ -73,7 +73,7 @@ def test_environment_application(spark, scratch):
     docs = sensors.flatten(sensors.parse_document(read_documents(spark, scratch + "/out/documents")))
     want = plans.report_input(spark, sf)
     assert sorted(tuple(r) for r in docs.collect()) == sorted(tuple(r) for r in want.collect())
-    m = spark.read.parquet(scratch + "/out/means_earth").first().asDict()
+    m = streaming.read_result_table(spark, scratch + "/out/means_earth").first().asDict()
     b = sensors.running_means(plans.parse_earth(spark, sf), sensors.MEAN_COLUMNS["EARTH"]).first().asDict()
     assert {k: round(v, 6) for k, v in m.items()} == {k: round(v, 6) for k, v in b.items()}
 
@@ -91,7 +91,7 @@ def test_running_means_over_several_batches(spark, sf_dir, scratch):
                              trigger=streaming.AVAILABLE_NOW, output_mode="complete")
     streaming.run_all([q], timeout=300)
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
-    got = spark.read.parquet(scratch + "/m").first().asDict()
+    got = streaming.read_result_table(spark, scratch + "/m").first().asDict()
     want = sensors.running_means(plans.parse_air(spark, sf_dir), sensors.MEAN_COLUMNS["AIR"]).first().asDict()
     assert {k: round(v, 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()}
 
@@ -105,3 +105,45 @@ def test_environment_means_as_memory_tables(spark, scratch):
                                    means_kind="memory")
     streaming.run_all(list(qs.values()), timeout=600)
     assert spark.table("stats_table_water").columns == ["pH_mean", "DO_mean", "Temperature_mean", "Salinity_mean"]
+
+
+def test_a_folder_of_part_files_is_streamed_whole(spark, sf_dir, scratch):
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev.repartition(4).write.parquet(scratch + "/events.parquet")
+    streaming.run_available_now(streaming.table_stream(spark, scratch, "events", max_files_per_trigger=1).select("event_id"),
+                                "parquet", scratch + "/o", scratch + "/c")
+    assert spark.read.parquet(scratch + "/o").count() == ev.count()
+    with pytest.raises(Exception, match="does not exist"):
+        streaming.table_stream(spark, scratch, "nothing")
+
+
+def test_late_rows_and_odd_times_stay_by_default(spark, scratch):
+    """Four times per topic over several batches, the last one late, one time with seconds and
+    one that is none: without a watermark every pair is kept."""
+    times = ["2023-08-23 10:00", "2023-08-23 12:00", "2023-08-23 00:01:00", "not a time", "2023-08-23 01:00"]
+    for i, t in enumerate(times):
+        spark.createDataFrame([(t, "S", float(i))], "Time string, Station string, x double").coalesce(1).write.parquet(f"{scratch}/in/{i}")
+
+    def side():
+        return (spark.readStream.schema("Time string, Station string, x double").option("recursiveFileLookup", "true")
+                .option("maxFilesPerTrigger", 1).parquet(scratch + "/in"))
+
+    out = sensors.align_streams([("a", side()), ("b", side()), ("c", side())])
+    streaming.run_available_now(out, "parquet", scratch + "/o", scratch + "/c")
+    assert sorted(r["Time"] for r in spark.read.parquet(scratch + "/o").collect()) == sorted(times)
+    limited = sensors.align_streams([("a", side()), ("b", side())], watermark="30 minutes")
+    streaming.run_available_now(limited, "parquet", scratch + "/o2", scratch + "/c2")
+    assert {r["Time"] for r in spark.read.parquet(scratch + "/o2").collect()} <= set(times) - {"not a time"}
+    batch = spark.read.parquet(*[f"{scratch}/in/{i}" for i in range(len(times))])
+    assert [r["Time"] for r in sensors.untimed(batch).collect()] == ["not a time"]
+
+
+def test_result_table_is_the_last_complete_one(spark, scratch):
+    import os
+
+    for k in (1, 2):
+        spark.range(k).write.parquet(f"{scratch}/m/epoch={k:020d}")
+    os.makedirs(f"{scratch}/m/epoch={3:020d}")  # begun, not finished
+    assert streaming.read_result_table(spark, scratch + "/m").count() == 2
+    with pytest.raises(FileNotFoundError):
+        streaming.read_result_table(spark, scratch + "/none")
