@@ -92,14 +92,8 @@ def feed_messages(spark: SparkSession, csv_path: str, schema: str, topic: str, p
     partition = row position mod ``partitions``. ``order_by`` gives the row order (default: the
     file and the position in it)."""
     rows = read_feed(spark, csv_path, schema)
-    if order_by is None:
-        rows = rows.withColumn("_file", F.col("_metadata.file_path")).withColumn("_pos", F.monotonically_increasing_id())
-        order = ["_file", "_pos"]
-    else:
-        order = list(order_by)
-    cols = [c for c in rows.columns if c not in ("_file", "_pos")]
-    p = messages.assign_partition(rows, partitions, order)
-    return p.select(F.lit(topic).alias("topic"), "partition", messages.to_messages(p, cols).alias("value"))
+    p = messages.assign_partition(rows, partitions, None if order_by is None else list(order_by))
+    return p.select(F.lit(topic).alias("topic"), "partition", messages.to_messages(p, rows.columns).alias("value"))
 
 
 def publish_feed(spark: SparkSession, csv_path: str, schema: str, topic: str, spec: TopicSpec,

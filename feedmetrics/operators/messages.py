@@ -72,9 +72,27 @@ def with_positions(df: DataFrame, order_by: Sequence[str], name: str = "position
     return tagged.join(F.broadcast(offsets), "_pid").select(*[F.col(q(c)) for c in df.columns], pos)
 
 
-def assign_partition(df: DataFrame, n: int, order_by: Sequence[str], name: str = "partition") -> DataFrame:
-    """Round robin over ``n`` partitions by row position: ``position mod n``."""
-    p = with_positions(df, order_by, "_position")
+def with_file_positions(df: DataFrame, name: str = "position") -> DataFrame:
+    """0-based position of each row of a file scan, in the order of file name and place in the file.
+
+    No shuffle and no copy of the rows: a task reads a split's rows one after another, so a row's
+    number within its split is its number in the task less the split's first; the rows before
+    the split come from one aggregated row per split, which is broadcast. The scan is read twice
+    (the first time without its columns); both reads cut the files into the same splits."""
+    split = ["_file", "_start"]
+    tagged = (df.withColumn("_file", F.col("_metadata.file_path")).withColumn("_start", F.col("_metadata.file_block_start"))
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    per = tagged.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    offsets = per.select(*split, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    pos = (F.col("_off") + F.col("_mid") - F.col("_first")).alias(name)
+    return tagged.join(F.broadcast(offsets), split).select(*[F.col(q(c)) for c in df.columns], pos)
+
+
+def assign_partition(df: DataFrame, n: int, order_by: Sequence[str] | None, name: str = "partition") -> DataFrame:
+    """Round robin over ``n`` partitions by row position: ``position mod n``. Without ``order_by``
+    (``df`` is then a file scan) the position is the place in the files."""
+    p = with_positions(df, order_by, "_position") if order_by is not None else with_file_positions(df, "_position")
     return p.withColumn(name, F.pmod(F.col("_position"), F.lit(n)).cast("int")).drop("_position")
 
 

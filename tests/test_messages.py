@@ -69,3 +69,24 @@ def test_route_to_csv_keeps_every_row(spark, scratch):
     back = read_feed(spark, scratch + "/r", "n int, s string, topic string, partition int")
     assert back.count() == 50
     assert sorted(r.n for r in back.where("partition = 0").collect()) == list(range(0, 50, 2))
+
+
+def test_file_positions_follow_files_and_places(spark, scratch):
+    """Files of unlike sizes, cut into several splits: the numbering is that of the files in order."""
+    expect = []
+    for k, n in enumerate((40, 900, 300)):
+        with open(f"{scratch}/part{k}.csv", "w") as f:
+            f.write("k,v\n" + "".join(f"{k * 1000 + i},{'x' * 20}\n" for i in range(n)))
+        expect += [k * 1000 + i for i in range(n)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        rows = spark.read.schema("k long, v string").option("header", True).csv(scratch)
+        assert rows.rdd.getNumPartitions() > 3
+        out = messages.with_file_positions(rows)
+        got = sorted((r.position, r.k) for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == list(enumerate(expect))
+    assert "rangepartitioning" not in plan and "SortMergeJoin" not in plan
