@@ -222,6 +222,18 @@ def test_one_of_each_group_stays(spark):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0 and jaccard.keep_first(docs.limit(0)).count() == 0
 
 
+def test_slices_of_a_batch_are_read_right():
+    texts = ["one two three four five six", None, "", " \t", "a b", "Ab c d e f g h ", "x " * 50]
+    rng = random.Random(8)
+    texts += [" ".join(f"W{rng.randint(0, 99)}é" for _ in range(rng.randint(1, 900))) for _ in range(20)]
+    for lo in range(len(texts)):
+        part, whole = pa.array(texts).slice(lo, 3), pa.array(texts[lo:lo + 3], pa.string())
+        assert [s.tolist() for s in jaccard.shingle_sets(part)] == [s.tolist() for s in jaccard.shingle_sets(whole)]
+        assert [len(s) for s in jaccard.shingle_sets(part)] == [len(shingles(t)) for t in texts[lo:lo + 3]]
+        for got, want in zip(decontaminate.flat_terms(part), decontaminate.flat_terms(whole), strict=True):
+            assert got.tolist() == want.tolist()
+
+
 # -- pipeline ----------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark, sf_dir, scratch):
