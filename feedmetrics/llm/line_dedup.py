@@ -136,7 +136,8 @@ def delete_repeats(docs: DataFrame, *, min_words: int = 50, id_col: str = "doc_i
     changed, null where no line is left) and n_lines, n_deleted."""
     gone = deleted_lines(docs, id_col, text_col, min_words)
     columns = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
-    rows = keyed(docs.select(*columns), id_col, text_col).join(gone, KEY, "left")
+    # Always a merge join: what is deleted grows with the documents.
+    rows = keyed(docs.select(*columns), id_col, text_col).join(gone.hint("merge"), KEY, "left")
     lines = F.split(text_col, "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     text = F.when(F.col("gone").isNull(), F.col(text_col)).when(F.size(left) > 0, F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
