@@ -229,8 +229,8 @@ class Recent:
         """A dictionary that has all of ``keys``."""
         if len(self.young) > self.most:
             self.young, self.old = {}, self.young
-        new = list(keys - self.young.keys())
-        old = self.old
+        young, old = self.young, self.old
+        new = [k for k in keys if k not in young]  # not a difference of views: that would walk the dictionary
         fresh = [k for k in new if k not in old]
         if len(fresh) < len(new):
             self.young.update({k: old[k] for k in new if k in old})

@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.common import column, saved, slices
+from feedmetrics.llm.common import column, plain_text, saved, slices
 
 SEGMENT, WINDOW, BLOCK, SHINGLE = 64, 128, 8, 5
 K1, B = 1.2, 0.75
@@ -52,7 +52,7 @@ PASS_BYTES = 16 << 20
 
 def terms_of(texts: pa.Array) -> pa.ListArray:
     """The terms of each text; of null and of texts without a letter or digit, none."""
-    plain = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())), r"[^\pL\pN]+", " ")
+    plain = pc.replace_substring_regex(pc.utf8_lower(plain_text(texts)), r"[^\pL\pN]+", " ")
     return pc.utf8_split_whitespace(pc.utf8_trim(plain, " "))
 
 
@@ -61,7 +61,8 @@ def flat_terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     lists = terms_of(texts)
     if isinstance(lists, pa.ChunkedArray):
         lists = lists.combine_chunks()
-    values, offsets = lists.values, lists.offsets.to_numpy()
+    offsets = lists.offsets.to_numpy()
+    values, offsets = lists.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]  # the input may be a slice
     blank = pc.equal(values, "").to_numpy(zero_copy_only=False)
     if blank.any():  # splitting an empty text gives one empty string
         kept = np.concatenate([[0], np.cumsum(~blank)])

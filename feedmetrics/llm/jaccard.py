@@ -12,8 +12,7 @@ shingles that fill large regions last (rarer first), so that a passage that many
 documents share does not make a region. The order decides how much work there is, not the result.
 
 A region is joined recursively by pivots that are points of it: in each round every unfinished region
-picks a bounded number of pivots, first from the smallest connected groups, and
-each is compared with the region's points of other groups. A point's nearest pivot so
+picks some pivots, first from the smallest connected groups, and each is compared with the region's points of other groups. A point's nearest pivot so
 far is its Voronoi cell; by the triangle inequality a new pivot q and a point x of cell p can be
 neighbours only if |d(x, p) - d(q, p)| <= r, and only such q are replicated into the cell. Only
 the connected groups are asked for, so points that are already connected are not compared,
@@ -36,15 +35,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.bpe import Recent
-from feedmetrics.llm.common import column, saved, slices
+from feedmetrics.llm.common import column, plain_text, saved, slices
 
 #: Words of a shingle.
 N = 5
@@ -54,16 +52,12 @@ LEAST, MUCH = 75, 100
 LARGE = 8
 #: ... for at most so many shingles, the largest regions' (they are sent with the tasks).
 MAX_LARGE = 100_000
-#: Pivots of a region in one round.
+#: Pivots of a region in the first round; each further round has four times as many.
 PIVOTS = 16
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
-def word_number(words: list[bytes]) -> list[int]:
-    return [int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little") for w in words]
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(33))
     h = h * np.uint64(0xFF51AFD7ED558CCD)
@@ -72,24 +66,47 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-_words: list[Recent] = []
+_BYTES = np.random.default_rng(5).integers(1, 1 << 63, 256, np.uint64)
+_STEP = 0x9E3779B97F4A7C15
+
 
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words, offsets of each text): A-Z lower-cased, split at the six white-space
+    bytes. A word's hash is a polynomial of its bytes' random numbers, for all words at once."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(plain_text(texts)))
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    words, offsets = lists.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]  # the input may be a slice
+    blank = pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    if blank.any():  # white space at an end gives an empty word
+        kept = np.concatenate([[0], np.cumsum(~blank)])
+        words, offsets = words.filter(pa.array(~blank)), kept[offsets]
+    if not len(words):
+        return np.empty(0, np.uint64), offsets
+    place = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[place[0]:place[-1]]
+    size, place = np.diff(place), place[:-1] - place[0]
+    powers = np.concatenate([[1], np.cumprod(np.full(int(size.max()), _STEP, np.uint64))]).astype(np.uint64)
+    terms = _BYTES[data] * powers[np.arange(len(data)) - np.repeat(place, size)]
+    return mixed(np.add.reduceat(terms, place) + size.astype(np.uint64)), offsets
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     """The distinct shingles of each text as ascending 64-bit hashes (signed)."""
-    if not _words:
-        _words.append(Recent(word_number, 400_000))
-    words = [(t or "").encode().lower().split() for t in texts]  # bytes: A-Z only, and the six white-space bytes
-    known = _words[0].learn(set().union(*words))
+    h, offsets = word_hashes(texts)
+    runs = np.full(max(0, len(h) - N + 1), N, np.uint64)
+    for j in range(N):
+        runs += h[j:j + len(runs)] * _FACTORS[j]
+    runs = mixed(runs).view(np.int64)
     out = []
-    for w in words:
-        n = len(w)
-        h = np.fromiter(map(known.__getitem__, w), np.uint64, n)
-        k = min(n, N)
-        s = np.full(max(0, n - N + 1) if n >= N else min(n, 1), k, np.uint64)
-        for j in range(k):
-            s += h[j:j + len(s)] * _FACTORS[j]
-        out.append(np.unique(mixed(s).view(np.int64)))
+    for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        if hi - lo >= N:
+            s = np.sort(runs[lo:hi - N + 1])
+            out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
+        elif hi > lo:  # fewer words than a shingle: the whole sequence
+            whole = np.uint64(hi - lo) + (h[lo:hi] * _FACTORS[:hi - lo]).sum(dtype=np.uint64)
+            out.append(mixed(np.array([whole])).view(np.int64))
+        else:
+            out.append(np.empty(0, np.int64))
     return out
 
 
@@ -117,7 +134,7 @@ def per_text(docs: DataFrame, schema: str, make) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in slices(big, "text", 2 << 20):
-                yield make(b, shingle_sets(column(b, "text").to_pylist()))
+                yield make(b, shingle_sets(column(b, "text")))
 
     return docs.mapInArrow(run, schema)
 
@@ -182,11 +199,11 @@ class Comparer:
 
     def __init__(self, docs: DataFrame, point_rows: DataFrame, region_rows: DataFrame):
         self.sizes = saved(region_rows.groupBy("cid").agg(F.max("n").alias("n"), F.collect_list("g").alias("gs")), "point-regions")
-        reps = point_rows.where("is_rep").groupBy("u", "cid").count().select("u", "cid").join(self.sizes.select("cid"), "cid")
+        # A key and hash of a text that has the point's set (rows of one key may differ in text).
+        reps = point_rows.where("is_rep").groupBy("u", "cid").agg(F.min("h").alias("h")).join(self.sizes.select("cid"), "cid")
         # Always a merge join: the representatives grow with the documents.
-        text = docs.select("u", "text").join(saved(reps, "representatives").hint("merge"), "u")
-        # Rows of one key may differ in text; the digest of the set tells which is the point.
-        self.texts = saved(text.select("cid", "text"), "point-texts")
+        text = docs.select("u", "h", "text").join(saved(reps, "representatives").hint("merge"), ["u", "h"])
+        self.texts = saved(text.dropDuplicates(["cid"]).select("cid", "text"), "point-texts")
 
     def distances(self, pairs: DataFrame) -> DataFrame:
         """(a, b, d) of the pairs that pass the bounds; saved."""
@@ -201,21 +218,19 @@ class Comparer:
 
 
 def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    @lru_cache(2000)
-    def one(text: str) -> np.ndarray:
-        return shingle_sets([text])[0]
-
-    for b in batches:
-        rows = []
-        for a, c, na, nb, ta, tb in zip(*(column(b, x).to_pylist() for x in ("a", "b", "na", "nb", "ta", "tb")), strict=True):
-            x, y = one(ta), one(tb)
-            if len(x) != na or len(y) != nb:
-                continue  # another text of the same id
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            union = len(x) + len(y) - both
-            rows.append((a, c, 1 - both / union, MUCH * both >= LEAST * union))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.bool_()), strict=True)],
+    """The exact distance of each pair of texts; the sets of a batch's distinct points are made together."""
+    for big in batches:
+        for b in slices(big, "ta", 1 << 20):
+            text = dict(zip(column(b, "a").to_pylist(), column(b, "ta").to_pylist(), strict=True)) | dict(zip(column(b, "b").to_pylist(), column(b, "tb").to_pylist(), strict=True))
+            size = dict(zip(column(b, "a").to_pylist(), column(b, "na").to_pylist(), strict=True)) | dict(zip(column(b, "b").to_pylist(), column(b, "nb").to_pylist(), strict=True))
+            sets = dict(zip(text, shingle_sets(pa.array(text.values(), pa.large_string())), strict=True))
+            rows = []
+            for x, y in zip(column(b, "a").to_pylist(), column(b, "b").to_pylist(), strict=True):
+                u, v = sets[x], sets[y]
+                both = int((v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u).sum())
+                union = size[x] + size[y] - both
+                rows.append((x, y, 1 - both / union, MUCH * both >= LEAST * union))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.bool_()), strict=True)],
                                              ["a", "b", "d", "link"])
 
 
@@ -245,7 +260,7 @@ def region_links(docs: DataFrame, point_rows: DataFrame) -> DataFrame | None:
     # Regions of two points are their pair; the others are joined by pivots.
     done = comparer.distances(groups.where("k = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).distinct())
     members = saved(rows.join(groups.where("k > 2").select("g"), "g").select("g", "cid", "n"), "region-members")
-    used, near, labels = None, None, components(done.where("link"))
+    used, near, labels, turn = None, None, components(done.where("link")), 0
     while True:
         now = members.join(labels, "cid", "left").withColumn("c", F.coalesce("c", "cid"))
         if used is not None:
@@ -256,7 +271,10 @@ def region_links(docs: DataFrame, point_rows: DataFrame) -> DataFrame | None:
         groups_in = saved(now.groupBy("g", "c").agg(F.count(F.lit(1)).alias("size")), "region-components")
         largest = groups_in.groupBy("g").agg(F.max(F.struct("size", "c")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("g", F.col("top.c").alias("top"))
         open_ = now.where("not used").join(groups_in, ["g", "c"]).join(saved(largest, "region-largest"), "g").where("c <> top")
-        salt = F.pmod(F.xxhash64("cid", "g"), F.lit(PIVOTS))
+        # More pivots in every round: a group of near copies is done after the first ones, while
+        # regions of unlike points need all of theirs, in few rounds.
+        salt = F.pmod(F.xxhash64("cid", "g"), F.lit(PIVOTS * 4 ** min(turn, 8)))
+        turn += 1
         pivots = (open_.groupBy("g", salt.alias("salt")).agg(F.min(F.struct("size", F.xxhash64("cid").alias("h"), "cid", "c", "n")).alias("p"))
                   .select("g", F.col("p.cid").alias("q"), F.col("p.c").alias("qc"), F.col("p.n").alias("qn")))
         pivots = saved(pivots, "pivots")
@@ -277,7 +295,8 @@ def region_links(docs: DataFrame, point_rows: DataFrame) -> DataFrame | None:
         centres = saved(used.select(F.col("cid").alias("p")).distinct(), "centres")
         either = done.select(F.col("a").alias("x"), F.col("b").alias("p"), "d").unionByName(done.select(F.col("b").alias("x"), F.col("a").alias("p"), "d"))
         near = saved(either.join(centres, "p").select("x", "p", "d"), "pivot-distances")
-        labels = components(done.where("link"))
+        if not fresh.where("link").isEmpty():
+            labels = components(done.where("link"))
 
 
 def prepared(docs: DataFrame) -> DataFrame:
