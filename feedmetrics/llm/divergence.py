@@ -3,10 +3,15 @@
 A first pass over all documents makes the language references: per language the histogram of
 character classes and the shares of its common words (words with at least ``min_share`` of the
 language's words, so at most 1 / min_share of them). A second pass compares each document's
-histograms with every reference by the Jensen-Shannon distance (base 2, so between 0 and 1) and
-takes the nearest. Distances of short texts are large by chance alone; the limits therefore
-widen as noise / sqrt(words), and texts under ``min_words`` are not judged by distance at all (the
-base rules fail them first).
+histograms with every reference by the Jensen-Shannon distance (base 2, so between 0 and 1); the
+reference with the least sum of both distances judges it. The word distance is that among the
+common words, 1 if the text has none: with all other words as one cell, a text without common
+words would be at a moderate distance. How many of the words are common is judged by itself: at
+least ``min_common`` of the reference's share, less two standard deviations of a sample of that
+size. Distances of short texts are large by chance alone: the limit of the class distance widens
+as noise / sqrt(words), and the square of the word distance may exceed ``max_word`` squared by
+what sampling gives so many common words. Texts under ``min_words`` are not judged by distance at
+all (the base rules fail them first).
 
 Base rules: fewer than ``min_words`` words, or more than half of the words within repeated
 three-word windows.
@@ -85,7 +90,17 @@ class Reference:
     def __init__(self, classes: np.ndarray, words: dict[bytes, float]):
         self.classes = classes / max(1, classes.sum())
         self.words = list(words)
-        self.shares = np.array([*words.values(), max(0.0, 1 - sum(words.values()))])
+        self.common = min(1.0, sum(words.values()))
+        self.shares = np.array(list(words.values()), float) / (self.common or 1)
+
+    def word_limit(self, common: float, max_word: float) -> float:
+        """The largest usual word distance of a text with so many ``common`` words: by chance a
+        word of share s adds about 1 / (8 common ln 2) to the divergence, and at most s."""
+        return float(np.sqrt(max_word ** 2 + np.minimum(self.shares, 1 / (8 * max(common, 1) * np.log(2))).sum()))
+
+    def least_common(self, n: int, part: float) -> float:
+        """The least usual number of common words among ``n`` words."""
+        return part * self.common * n - 2 * (self.common * (1 - self.common) * n) ** 0.5
 
 
 def references(docs: DataFrame, min_share: float = 0.002, min_words: int = 50) -> dict[str, Reference]:
@@ -133,21 +148,24 @@ def references(docs: DataFrame, min_share: float = 0.002, min_words: int = 50) -
     return {k: Reference(c, dict(sorted(w.items()))) for k, (c, w) in sorted(found.items())}
 
 
-def nearest(words: list[bytes], classes: np.ndarray, refs: dict[str, Reference]) -> tuple[float, float]:
-    """The least character-class and the least common-word distance to a reference."""
+def nearest(words: list[bytes], classes: np.ndarray, refs: dict[str, Reference]) -> tuple[float, float, float, Reference | None]:
+    """The character-class and the common-word distance to the reference with the least sum of
+    both, the number of its common words in the text, and the reference."""
     count = Counter(words)
     share = classes / max(1, classes.sum())
-    by_class, by_word = [], []
+    best = 0.0, 0.0, 0.0, None
     for r in refs.values():
         own = np.fromiter((count.get(w, 0) for w in r.words), float, len(r.words))
-        p = np.append(own, len(words) - own.sum()) / len(words)
-        by_class.append(js_distance(share, r.classes))
-        by_word.append(js_distance(p, r.shares))
-    return min(by_class, default=0.0), min(by_word, default=0.0)
+        common = float(own.sum())
+        by_class = js_distance(share, r.classes)
+        by_word = js_distance(own / common, r.shares) if common else float(bool(r.words))
+        if best[3] is None or by_class + by_word < best[0] + best[1]:
+            best = by_class, by_word, common, r
+    return best
 
 
 def judge(docs: DataFrame, refs: dict[str, Reference] | None = None, *, min_words: int = 50, max_class: float = 0.28,
-          max_word: float = 0.5, noise: float = 2.0) -> DataFrame:
+          max_word: float = 0.5, noise: float = 2.0, min_common: float = 0.5) -> DataFrame:
     """Per document: doc_id, the base counts, base_failed, kept, and both distances."""
     refs = references(docs, min_words=min_words) if refs is None else refs
 
@@ -161,10 +179,11 @@ def judge(docs: DataFrame, refs: dict[str, Reference] | None = None, *, min_word
                     n, chars = len(words), int(classes.sum() - classes[CLASSES.index("space")])
                     again = repeat_words(words)
                     failed = n < min_words or 100 * again > 50 * n
-                    c, w = nearest(words, classes, refs) if n >= min_words else (0.0, 0.0)
-                    wide = noise / n ** 0.5 if n else 0.0
+                    c, w, common, ref = nearest(words, classes, refs) if n >= min_words else (0.0, 0.0, 0.0, None)
+                    usual = ref is None or (c <= max_class + noise / n ** 0.5 / 10 and w <= ref.word_limit(common, max_word)
+                                            and common >= ref.least_common(n, min_common))
                     rows.append((n, chars, int(classes[CLASSES.index("symbol")]), duplicate_lines(raw), again, failed,
-                                 not failed and c <= max_class + wide / 10 and w <= max_word + wide, c, w))
+                                 not failed and usual, c, w))
                 kinds = (*[pa.int64()] * 5, pa.bool_(), pa.bool_(), pa.float64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([column(b, "doc_id"), *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))], NAMES)
 

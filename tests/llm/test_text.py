@@ -1,6 +1,7 @@
 """Divergence rules (6), chat collapse (7) and language identification (10)."""
 
 import itertools
+import random
 import re
 from collections import Counter
 
@@ -46,6 +47,20 @@ def test_distances():
     assert far[0] > 0.7 > near[0] and far[1] > near[1]
 
 
+def test_noise_of_any_length_is_rejected(spark):
+    """Words that are common in no language, and 'word | word' texts, of few and of many words."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    refs = divergence.references(docs)
+    rng = random.Random(3)
+    prose = [w for t, in docs.where("lang = 'en'").select("text").limit(200).collect() for w in (t or "").split() if w.isascii()]
+    seldom = sorted({w for w in prose if w.isalpha() and not any(w.encode() in r.words for r in refs.values())})
+    rows = []
+    for n in (60, 200, 2000):
+        rows += [(n, " ".join(rng.choices(seldom, k=n))), (n + 1, " ".join(w if i % 2 else "|" for i, w in enumerate(rng.choices(seldom, k=n)))), (n + 2, " ".join(rng.choices([w for w in prose if w != "|"], k=n)))]
+    got = {r["doc_id"]: r for r in divergence.judge(spark.createDataFrame(rows, "doc_id long, text string"), refs).collect()}
+    assert {i: (r["base_failed"], r["kept"]) for i, r in got.items()} == {n + k: (False, k == 2) for n in (60, 200, 2000) for k in range(3)}
+
+
 def brute_chat(rows):
     convs = {}
     for c, turn, role, text in sorted(rows, key=lambda r: tuple((x is not None, x if x is not None else 0) for x in r)):
