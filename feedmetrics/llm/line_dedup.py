@@ -60,10 +60,13 @@ def ranked(keys: DataFrame, columns: list[str], kind: str) -> DataFrame:
 
 
 def repeated_lines(lines: DataFrame) -> DataFrame:
-    """The lines that occur twice or more, with the rank of their id (saved)."""
+    """The lines that occur twice or more, with the rank of their id, each place once (saved).
+
+    Rows that repeat both id and text give the same places; made distinct here, they take a
+    shuffle of the repeated lines only, not of the texts."""
     twice = lines.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b")
     ids = ranked(twice, ["a", "b"], "line-ids")
-    return saved(lines.join(ids, ["a", "b"]).select(*KEY, "id", "i", "w", "rank"), "repeated-lines")
+    return saved(lines.join(ids, ["a", "b"]).select(*KEY, "id", "i", "w", "rank").distinct(), "repeated-lines")
 
 
 def shortest_runs(lines: DataFrame, min_words: int) -> DataFrame:
@@ -127,7 +130,7 @@ def deleted_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -
     runs = later_runs(lines, shortest_runs(lines, min_words))
     reach = runs.groupBy(*KEY, F.col("s").alias("i")).agg(F.max(F.col("s") + F.col("m")).alias("end"))
     upto = Window.partitionBy(*KEY).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    covered = lines.select(*KEY, "i").distinct().join(reach, [*KEY, "i"], "left").withColumn("end", F.max("end").over(upto)).where("i < end")
+    covered = lines.select(*KEY, "i").join(reach, [*KEY, "i"], "left").withColumn("end", F.max("end").over(upto)).where("i < end")
     return saved(covered.groupBy(*KEY).agg(F.collect_list("i").alias("gone")), "deleted-lines")
 
 

@@ -134,6 +134,16 @@ def test_line_dedup_against_brute_force(spark, least):
             assert r["n_lines"] == len(r["before"].split("\n"))
 
 
+def test_line_dedup_of_repeated_rows(spark):
+    """A run of 60 words over five lines in a row given twice or more, as the later and as the earliest copy."""
+    run = ["\n".join(" ".join(f"{p}{i}w{j}" for j in range(12)) for i in range(5)) for p in "abc"]
+    rows = [(1, run[0]), (2, f"own\n{run[0]}")] + [(2, f"own\n{run[0]}")] + [(3, run[1])] * 3 + [(4, f"{run[1]}\nend"), (5, f"x\n{run[2]}\ny"), (None, run[2]), (None, run[2])]
+    got = line_dedup.delete_repeats(spark.createDataFrame(rows, "doc_id long, text string").withColumn("before", F.col("text"))).collect()
+    expect = brute_lines(rows, 50)
+    assert len(got) == len(rows) and sorted(expect[r["doc_id"], r["before"]] == (r["text"], r["n_deleted"]) for r in got) == [True] * len(rows)
+    assert [r["n_deleted"] for r in sorted(got, key=lambda r: r["doc_id"] or 0)] == [0, 0, 0, 5, 5, 0, 0, 0, 5, 5]
+
+
 def test_line_dedup_of_nothing(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     assert line_dedup.delete_repeats(docs.limit(0)).count() == 0
