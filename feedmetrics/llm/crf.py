@@ -2,7 +2,9 @@
 
 Every word of a line is labelled with a language; a word's features are its affixes, its
 character n-grams and what a learned lexicon says of it, and transitions between the labels of
-neighbouring words are learned too, so a line may switch languages. Forward-backward gives each
+neighbouring words are learned too, so a line may switch languages. Words are the runs of letters
+(combining marks are left out and do not end a run); a longer run, as in scripts without spaces, is cut into consecutive
+words of at most ``LONGEST`` letters, and all of them are labelled. Forward-backward gives each
 word's label probabilities; a document's language is the one with the largest sum over its words
 and its score that sum's share.
 
@@ -22,6 +24,7 @@ table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import pickle
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -37,17 +40,23 @@ from feedmetrics.llm.common import column, slices
 #: Weight rows that features are hashed to.
 ROWS = 1 << 16
 UNKNOWN = "und"
+#: Letters of a word at most.
+LONGEST = 40
 
 
-def letters(chunk: str) -> str:
-    """The word in a run of non-space characters: its letters, in lower case."""
-    return chunk.lower() if chunk.isalpha() else "".join(filter(str.isalpha, chunk)).lower()
+def words_of(chunk: str) -> list[str]:
+    """The words in a run of non-space characters: its runs of letters, in lower case, in pieces of at most ``LONGEST``."""
+    if chunk.isalpha():
+        runs = [chunk.lower()]
+    else:
+        runs = "".join(c if c.isalpha() else "" if unicodedata.category(c)[0] == "M" else " " for c in chunk).lower().split()
+    return [r[i:i + LONGEST] for r in runs for i in range(0, len(r), LONGEST)]
 
 
 def word_features(word: str, lexicon: dict[str, list[str]]) -> list[int]:
     """Rows of a word's affixes, n-grams and lexicon features."""
     found = [f"p{word[:k]}" for k in (1, 2, 3)] + [f"s{word[-k:]}" for k in (1, 2, 3)]
-    bound = f"^{word[:40]}$"  # longer words are told by their ends and beginnings
+    bound = f"^{word}$"
     found += [bound[i:i + n] for n in (2, 3) for i in range(len(bound) - n + 1)]
     found += lexicon.get(word, ["l?"])
     return [zlib.crc32(f.encode()) % ROWS for f in found]
@@ -96,19 +105,18 @@ class Field:
         self.labels, self.lexicon, self.weights, self.first, self.move = labels, lexicon, weights, first, move
 
     def emissions(self, chunks: list[str]) -> list[bytes]:
-        """Label weights of the word in each chunk, as bytes; not-a-number where it has no letter."""
-        words = [letters(c) for c in chunks]
-        own = {w: i for i, w in enumerate(dict.fromkeys(filter(None, words)))}
+        """Label weights of the words in each chunk, as bytes, word after word; none where it has no letter."""
+        words = [words_of(c) for c in chunks]
+        own = {w: i for i, w in enumerate(dict.fromkeys(w for x in words for w in x))}
         found = [word_features(w, self.lexicon) for w in own]
-        none = np.full(len(self.labels), np.nan, np.float32).tobytes()
         if not found:
-            return [none] * len(chunks)
+            return [b""] * len(chunks)
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((f for x in found for f in x), np.int64, int(sizes.sum()))
         score = np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes, axis=0)
         raw = np.exp(np.maximum(score - score.max(1, keepdims=True), -30)).astype(np.float32).tobytes()
         step = 4 * len(self.labels)
-        return [raw[step * own[w]:step * own[w] + step] if w else none for w in words]
+        return [b"".join([raw[step * own[w]:step * own[w] + step] for w in x]) for x in words]
 
     def predict(self, texts: list[str], recent: Recent) -> list[tuple[str, float]]:
         """(language, score) of each text."""
@@ -122,10 +130,10 @@ class Field:
             doc += [i] * len(own)
         flat = [c for x in lines for c in x]
         known = recent.learn(set(flat))
-        e = np.frombuffer(b"".join([known[c] for c in flat]), np.float32).reshape(-1, n).astype(float)
-        line = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
-        word = ~np.isnan(e[:, 0]) if len(e) else np.empty(0, bool)
-        e, line = e[word], line[word]
+        own = [known[c] for c in flat]
+        e = np.frombuffer(b"".join(own), np.float32).reshape(-1, n).astype(float)
+        words = np.fromiter(map(len, own), np.int64, len(own)) // (4 * n)  # of each chunk
+        line = np.repeat(np.repeat(np.arange(len(lines)), [len(x) for x in lines]), words)
         count = np.bincount(line, minlength=len(lines)) if len(lines) else np.empty(0, int)
         used = np.flatnonzero(count)
         start = (np.cumsum(count) - count)[used]
@@ -141,7 +149,7 @@ def lexicon_of(docs: list[tuple[str, str]], labels: list[str]) -> dict[str, list
     """Per word seen twice or more: which languages it speaks for, by its smoothed shares."""
     counts = {k: Counter() for k in labels}
     for lang, text in docs:
-        counts[lang].update(filter(None, map(letters, text.split())))
+        counts[lang].update(w for c in text.split() for w in words_of(c))
     size = {k: sum(c.values()) + 1 for k, c in counts.items()}
     found = {}
     for w in sorted(set().union(*counts.values())):
@@ -161,7 +169,7 @@ def fit(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 0.2, batch
     lines = []
     for lang, text in sample[1::2] or sample:
         for x in text.split("\n"):
-            words = [w for w in map(letters, x.split()) if w]
+            words = [w for c in x.split() for w in words_of(c)]
             lines += [(lang, words[i:i + 40]) for i in range(0, len(words), 40)]
     # Joined in random order, two lines make one training line: switches occur between them.
     shuffled = [lines[i] for i in rng.permutation(len(lines))]

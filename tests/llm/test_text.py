@@ -126,6 +126,16 @@ def test_code_switched_words(field):
     assert [field.labels[k] for k in post.argmax(1)] == ["en"] * 6 + ["de"] * 6
 
 
+def test_text_without_spaces_is_read_to_its_end(field):
+    """Every letter of an unbroken run or of words joined by commas is labelled, in pieces."""
+    assert crf.words_of("Ab,c1d--É") == ["ab", "c", "d", "é"] and crf.words_of("12,") == [] and crf.words_of("e\u0301t") == ["et"]
+    assert list(map(len, crf.words_of("日" * 100))) == [40, 40, 20]
+    few, many = "the,and,of,that,there,", "der,die,und,nicht,schein,"
+    recent = crf.Recent(field.emissions, 1000)
+    got = field.predict([few * 2 + many * 40, many * 2 + few * 40, "the" * 20 + "schein" * 200, "schein" * 20 + "the" * 400], recent)
+    assert [k for k, _ in got] == ["de", "en", "de", "en"]
+
+
 def test_language_of_odd_rows(spark, field):
     rows = [(1, None, "en"), (2, "", "en"), (3, "123 !! --\n", "en"), (None, "the and of that", None), (5, "the and of that " * 30000, "de"), (5, "the and of that", "de")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit(1))
