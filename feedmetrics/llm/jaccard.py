@@ -323,7 +323,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The documents, with all their columns, that come first in their component: by id (null
-    last), then hash of the text; of rows that repeat id and text one stays."""
+    last), then hash of the text; of rows that repeat id and text one stays. Rows without words
+    link with nothing and all stay."""
     rows = linked(docs)
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "h")
     first = saved(rows.where("c is not null").groupBy("c").agg(F.min(place).alias("first")), "first-of-component")
@@ -331,4 +332,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     own = docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_h"])
     left = docs.join(gone.hint("merge"), own, "left_anti")
     again = rows.where("c is not null").groupBy("doc_id", "h").count().where("count > 1")
-    return left if again.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+    if again.isEmpty():
+        return left
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return left.where(worded).dropDuplicates(["doc_id", "text"]).unionByName(left.where(~worded))

@@ -232,6 +232,13 @@ def test_one_of_each_group_stays(spark):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0 and jaccard.keep_first(docs.limit(0)).count() == 0
 
 
+def test_rows_without_words_stay(spark):
+    """Also where they are repeated, and other documents are as well."""
+    blank = [(1, " \n"), (1, " \n"), (2, ""), (2, ""), (None, None), (None, None)]
+    docs = spark.createDataFrame([*blank, (3, "a b c"), (3, "a b c")], "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.keep_first(docs).collect()), key=repr) == sorted([*blank, (3, "a b c")], key=repr)
+
+
 def test_slices_of_a_batch_are_read_right():
     texts = ["one two three four five six", None, "", " \t", "a b", "Ab c d e f g h ", "x " * 50]
     rng = random.Random(8)
