@@ -52,9 +52,57 @@ SELECT page_id, payload_bytes,
 FROM d
 """
 
+# Levels by recursion; crc32 bit by bit.
+MERKLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, lang, n_chars, text FROM documents),
+crc AS (
+  SELECT doc_id, list_reduce(list_prepend(4294967295, flatten(list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1), lambda k: [CAST(ascii(substr(CAST(doc_id AS VARCHAR), k, 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+                             lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))) AS c
+  FROM (SELECT DISTINCT doc_id FROM d WHERE doc_id IS NOT NULL)),
+f AS (
+  SELECT d.doc_id, source, coalesce(text, '') AS t,
+         coalesce(octet_length(encode(CAST(d.doc_id AS VARCHAR))) || ':' || d.doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+           || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head,
+         text, CASE WHEN xor(c, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS changed
+  FROM d LEFT JOIN crc ON crc.doc_id = d.doc_id),
+h AS (
+  SELECT doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(octet_length(encode(changed)) || ':' || changed, '-')) AS other FROM f),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM h),
+nodes(source, level, i, node, n) AS (
+  SELECT source, 0, i, leaf, n FROM leaves
+  UNION ALL
+  SELECT source, level + 1, i // 3, sha256(string_agg(node, '' ORDER BY i)), any_value((n + 2) // 3) FROM nodes WHERE n > 1 GROUP BY source, level, i // 3),
+subroots AS (SELECT source, node AS subroot, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(level, i, node, n) AS (
+  SELECT 0, i, subroot, n FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 3, sha256(string_agg(node, '' ORDER BY i)), any_value((n + 2) // 3) FROM tops WHERE n > 1 GROUP BY level, i // 3),
+root AS (SELECT node AS root, level AS height FROM tops WHERE n = 1),
+below AS (
+  SELECT l.source, l.i, x.level, coalesce(string_agg(y.node, '' ORDER BY y.i) FILTER (y.i < x.i), '') AS before, coalesce(string_agg(y.node, '' ORDER BY y.i) FILTER (y.i > x.i), '') AS after
+  FROM leaves l JOIN nodes x ON x.source IS NOT DISTINCT FROM l.source AND x.n > 1 AND x.i = l.i // CAST(pow(3, x.level) AS BIGINT)
+  JOIN nodes y ON y.source IS NOT DISTINCT FROM x.source AND y.level = x.level AND y.i // 3 = x.i // 3 GROUP BY ALL),
+above AS (
+  SELECT s.source, s.height + x.level AS level, coalesce(string_agg(y.node, '' ORDER BY y.i) FILTER (y.i < x.i), '') AS before, coalesce(string_agg(y.node, '' ORDER BY y.i) FILTER (y.i > x.i), '') AS after
+  FROM subroots s JOIN tops x ON x.n > 1 AND x.i = s.i // CAST(pow(3, x.level) AS BIGINT) JOIN tops y ON y.level = x.level AND y.i // 3 = x.i // 3 GROUP BY ALL),
+steps AS (SELECT source, i, level, before, after FROM below
+          UNION ALL SELECT a.source, l.i, a.level, a.before, a.after FROM above a JOIN leaves l ON l.source IS NOT DISTINCT FROM a.source),
+listed AS (SELECT source, i, sha256(string_agg(before || after, '' ORDER BY level)) AS proof_sha256, list(before ORDER BY level) AS b, list(after ORDER BY level) AS a FROM steps GROUP BY source, i),
+folds(source, i, k, node, b, a) AS (
+  SELECT l.source, l.i, 0, l.other, coalesce(s.b, []), coalesce(s.a, []) FROM leaves l LEFT JOIN listed s ON s.source IS NOT DISTINCT FROM l.source AND s.i = l.i
+  UNION ALL
+  SELECT source, i, k + 1, sha256(b[k + 1] || node || a[k + 1]), b, a FROM folds WHERE k < len(b))
+SELECT l.doc_id, l.leaf, u.subroot, r.root, coalesce(s.proof_sha256, sha256('')) AS proof_sha256, f.node AS folded_root, f.node = r.root AS verified
+FROM leaves l JOIN subroots u ON u.source IS NOT DISTINCT FROM l.source CROSS JOIN root r
+LEFT JOIN listed s ON s.source IS NOT DISTINCT FROM l.source AND s.i = l.i
+JOIN folds f ON f.source IS NOT DISTINCT FROM l.source AND f.i = l.i AND f.k = len(f.b)
+"""
+
 SQL: dict[str, str] = {
     "op4_line_dedup": LINE_DEDUP,
     "op5_jaccard": JACCARD,
     "op7_chat": CHAT,
     "op8_warc": WARC,
+    "op11_merkle": MERKLE,
 }

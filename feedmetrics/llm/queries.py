@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmetrics.llm import bpe, chat, crf, decontaminate, divergence, jaccard, line_dedup, site_style_tree, token_files, warc
+from feedmetrics.llm import bpe, chat, crf, decontaminate, divergence, jaccard, line_dedup, merkle, site_style_tree, token_files, warc
 from feedmetrics.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op10_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_site_style_tree": op2_site_style_tree,
@@ -68,4 +72,5 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_bpe": op9_bpe,
     "op10_crf": op10_crf,
+    "op11_merkle": op11_merkle,
 }
