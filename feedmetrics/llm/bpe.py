@@ -6,8 +6,10 @@ would have come first while the two tokens were being built. A word whose tokens
 reachable and whose pairs are all compatible is the one that BPE gives; only the failing words
 are merged exactly, step by step.
 
-Defined cases: a null text is treated as empty and has no ids; repeated rows are encoded each;
-very long texts and very long words are encoded whole; the special token's text inside a text
+The words are those of the tokenizer file's own pre-tokenizer.
+
+Defined cases: a null text is treated as empty and has no ids; a null id stays null; an empty table
+gives no rows; repeated rows are encoded each; very long texts and very long words are encoded whole; the special token's text inside a text
 becomes its id, as the tokenizer file says; extra columns are ignored.
 """
 
@@ -19,21 +21,22 @@ import json
 from array import array
 from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from feedmetrics.llm.common import column, slices
-
-# Fixed value: the published pattern that splits text into words before the merges.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+from feedmetrics.llm.common import column, plain_text, slices
 
 NEVER = np.int64(1 << 40)
-#: Pieces of text a Python worker remembers in each of two generations (bounds its memory).
-MAX_REMEMBERED = 250_000
+#: Bytes of a word beyond which it is merged by itself.
+LONG = 48
+#: Bytes of pieces that a Python worker remembers in each of two generations, and what Python needs besides for each.
+MAX_REMEMBERED, KEY_BYTES = 48 << 20, 180
 #: Text bytes taken from Arrow at once.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -60,9 +63,6 @@ class Bpe:
         for t, i in self.special.items():
             self.bytes_of[i] = t.encode()
         self.id_of = vocab
-        self.longest = max(map(len, vocab))
-        self.splitter = regex.compile(PATTERN)
-        self.special_splitter = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         # Merges: pair -> (rank, id); formed[t] = rank of t's merge, -1 for a single byte.
         self.pair: dict[tuple[int, int], tuple[int, int]] = {}
         self.formed = np.full(size, -1, np.int64)
@@ -79,6 +79,13 @@ class Bpe:
         order = np.argsort(keys)
         self.pair_keys = keys[order]
         self.pair_ranks = np.array([r for r, _ in self.pair.values()], np.int64)[order]
+        self.pair_ids = np.array([t for _, t in self.pair.values()], np.int64)[order]
+        self.byte_ids = np.array([vocab[bytes([i])] for i in range(256)], np.int64)
+        self.finder = ahocorasick.Automaton()
+        for t, i in vocab.items():
+            self.finder.add_word(t.decode("latin-1"), i)
+        self.finder.make_automaton()
+        self.sizes = np.array([len(t) for t in self.bytes_of], np.int64)
         # A token is reachable if its two halves are, and stay apart until its own merge.
         self.reachable = np.ones(size, bool)
         made = np.flatnonzero(self.formed >= 0)
@@ -116,33 +123,62 @@ class Bpe:
             limit[live] = np.where(back, fa, fb + 1)
         return ok
 
-    def greedy(self, word: bytes) -> list[int]:
-        out, at, n, ids, most = [], 0, len(word), self.id_of, self.longest
-        while at < n:
-            end = min(n, at + most)
-            while word[at:end] not in ids:
-                end -= 1
-            out.append(ids[word[at:end]])
-            at = end
-        return out
+    def greedy(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, their words): the longest token at every place, from left to right."""
+        ends = np.cumsum([len(w) + 1 for w in words])
+        # Between the words stands a character that no token has.
+        found = np.array(list(self.finder.iter_long("\u0100".join([w.decode("latin-1") for w in words]))), np.int64).reshape(-1, 2)
+        return found[:, 1], np.searchsorted(ends, found[:, 0], "right")
 
-    def exact(self, word: bytes) -> list[int]:
+    def exact(self, words: list[bytes]) -> list[bytes]:
         """BPE by the definition: always the merge of the lowest rank, the leftmost first."""
-        ids = [self.id_of[word[i:i + 1]] for i in range(len(word))]
-        return self._scan(ids) if len(ids) <= 48 else self._heap(ids)
-
-    def _scan(self, ids: list[int]) -> list[int]:
-        """For short words: look at every pair again after each merge."""
-        get = self.pair.get
-        while True:
-            best, at = None, 0
-            for i, p in enumerate(zip(ids, ids[1:])):  # noqa: B905
-                m = get(p)
-                if m is not None and (best is None or m < best):
-                    best, at = m, i
-            if best is None:
-                return ids
-            ids[at:at + 2] = [best[1]]
+        short = [i for i, w in enumerate(words) if len(w) <= LONG]
+        out = [b""] * len(words)
+        for i, ids in zip(short, self._together([words[i] for i in short]), strict=True):
+            out[i] = ids
+        for i, w in enumerate(words):
+            if len(w) > LONG:
+                out[i] = array("I", self._heap(self.byte_ids[np.frombuffer(w, np.uint8)].tolist())).tobytes()
+        return out
+
+    def _together(self, words: list[bytes]) -> list[bytes]:
+        """For short words: every round does the next merge of each word that has one."""
+        out = [b""] * len(words)
+        ids = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        rank = np.full(len(ids), NEVER)
+        self._rank(ids, owner, rank, np.arange(len(ids)))
+        while len(ids):
+            first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            size = np.diff(np.append(first, len(ids)))
+            least = np.minimum.reduceat(rank, first)
+            over = np.repeat(least == NEVER, size)
+            if over.any():
+                done, raw = np.flatnonzero(least == NEVER), ids[over].astype("<u4").tobytes()
+                end = 4 * np.cumsum(size[done])
+                for w, a, b in zip(owner[first[done]].tolist(), (end - 4 * size[done]).tolist(), end.tolist(), strict=True):
+                    out[w] = raw[a:b]
+                ids, owner, rank = ids[~over], owner[~over], rank[~over]
+                size, least = size[least < NEVER], least[least < NEVER]
+                if not len(ids):
+                    break
+            at = np.flatnonzero(rank == np.repeat(least, size))
+            at = at[np.concatenate([[True], owner[at[1:]] != owner[at[:-1]]])]
+            key = ids[at] * self.size + ids[at + 1]
+            ids[at] = self.pair_ids[np.searchsorted(self.pair_keys, key)]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids, owner, rank = ids[keep], owner[keep], rank[keep]
+            at = at - np.arange(len(at))  # one token less before it for each word before
+            self._rank(ids, owner, rank, np.concatenate([at, at[at > 0] - 1]))
+        return out
+
+    def _rank(self, ids: np.ndarray, owner: np.ndarray, rank: np.ndarray, at: np.ndarray) -> None:
+        """Looks up the ranks of the pairs that begin at ``at``."""
+        rank[at] = NEVER
+        at = at[at + 1 < len(ids)]
+        at = at[owner[at] == owner[at + 1]]
+        rank[at] = self.ranks(ids[at], ids[at + 1])
 
     def _heap(self, ids: list[int]) -> list[int]:
         """For long words: a heap of the merges that may come next, O(n log n)."""
@@ -164,115 +200,218 @@ class Bpe:
                     heapq.heappush(heap, (self.pair[p][0], k, *p))
         return [t for t in ids if t >= 0]
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word: speculated, verified together, merged exactly where that failed."""
-        found = [self.greedy(w) for w in words]
-        if not found:
-            return found
-        count = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((t for f in found for t in f), np.int64, int(count.sum()))
-        owner = np.repeat(np.arange(len(found)), count)
-        bad = np.zeros(len(found), bool)
+        if not words:
+            return []
+        flat, owner = self.greedy(words)
+        bad = np.bincount(owner, self.sizes[flat], len(words)) != np.fromiter(map(len, words), np.int64, len(words))
         bad[owner[~self.reachable[flat]]] = True
         inner = owner[1:] == owner[:-1]
         pairs, back = np.unique(flat[:-1][inner] * self.size + flat[1:][inner], return_inverse=True)
         bad[owner[1:][inner][~self.compatible(pairs // self.size, pairs % self.size)[back]]] = True
-        for i in np.flatnonzero(bad).tolist():
-            found[i] = self.exact(words[i])
+        ends = np.concatenate([[0], 4 * np.cumsum(np.bincount(owner, minlength=len(words)))]).tolist()
+        raw = flat.astype("<u4").tobytes()
+        found = [raw[a:b] for a, b in zip(ends, ends[1:])]  # noqa: B905
+        failed = np.flatnonzero(bad).tolist()
+        for i, ids in zip(failed, self.exact([words[i] for i in failed]), strict=True):
+            found[i] = ids
         return found
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+# Fixed value: the published pattern that splits text into words before the merges. It is used
+# for characters below U+0180; classes of others differ between versions of Unicode, so
+# text that has any is split by the tokenizers library.
+PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+BEYOND = regex.compile("[^\\x00-\u017f]")
 # Kinds of remembered pieces: what stands before a run of non-space characters.
-SPACE, LINE, START, WORD = "", "\n", "\r", "\v"
-
-
-def pieces(text: str, splitter) -> list[str]:
-    """``text`` as keys of pieces that can be encoded apart.
-
-    Where every white space is one space or one line feed between other characters, each run
-    of other characters is a piece with what stands before it: no word of the pattern crosses
-    such a border. Any other text is split by the pattern itself."""
-    runs = text.split()
-    between = len(runs) - 1
-    if sum(map(len, runs)) + between != len(text) or text.count(" ") + text.count("\n") != between:
-        return [WORD + w for w in splitter.findall(text)]
-    out: list[str] = []
-    for i, line in enumerate(text.split("\n")):
-        part = line.split(" ")
-        part[0] = (LINE if i else START) + part[0]
-        out += part
-    return out
+LINE, START, WORD = "\n", "\r", "\v"
+#: Texts that are not cut at white space: some other white space than single spaces and line
+#: feeds between other characters.
+UNEVEN = "^[ \\n]|[ \\n]$|[ \\n][ \\n]|[\\t\\x0b\\f\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+#: New pieces given to the tokenizers library at once.
+AT_ONCE = 4000
 
 
 def piece_text(key: str) -> str:
-    """The text a key of ``pieces`` stands for."""
+    """The text a key of a piece stands for."""
     if key[:1] in (START, WORD):
         return key[1:]
     return key if key[:1] == LINE else " " + key
 
 
 class Recent:
-    """Values by key in two generations: when the younger is full it becomes the older.
+    """Values (bytes) by key in two generations: when the younger is full it becomes the older.
 
-    Bounds a worker's memory while keys in steady use stay known. ``compute`` gets the keys that
+    Bounds a worker's memory by bytes while keys in steady use stay known. ``compute`` gets the keys that
     neither generation has and returns their values."""
 
-    def __init__(self, compute, most: int = MAX_REMEMBERED):
-        self.compute, self.most = compute, most
-        self.young: dict = {}
-        self.old: dict = {}
+    def __init__(self, compute, most_bytes: int = MAX_REMEMBERED):
+        self.compute, self.most = compute, most_bytes
+        self.clear()
 
-    def learn(self, keys: set) -> dict:
-        """A dictionary that has all of ``keys``."""
-        if len(self.young) > self.most:
-            self.young, self.old = {}, self.young
+    def clear(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.used = 0
+
+    def get(self, keys: list[str]) -> list[bytes]:
+        """The value of each of the (distinct) keys."""
+        if self.used > self.most:
+            self.young, self.old, self.used = {}, self.young, 0
         young, old = self.young, self.old
-        new = [k for k in keys if k not in young]  # not a difference of views: that would walk the dictionary
+        new = [k for k in keys if k not in young]
         fresh = [k for k in new if k not in old]
-        if len(fresh) < len(new):
-            self.young.update({k: old[k] for k in new if k in old})
-        self.young.update(zip(fresh, self.compute(fresh)))  # noqa: B905
-        return self.young
+        found = {k: old[k] for k in new if k in old}
+        found.update(zip(fresh, self.compute(fresh), strict=True))
+        self.used += sum(map(len, found)) + sum(map(len, found.values())) + KEY_BYTES * len(found)
+        young.update(found)
+        return [young[k] for k in keys]
+
+
+class PieceEncoder:
+    """Encodes texts piece by piece; a subclass encodes the pieces not seen lately (``compute``).
 
+    Where every white space is one space or one line feed between other characters, each run of other
+    characters is a piece with what stands before it: no word of the tokenizer's rule crosses such
+    a border. Arrow cuts a slice's texts, numbers its distinct pieces and gathers their ids, so Python
+    works once per distinct piece. Any other text, and one that holds a special token's text, is
+    split by the tokenizer's own rule and encoded word by word."""
 
-class Memory:
-    """Encodes texts piece by piece; remembers the ids (bytes, decimal text) of recent pieces."""
+    #: Texts of special tokens and their ids.
+    special: dict[str, int] = {}
+    #: What stands before a text: nothing, or a space if the tokenizer puts one there.
+    start = START
 
-    def __init__(self, bpe: Bpe):
-        self.bpe = bpe
-        self.said = [str(i) for i in range(bpe.size)]
+    def __init__(self):
         self.recent = Recent(self.compute)
 
-    def compute(self, keys: list[str]) -> Iterator[tuple[bytes, str]]:
-        findall, said = self.bpe.splitter.findall, self.said
-        split = [findall(piece_text(k)) if k[:1] != WORD else [k[1:]] for k in keys]
+    def compute(self, keys: list[str]) -> Iterable[bytes]:
+        raise NotImplementedError
+
+    def whole(self, text: str) -> bytes:
+        raise NotImplementedError
+
+    def encode(self, texts: pa.Array) -> pa.LargeBinaryArray:
+        """The ids of each text as little-endian 32-bit integers."""
+        texts = plain_text(texts)
+        odd = pc.match_substring_regex(texts, UNEVEN)
+        for s in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, s))
+        if not pc.any(odd).as_py():
+            return self.even(texts)
+        which = odd.to_numpy(zero_copy_only=False)
+        rest = pa.array([self.whole(t) for t in texts.filter(odd).to_pylist()], pa.large_binary())
+        both = pa.concat_arrays([self.even(texts.filter(pc.invert(odd))), rest])
+        place = np.empty(len(which), np.int64)
+        place[np.flatnonzero(~which)] = np.arange(int((~which).sum()))
+        place[np.flatnonzero(which)] = np.arange(int((~which).sum()), len(which))
+        return both.take(pa.array(place))
+
+    def even(self, texts: pa.Array) -> pa.LargeBinaryArray:
+        marked = pc.binary_join_element_wise(pa.scalar(self.start, pa.large_string()), pc.replace_substring(texts, "\n", " \n"), pa.scalar("", pa.large_string()))
+        lists = pc.split_pattern(marked, " ")
+        if not len(lists):
+            return pa.array([], pa.large_binary())
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        own = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        ids = pa.array(self.recent.get(own.dictionary.to_pylist()), pa.large_binary()).take(own.indices)
+        _, ends, data = ids.buffers()
+        ends = np.frombuffer(ends, np.int64)[ids.offset:ids.offset + len(ids) + 1]
+        starts = np.ascontiguousarray(ends[offsets - offsets[0]])
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(starts), data])
+
+
+def flat_ids(ids: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids, where each text's begin and end) of an encoded slice."""
+    _, ends, data = ids.buffers()
+    ends = np.frombuffer(ends, np.int64)[ids.offset:ids.offset + len(ids) + 1]
+    flat = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data is not None else np.empty(0, np.uint8)
+    return np.ascontiguousarray(flat).view("<u4"), (ends - ends[0]) // 4
+
+
+class RuleEncoder(PieceEncoder):
+    """With a tokenizer file of the tokenizers library; ``plain``: special tokens' texts are ordinary text."""
+
+    def __init__(self, file: bytes, plain: bool = False):
+        import os
+
+        super().__init__()
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(file.decode())
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        # The file's rule is the published pattern, as far as a probe of every character it is used for tells.
+        probe = "".join(f"x{c} {c}'s  {c}{c}1 {c}" for c in map(chr, range(0x180)))
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str(probe)
+        self.known_rule = [probe[a:b] for _, (a, b) in split] == PATTERN.findall(probe)
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.tokenizer.encode_special_tokens = plain
+        self.special = {} if plain else {t.content: i for i, t in added.items()}
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+
+    def words(self, text: str) -> list[str]:
+        """The words of a text by the tokenizer's own rule (its file's pre-tokenizer)."""
+        if self.known_rule and not BEYOND.search(text):
+            return PATTERN.findall(text)
+        return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
+    def whole(self, text: str) -> bytes:
+        """The ids of one text of any shape."""
+        out = []
+        for x in self.cut.split(text) if self.cut else [text]:
+            if x in self.special:
+                out.append(array("I", [self.special[x]]).tobytes())
+            elif x:
+                words = [WORD + w for w in self.words(x)]
+                own = list(dict.fromkeys(words))
+                ids = dict(zip(own, self.recent.get(own), strict=True))
+                out += [ids[w] for w in words]
+        return b"".join(out)
+
+
+class Memory(RuleEncoder):
+    """Speculates and verifies the words of new pieces; decodes by gathering the tokens' bytes."""
+
+    def __init__(self, file: bytes):
+        super().__init__(file)
+        self.bpe = Bpe(file)
+        self.said = pa.array([f"{i}," for i in range(self.bpe.size)], pa.large_binary())
+        self.bytes_of = pa.array(self.bpe.bytes_of, pa.large_binary())
+
+    def compute(self, keys: list[str]) -> Iterator[bytes]:
+        split: list[list[str]] = [[k[1:]] for k in keys if k[:1] == WORD]
+        runs = sorted([k for k in keys if k[:1] != WORD], key=lambda k: BEYOND.search(k) is not None)
+        for at in range(0, len(runs), AT_ONCE):
+            some = runs[at:at + AT_ONCE]
+            # Joined by line feeds, which are words of their own between pieces.
+            text = "\n".join([k[1:] if k[:1] in (LINE, START) else " " + k for k in some])
+            parts: list[list[str]] = [[]]
+            for w in self.words(text):
+                if w == "\n":
+                    parts.append([])
+                else:
+                    parts[-1].append(w)
+            split += [["\n", *p] if k[:1] == LINE else p for k, p in zip(some, parts, strict=True)]
         words = list({w for s in split for w in s})
         ids = dict(zip(words, self.bpe.encode_words([w.encode() for w in words]), strict=True))
-        for s in split:
-            own = ids[s[0]] if len(s) == 1 else [t for w in s for t in ids[w]]
-            yield array("I", own).tobytes(), ",".join([said[t] for t in own])
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
-        """(ids, ids as decimal text) of each text."""
-        special = self.bpe.special
-        parts, every = [], set()
-        for t in texts:
-            if any(s in t for s in special):
-                part = [("", x) if x in special else k for x in self.bpe.special_splitter.split(t) if x for k in ([x] if x in special else pieces(x, self.bpe.splitter))]
-            else:
-                part = pieces(t, self.bpe.splitter) if t else []
-            parts.append(part)
-            every.update(part)
-        marks = {("", s): (array("I", [i]).tobytes(), str(i)) for s, i in special.items()}
-        known = self.recent.learn(every - marks.keys())
-        if every & marks.keys():
-            known = known | marks
-        for p in parts:
-            got = [known[k] for k in p]
-            yield np.frombuffer(b"".join([g[0] for g in got]), np.uint32), ",".join([g[1] for g in got])
+        found = dict(zip([*(k for k in keys if k[:1] == WORD), *runs], split, strict=True))
+        return (b"".join([ids[w] for w in found[k]]) for k in keys)
+
+    def texts_of(self, ids: pa.LargeBinaryArray, table: pa.LargeBinaryArray) -> list[memoryview]:
+        """Per encoded text the entries of ``table`` for its ids, joined."""
+        flat, ends = flat_ids(ids)
+        if not len(flat):
+            return [memoryview(b"")] * len(ids)
+        _, at, data = table.take(pa.array(flat)).buffers()
+        at, data = np.frombuffer(at, np.int64)[ends].tolist(), memoryview(data)
+        return [data[a:b] for a, b in zip(at, at[1:])]  # noqa: B905
 
 
 _loaded: dict[str, Memory] = {}
@@ -282,10 +421,15 @@ def memory(file: bytes) -> Memory:
     """The worker's encoder for a tokenizer file (built once per Python worker)."""
     key = hashlib.sha256(file).hexdigest()
     if key not in _loaded:
-        _loaded[key] = Memory(Bpe(file))
+        _loaded[key] = Memory(file)
     return _loaded[key]
 
 
+def shown(text: memoryview) -> bytes:
+    """Decoded bytes as the library shows them in UTF-8: bytes that are no UTF-8 become U+FFFD."""
+    return bytes(text).decode("utf-8", "replace").encode()
+
+
 def encode_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_tokens, ids_sha256 (of the decimal ids joined by commas) and
     decoded_sha256 (of the text decoded from the ids)."""
@@ -295,12 +439,12 @@ def encode_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         mem = memory(file)
         for big in batches:
             for b in slices(big, "text", SLICE_BYTES):
-                n, own, back = [], [], []
-                for ids, said in mem.encode([t or "" for t in column(b, "text").to_pylist()]):
-                    n.append(len(ids))
-                    own.append(hashlib.sha256(said.encode()).hexdigest())
-                    back.append(hashlib.sha256(mem.bpe.decode(ids.tolist()).encode()).hexdigest())
+                ids = mem.encode(column(b, "text"))
+                n = np.diff(flat_ids(ids)[1])
+                own = [hashlib.sha256(x[:-1]).hexdigest() for x in mem.texts_of(ids, mem.said)]
+                back = [hashlib.sha256(shown(x)).hexdigest() for x in mem.texts_of(ids, mem.bytes_of)]
                 yield pa.RecordBatch.from_arrays([column(b, "id"), pa.array(n, pa.int64()), pa.array(own, pa.string()), pa.array(back, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        release()
 
     kind = docs.schema[id_col].dataType.simpleString()
     out = (docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
@@ -316,8 +460,10 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
         mem = memory(file)
         for big in batches:
             for b in slices(big, text_col, SLICE_BYTES):
-                ids = [i.astype(np.int32) for i, _ in mem.encode([t or "" for t in column(b, text_col).to_pylist()])]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))], [*b.schema.names, ids_col])
+                flat, ends = flat_ids(mem.encode(column(b, text_col)))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*b.columns, ids], [*b.schema.names, ids_col])
+        release()
 
     from pyspark.sql.types import ArrayType, IntegerType, StructType
 
@@ -341,6 +487,11 @@ def decode(rows: DataFrame, tokenizer_path: str, ids_col: str = "ids", text_col:
     return keep.mapInArrow(run, StructType([*keep.schema.fields]).add(text_col, StringType()))
 
 
+def release() -> None:
+    """At the end of a task: give free memory back, since the worker may stay alive beside later stages."""
+    pa.default_memory_pool().release_unused()
+
+
 def _read(path: str) -> bytes:
     """The tokenizer file; it is read once here and sent with the tasks (about 1.5 MB)."""
     with open(path, "rb") as f:

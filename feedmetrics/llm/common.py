@@ -18,10 +18,15 @@ SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
     "pages": "page_id BIGINT, url STRING, html STRING",
     "benchmark": "item_id BIGINT, text STRING",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
     "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
 }
 
 
+#: Spark's setting that drops a query's shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, with its declared layout."""
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -31,10 +36,16 @@ def saved(df: DataFrame, kind: str) -> DataFrame:
     """``df`` written as a Parquet table under the shared work folder and read back.
 
     Cuts the lineage like a checkpoint: a lost executor costs only the running tasks, and
-    the reader gets true sizes, so joins on it are planned (and skew-split) from plain scans."""
+    the reader gets true sizes, so joins on it are planned (and skew-split) from plain scans.
+    The shuffle files of the write are of no more use then, and Spark is told to drop them at once."""
     spark = df.sparkSession
     path = fresh_path(spark, kind)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

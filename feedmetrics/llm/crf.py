@@ -31,17 +31,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.bpe import Recent
-from feedmetrics.llm.common import column, slices
+from feedmetrics.llm.bpe import Recent, release
+from feedmetrics.llm.common import column, plain_text, slices
 
 #: Weight rows that features are hashed to.
 ROWS = 1 << 16
 UNKNOWN = "und"
 #: Letters of a word at most.
 LONGEST = 40
+#: Text bytes taken from Arrow at once; bytes of chunks that a worker remembers in each of two generations.
+SLICE_BYTES, REMEMBERED_BYTES = 2 << 20, 32 << 20
 
 
 def words_of(chunk: str) -> list[str]:
@@ -74,17 +77,17 @@ def forward_backward(e: np.ndarray, start: np.ndarray, count: np.ndarray, first:
     longest = int(count[0]) if len(count) else 0
     live = np.searchsorted(-count, -np.arange(longest), "left")  # lines with more than t words
     alpha, post = np.empty_like(e), np.empty_like(e)
-    now = np.empty((0, e.shape[1]))
+    now = np.empty((0, e.shape[1]), e.dtype)
     for t in range(longest):
         at = start[:live[t]] + t
         now = e[at] * (first if t == 0 else now[:live[t]] @ move)
         now /= now.sum(1, keepdims=True)
         alpha[at] = now
     total = np.zeros_like(move) if pairs else None
-    beta = np.empty((0, e.shape[1]))
+    beta = np.empty((0, e.shape[1]), e.dtype)
     for t in range(longest - 1, -1, -1):
         at = start[:live[t]] + t
-        back = np.ones((live[t], e.shape[1]))
+        back = np.ones((live[t], e.shape[1]), e.dtype)
         if len(beta):
             ahead = e[at[:len(beta)] + 1] * beta
             back[:len(beta)] = ahead @ move.T
@@ -118,31 +121,37 @@ class Field:
         step = 4 * len(self.labels)
         return [b"".join([raw[step * own[w]:step * own[w] + step] for w in x]) for x in words]
 
-    def predict(self, texts: list[str], recent: Recent) -> list[tuple[str, float]]:
-        """(language, score) of each text."""
+    def labelled(self, texts: pa.Array, recent: Recent) -> tuple[np.ndarray, np.ndarray]:
+        """(label probabilities of all words, the text of each). Arrow cuts the texts and numbers the
+        distinct chunks, so Python works once per distinct chunk of a slice."""
         n = len(self.labels)
-        if not n:
-            return [(UNKNOWN, 0.0)] * len(texts)
-        lines, doc = [], []
-        for i, t in enumerate(texts):
-            own = [x for x in map(str.split, t.split("\n")) if x]
-            lines += own
-            doc += [i] * len(own)
-        flat = [c for x in lines for c in x]
-        known = recent.learn(set(flat))
-        own = [known[c] for c in flat]
-        e = np.frombuffer(b"".join(own), np.float32).reshape(-1, n).astype(float)
-        words = np.fromiter(map(len, own), np.int64, len(own)) // (4 * n)  # of each chunk
-        line = np.repeat(np.repeat(np.arange(len(lines)), [len(x) for x in lines]), words)
-        count = np.bincount(line, minlength=len(lines)) if len(lines) else np.empty(0, int)
+        lines = pc.split_pattern(plain_text(texts), "\n")
+        doc = np.repeat(np.arange(len(lines)), np.diff(lines.offsets.to_numpy()))
+        chunks = pc.utf8_split_whitespace(lines.values.slice(lines.offsets[0].as_py(), len(doc)))
+        at = chunks.offsets.to_numpy().astype(np.int64)
+        own = chunks.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+        found = pa.array(recent.get(own.dictionary.to_pylist()), pa.large_binary()).take(own.indices)
+        _, ends, data = found.buffers()
+        ends = np.frombuffer(ends, np.int64)[found.offset:found.offset + len(found) + 1]
+        place = (ends[at - at[0]] - ends[0]) // (4 * n)  # of each line's first word
+        raw = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data is not None else np.empty(0, np.uint8)
+        e = np.ascontiguousarray(raw).view(np.float32).reshape(-1, n)
+        count = np.diff(place)
         used = np.flatnonzero(count)
-        start = (np.cumsum(count) - count)[used]
-        post, _ = forward_backward(e, start, count[used], self.first, self.move)
-        owner = np.array(doc, np.int64)[line] if len(line) else np.empty(0, np.int64)
+        post, _ = forward_backward(e, place[:-1][used], count[used], self.first.astype(np.float32), self.move.astype(np.float32))
+        return post, np.repeat(doc, count)
+
+    def predict(self, texts: pa.Array, recent: Recent) -> tuple[pa.Array, pa.Array]:
+        """(language, score) of each text."""
+        n = len(self.labels)
+        if not n or not len(texts):
+            return pa.array([UNKNOWN] * len(texts), pa.string()), pa.array([0.0] * len(texts), pa.float64())
+        post, owner = self.labelled(texts, recent)
         total = np.stack([np.bincount(owner, post[:, k], minlength=len(texts)) for k in range(n)], 1)
         words = np.bincount(owner, minlength=len(texts))
-        best = total.argmax(1)
-        return [(self.labels[b], min(1.0, float(total[i, b] / words[i]))) if words[i] else (UNKNOWN, 0.0) for i, b in enumerate(best.tolist())]
+        best = np.where(words > 0, total.argmax(1), n)
+        score = np.where(words > 0, np.minimum(1.0, total.max(1) / np.maximum(words, 1)), 0.0)
+        return pa.array([*self.labels, UNKNOWN], pa.string()).take(pa.array(best)), pa.array(score, pa.float64())
 
 
 def lexicon_of(docs: list[tuple[str, str]], labels: list[str]) -> dict[str, list[str]]:
@@ -232,25 +241,26 @@ _fields: dict[int, tuple[Field, Recent]] = {}
 
 
 def loaded(blob: bytes) -> tuple[Field, Recent]:
-    """The worker's field, with the label weights of recent words."""
+    """The worker's field, with the label weights of recent chunks of text."""
     key = zlib.crc32(blob)
     if key not in _fields:
         field = pickle.loads(zlib.decompress(blob))
         _fields.clear()
-        _fields[key] = field, Recent(field.emissions, 200_000)
+        _fields[key] = field, Recent(field.emissions, REMEMBERED_BYTES)
     return _fields[key]
 
 
 def predict_batches(field: Field, spark):
-    """A function from Arrow batches to (slice of a batch, predictions); the field (of a size set
+    """A function from Arrow batches to (slice of a batch, languages, scores); the field (of a size set
     by its parameters, not by the data) is broadcast."""
     sent = spark.sparkContext.broadcast(zlib.compress(pickle.dumps(field), 1))
 
-    def run(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[tuple[str, float]]]]:
+    def run(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, pa.Array, pa.Array]]:
         own, recent = loaded(sent.value)
         for big in batches:
-            for b in slices(big, text, 4 << 20):
-                yield b, own.predict([t or "" for t in column(b, text).to_pylist()], recent)
+            for b in slices(big, text, SLICE_BYTES):
+                yield b, *own.predict(column(b, text), recent)
+        release()
 
     return run
 
@@ -260,21 +270,40 @@ def identify(docs: DataFrame, field: Field | None = None) -> DataFrame:
     predict = predict_batches(learn(docs) if field is None else field, docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, found in predict(batches, "text"):
-            lang, score = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), column(b, "held_out"), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+        for b, lang, score in predict(batches, "text"):
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), column(b, "held_out"), lang, score],
                                              ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def label_words(docs: DataFrame, field: Field | None = None) -> DataFrame:
+    """Per document: doc_id, its words (in lower case, as ``words_of`` cuts them) and the language of each."""
+    field = learn(docs) if field is None else field
+    sent = docs.sparkSession.sparkContext.broadcast(zlib.compress(pickle.dumps(field), 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, recent = loaded(sent.value)
+        for big in batches:
+            for b in slices(big, "text", SLICE_BYTES):
+                words = [[w for c in (t or "").split() for w in words_of(c)] for t in column(b, "text").to_pylist()]
+                ends = pa.array(np.cumsum([0, *map(len, words)]), pa.int32())
+                post = own.labelled(column(b, "text"), recent)[0] if own.labels else np.empty((0, 1))
+                best = post.argmax(1) if own.labels else np.zeros(ends[-1].as_py(), int)
+                label = pa.array(own.labels or [UNKNOWN], pa.string()).take(pa.array(best, pa.int64()))
+                yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(words, pa.list_(pa.string())), pa.ListArray.from_arrays(ends, label)], ["doc_id", "words", "labels"])
+        release()
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, words array<string>, labels array<string>")
+
+
 def keep_identified(docs: DataFrame, min_score: float = 0.35, field: Field | None = None) -> DataFrame:
     """The documents, with all their columns, whose language is told with at least ``min_score``."""
     predict = predict_batches(learn(docs) if field is None else field, docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, found in predict(batches, "text"):
-            yield b.filter(pa.array([k != UNKNOWN and s >= min_score for k, s in found], pa.bool_()))
+        for b, lang, score in predict(batches, "text"):
+            yield b.filter(pc.and_(pc.not_equal(lang, UNKNOWN), pc.greater_equal(score, min_score)))
 
     return docs.mapInArrow(run, docs.schema)

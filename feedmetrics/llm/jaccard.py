@@ -85,7 +85,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     place = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
     data = np.frombuffer(words.buffers()[2], np.uint8)[place[0]:place[-1]]
     size, place = np.diff(place), place[:-1] - place[0]
-    powers = np.concatenate([[1], np.cumprod(np.full(int(size.max()), _STEP, np.uint64))]).astype(np.uint64)
+    powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(int(size.max()), _STEP, np.uint64)]))
     terms = _BYTES[data] * powers[np.arange(len(data)) - np.repeat(place, size)]
     return mixed(np.add.reduceat(terms, place) + size.astype(np.uint64)), offsets
 

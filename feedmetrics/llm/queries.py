@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmetrics.llm import bpe, chat, crf, decontaminate, divergence, jaccard, line_dedup, merkle, site_style_tree, token_files, warc
+from feedmetrics.llm import ads, align, bpe, chat, crf, decontaminate, divergence, jaccard, line_dedup, merkle, site_style_tree, token_files, warc
 from feedmetrics.llm.common import table
 
 
-def tokenizer_path() -> str:
-    """The tokenizer file that the queries use."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A tokenizer file that the queries use."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +61,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(table(spark, sf_dir, "documents"))
 
 
+def op12_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_site_style_tree": op2_site_style_tree,
@@ -73,4 +81,6 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_crf": op10_crf,
     "op11_merkle": op11_merkle,
+    "op12_ads": op12_ads,
+    "op13_align": op13_align,
 }

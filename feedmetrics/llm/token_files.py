@@ -19,7 +19,6 @@ tokens, ordered by text; an empty table gives no shards and no rows; extra colum
 from __future__ import annotations
 
 import json
-import os
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -30,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.bpe import LINE, MAX_REMEMBERED, PATTERN, SLICE_BYTES, START, WORD, Recent, pieces
+from feedmetrics.llm.bpe import AT_ONCE, LINE, SLICE_BYTES, START, WORD, RuleEncoder, flat_ids, release
 from feedmetrics.llm.common import Folder, column, slices
 from feedmetrics.session import fresh_path
 
@@ -40,41 +39,26 @@ MANIFEST = "shard long, file string, n_docs long, n_ids long"
 
 # -- encoding with the tokenizers library ------------------------------------------------------
 
-class PieceEncoder:
-    """Encodes with a ``tokenizers.Tokenizer``; pieces of text seen before are remembered.
+class LibraryEncoder(RuleEncoder):
+    """Encodes with a ``tokenizers.Tokenizer``: new pieces go to it joined by line feeds, whose id
+    separates their ids again."""
 
-    A text is cut where no word of the tokenizer's pattern can cross (see ``bpe.pieces``) and at
-    special tokens, and the library encodes each distinct piece once: new pieces go to it joined
-    by line feeds, whose id separates their ids again."""
-
-    def __init__(self, file: bytes):
-        import regex
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(file.decode())
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.splitter = regex.compile(PATTERN)
-        special = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
-        self.special = special
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
+    def __init__(self, file: bytes, plain: bool = False):
+        super().__init__(file, plain)
         self.line = self.ids("\n")[0]
-        self.recent = Recent(self.compute, 2 * MAX_REMEMBERED)
 
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def compute(self, keys: list[str]) -> list[bytes]:
         done: dict[str, bytes] = {}
-        whole = [k for k in keys if k[:1] == WORD]
-        for k, e in zip(whole, self.tokenizer.encode_batch_fast([k[1:] for k in whole], add_special_tokens=False), strict=True):
+        words = [k for k in keys if k[:1] == WORD]
+        for k, e in zip(words, self.tokenizer.encode_batch_fast([k[1:] for k in words], add_special_tokens=False), strict=True):
             done[k] = array("I", e.ids).tobytes()
         runs = [k for k in keys if k[:1] != WORD]
         line = array("I", [self.line]).tobytes()
-        for at in range(0, len(runs), 4000):
-            some = runs[at:at + 4000]
+        for at in range(0, len(runs), AT_ONCE):
+            some = runs[at:at + AT_ONCE]
             text = "\n".join([k[1:] if k[:1] in (LINE, START) else " " + k for k in some])
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             ends = [*np.flatnonzero(ids == self.line).tolist(), len(ids)]
@@ -87,25 +71,14 @@ class PieceEncoder:
                 start = end + 1
         return [done[k] for k in keys]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        parts = [self.keys(t) for t in texts]
-        get = self.recent.learn(set().union(*parts)).__getitem__
-        return [b"".join(map(get, p)) for p in parts]
-
-    def keys(self, text: str) -> list[str]:
-        if any(s in text for s in self.special):
-            return [k for x in self.cut.split(text) if x for k in ([WORD + x] if x in self.special else pieces(x, self.splitter))]
-        return pieces(text, self.splitter) if text else []
-
 
-_encoder: dict[int, PieceEncoder] = {}
+_encoder: dict[int, LibraryEncoder] = {}
 
 
-def encoder(file: bytes) -> PieceEncoder:
+def encoder(file: bytes) -> LibraryEncoder:
     key = zlib.crc32(file)
     if key not in _encoder:
-        _encoder[key] = PieceEncoder(file)
+        _encoder[key] = LibraryEncoder(file)
     return _encoder[key]
 
 
@@ -139,9 +112,10 @@ class ShardWriter:
         self.docs: list[int | None] = []
         self.starts: list[int] = []
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.docs.append(doc_id)
-        self.starts.append(self.n)
+    def add(self, docs: list[int | None], ids: np.ndarray, starts: np.ndarray) -> None:
+        """Some documents' ids, and where each begins among them."""
+        self.docs += docs
+        self.starts += (starts + self.n).tolist()
         self.n += len(ids)
         self.wait.append(ids)
         self.waiting += len(ids)
@@ -228,15 +202,14 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, *, id_col
 
         shard, out, name = TaskContext.get().partitionId(), None, ""
         enc = encoder(file)
-        end = np.array([end_id], "<u4")
         for big in batches:
             for b in slices(big, "text", SLICE_BYTES):
                 if out is None:
                     name, raw = folder.create(f"shard-{shard:06d}")
                     out = ShardWriter(raw, planes, block_ids, level)
-                texts = [t or "" for t in column(b, "text").to_pylist()]
-                for doc, ids in zip(column(b, "id").to_pylist(), enc.encode(texts), strict=True):
-                    out.add(doc, np.concatenate([np.frombuffer(ids, "<u4"), end]))
+                flat, ends = flat_ids(enc.encode(column(b, "text")))
+                out.add(column(b, "id").to_pylist(), np.insert(flat, ends[1:], end_id), ends[:-1] + np.arange(len(ends) - 1))
+        release()
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [name], "n_docs": [len(out.docs)], "n_ids": [out.n]})

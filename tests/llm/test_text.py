@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,8 +133,16 @@ def test_text_without_spaces_is_read_to_its_end(field):
     assert list(map(len, crf.words_of("日" * 100))) == [40, 40, 20]
     few, many = "the,and,of,that,there,", "der,die,und,nicht,schein,"
     recent = crf.Recent(field.emissions, 1000)
-    got = field.predict([few * 2 + many * 40, many * 2 + few * 40, "the" * 20 + "schein" * 200, "schein" * 20 + "the" * 400], recent)
-    assert [k for k, _ in got] == ["de", "en", "de", "en"]
+    got, _ = field.predict(pa.array([few * 2 + many * 40, many * 2 + few * 40, "the" * 20 + "schein" * 200, "schein" * 20 + "the" * 400]), recent)
+    assert got.to_pylist() == ["de", "en", "de", "en"]
+
+
+def test_words_are_labelled(spark, field):
+    rows = [(1, "the and of thing\nder die und nicht, der schein"), (2, None), (3, "12 --"), (None, "the and of that there")]
+    got = {r["doc_id"]: r for r in crf.label_words(spark.createDataFrame(rows, "doc_id long, text string"), field).collect()}
+    assert got[1]["words"] == "the and of thing der die und nicht der schein".split()
+    assert got[1]["labels"] == ["en"] * 4 + ["de"] * 6 and got[None]["labels"] == ["en"] * 5
+    assert got[2]["words"] == got[2]["labels"] == got[3]["words"] == []
 
 
 def test_language_of_odd_rows(spark, field):
