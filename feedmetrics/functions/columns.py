@@ -6,7 +6,7 @@ inside whole-stage codegen; nothing here triggers a job.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,8 +52,44 @@ def duration_parts(records: Column | str, minutes_per_record: int = 1) -> tuple[
     """Record count -> (whole hours, remaining minutes), one record standing for
     ``minutes_per_record`` minutes."""
     c = F.col(records) if isinstance(records, str) else records
-    total = c * F.lit(minutes_per_record)
-    return F.floor(total / F.lit(60)).cast("bigint"), F.pmod(total, F.lit(60)).cast("bigint")
+    total = (c * F.lit(minutes_per_record)).cast("bigint")
+    return F.call_function("div", total, F.lit(60)), F.pmod(total, F.lit(60)).cast("bigint")
+
+
+def number_text(col: Column | str) -> Column:
+    """A double as text: decimal from 1e-4 up to 1e16 (``0.0005``, ``12345678.9``), else with an exponent of two
+    digits or more (``1e-05``, ``1.5e+16``); ``nan``, ``inf``, ``-0.0``; NULL for NULL.
+
+    The digits are the fewest that give the number back: 16 where they do, else 17, without zeros at the end."""
+    def text(x: Column) -> Column:
+        short = F.format_string("%.15e", F.abs(x))
+        return F.when(short.try_cast("double") == F.abs(x), short).otherwise(F.format_string("%.16e", F.abs(x)))
+
+    def parts(t: Column) -> Column:
+        digits = F.regexp_replace(F.substring_index(t, "e", 1), r"\.?0+$", "")
+        return F.struct(digits.alias("digits"), F.substring_index(t, "e", -1).try_cast("int").alias("exponent"))
+
+    def moved(p: Column) -> Column:
+        digits, exponent = p.getField("digits"), p.getField("exponent")
+        whole, part = digits.substr(1, 1), digits.substr(3, 20)
+        rest = F.coalesce(F.nullif(part.substr(exponent + 1, F.lit(20)), F.lit("")), F.lit("0"))
+        large = F.concat(whole, F.rpad(part.substr(F.lit(1), exponent), exponent, "0"), F.lit("."), rest)
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), whole, part)
+        power = F.lpad(F.abs(exponent).cast("string"), F.when(F.abs(exponent) > 99, 3).otherwise(2), "0")
+        science = F.concat(digits, F.lit("e"), F.when(exponent < 0, "-").otherwise("+"), power)
+        return F.when((exponent < -4) | (exponent > 15), science).when(exponent < 0, small).otherwise(large)
+
+    def whole(x: Column) -> Column:
+        sign = F.when(F.startswith(x.cast("string"), F.lit("-")), "-").otherwise("")
+        return (F.when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), F.concat(sign, F.lit("inf")))
+                .otherwise(F.concat(sign, bound(text(x), lambda t: bound(parts(t), moved)))))
+
+    return bound((F.col(col) if isinstance(col, str) else col).cast("double"), lambda x: F.when(x.isNotNull(), whole(x)))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def nan_as_null(col: Column | str) -> Column:

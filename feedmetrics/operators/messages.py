@@ -6,12 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, MapType, NumericType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, MapType, NumericType, StringType
 
 from feedmetrics.functions.columns import q
 
-CORRUPT = "_corrupt_record"
-
 
 def to_messages(df: DataFrame, columns: Sequence[str] | None = None, blanks: str = "nan", booleans: str = "text") -> Column:
     """JSON object of the row: numbers stay JSON numbers, every other value (booleans, time
@@ -96,19 +94,49 @@ def assign_partition(df: DataFrame, n: int, order_by: Sequence[str] | None, name
     return p.withColumn(name, F.pmod(F.col("_position"), F.lit(n)).cast("int")).drop("_position")
 
 
+def _is_object(text: Column) -> Column:
+    """Whether ``text`` is exactly one JSON object, by one parse.
+
+    The parser stops at the end of the first value and so would accept text after it. The payload is therefore
+    parsed as the first element of a list whose second is a mark made from the payload's own hash: text
+    that closes the list early never reaches the mark, and cannot hold it."""
+    mark = F.xxhash64(text).cast("string")
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit(',{"mark":"'), mark, F.lit('"}]')), ArrayType(MapType(StringType(), StringType())),
+                         {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
+    # The lambda's variable is the parsed list: it is looked at three times and parsed once.
+    one = F.transform(F.array(listed), lambda x: (F.size(x) == 2) & F.get(x, F.lit(0)).isNotNull() & (F.try_element_at(F.get(x, F.lit(1)), F.lit("mark")) == mark))
+    return F.coalesce(text.rlike(r"^\s*\{") & F.get(one, F.lit(0)), F.lit(False))
+
+
 def malformed_flag(df: DataFrame, col: str = "value", name: str = "malformed") -> DataFrame:
-    """Adds boolean ``malformed``: the payload is NULL, blank or not exactly one JSON object.
+    """Adds boolean ``malformed``: the payload is NULL, blank or not exactly one JSON object."""
+    return df.withColumn(name, ~_is_object(F.col(col).cast("string")))
+
 
-    The parser stops at the end of the first value and so would accept text after it. The
-    payload is therefore parsed inside brackets and inside braces: what follows the object
-    would have to fit both."""
+def reject_reason(df: DataFrame, col: str = "value", name: str = "reason") -> DataFrame:
+    """Adds why a payload is rejected, NULL where it is not: ``missing`` (NULL), ``blank``, ``not an object`` (does not
+    begin with a brace), ``trailing text`` (an object with something after it), ``cut off`` (does not end with
+    a brace), ``malformed`` (anything else). Only rejected payloads are parsed a second time."""
     text = F.col(col).cast("string")
-    options = {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
-    probe = StructType([StructField(CORRUPT, StringType(), True)])
-    braced = F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), StructType([StructField("x", probe), StructField(CORRUPT, StringType())]), options)
-    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), ArrayType(MapType(StringType(), StringType())), {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
-    good = text.rlike(r"^\s*\{") & braced.getField(CORRUPT).isNull() & (F.size(listed) == 1) & F.get(listed, F.lit(0)).isNotNull()
-    return df.withColumn(name, ~F.coalesce(good, F.lit(False)))
+    first = F.from_json(text, MapType(StringType(), StringType()), {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
+    reason = (F.when(text.isNull(), "missing").when(_is_object(text), F.lit(None)).when(F.btrim(text, F.lit(" \t\r\n")) == "", "blank").when(~text.rlike(r"^\s*\{"), "not an object")
+              .when(first.isNotNull(), "trailing text").when(~text.rlike(r"\}\s*$"), "cut off").otherwise("malformed"))
+    return df.withColumn(name, reason)
+
+
+MESSAGE_KEY = ("topic", "partition", "offset")
+
+
+def replay(corrected: DataFrame, stored: DataFrame, rejected: DataFrame, col: str = "value", key: Sequence[str] = MESSAGE_KEY) -> DataFrame:
+    """The corrected messages to store now: well-formed ones for places that were rejected and are not stored yet.
+
+    Of several corrections of one place the latest (``timestamp``, then payload) counts. Storing the result and replaying
+    again gives nothing, so a replay may be repeated after a failure."""
+    keys = [F.col(q(k)) for k in key]
+    good = malformed_flag(corrected, col, "_bad").where(~F.col("_bad")).drop("_bad")
+    order = [F.col(c) for c in ("timestamp", col) if c in corrected.columns]
+    last = good.groupBy(*keys).agg(F.max(F.struct(*order, F.struct("*").alias("_row"))).alias("_last")).select("_last._row.*")
+    return last.join(rejected.select(*keys).distinct(), list(key), "left_semi").join(stored.select(*keys), list(key), "left_anti").select(*corrected.columns)
 
 
 def split_malformed(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmetrics.functions.columns import duration_parts, outside
+from feedmetrics.functions.columns import duration_parts, number_text, outside
 from feedmetrics.functions.columns import nan_as_null as nan_as_null_col
 
 # The ideal ranges the reference checks, and the units its report prints.
@@ -66,8 +66,8 @@ def range_stats(df: DataFrame, bounds: Bounds = IDEAL_BOUNDS, minutes_per_record
     return df.agg(*_duration(df, bounds, minutes_per_record), *_extremes(bounds.keys(), nan_as_null))
 
 
-def _text(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit("None"))
+def _text(c: Column, double: bool = False) -> Column:
+    return F.coalesce(number_text(c) if double else c.cast("string"), F.lit("None"))
 
 
 def report_lines(stats: DataFrame, bounds: Bounds = IDEAL_BOUNDS, units: Mapping[str, str] = UNITS) -> DataFrame:
@@ -77,10 +77,40 @@ def report_lines(stats: DataFrame, bounds: Bounds = IDEAL_BOUNDS, units: Mapping
     for c in bounds:
         label = c.replace("_", " ")
         for kind in ("Max", "Min"):
-            lines.append(F.concat(F.lit(f"{kind} {label}: "), _text(F.col(f"{kind}_{c}")), F.lit(units.get(c, ""))))
+            lines.append(F.concat(F.lit(f"{kind} {label}: "), _text(F.col(f"{kind}_{c}"), stats.schema[f"{kind}_{c}"].dataType.typeName() in ("double", "float")), F.lit(units.get(c, ""))))
     arr = F.array(*[F.struct(F.lit(i + 1).alias("line_no"), ln.alias("line")) for i, ln in enumerate(lines)])
     return stats.select(F.inline(arr))
 
 
+def aligned_range_stats(parts: Sequence[tuple[DataFrame, Bounds]], on: str = "Time", minutes_per_record: int = 1) -> DataFrame:
+    """``range_stats`` of the inner join of ``parts`` on ``on``, without making its rows.
+
+    ``parts``: (readings, bounds of their columns; none where they only take part in the join).
+    Every part is summed up per key first: its rows, its rows within all bounds, and the extremes. Of the rows
+    that the join would have for a key, those with no value outside are the product of the parts' rows within;
+    an extreme over the join is the extreme over the keys that all parts have. So a key with many
+    readings on every side is one row of the join, and nothing multiplies."""
+    joined = None
+    for i, (df, bounds) in enumerate(parts):
+        out = _any_outside(bounds) if bounds else F.lit(False)
+        own = df.where(F.col(on).isNotNull()).groupBy(on).agg(
+            F.count(F.lit(1)).alias(f"_n{i}"), F.count_if(~out).alias(f"_in{i}"), *_extremes(bounds))
+        joined = own if joined is None else joined.join(own, on)
+
+    def product(name: str) -> Column:
+        total = F.lit(1).cast("decimal(38,0)")
+        for i in range(len(parts)):
+            total = (total * F.col(f"{name}{i}").cast("decimal(19,0)")).cast("decimal(38,0)")
+        return total
+
+    n = F.coalesce(F.sum(product("_n") - product("_in")), F.lit(0)).cast("bigint")
+    cols = [c for _, bounds in parts for c in bounds]
+    ends = [f(f"{kind}_{c}").alias(f"{kind}_{c}") for c in cols for kind, f in (("Max", F.max), ("Min", F.min))]
+    found = joined.agg(n.alias("_n"), *ends)
+    h, m = duration_parts("_n", minutes_per_record)
+    return found.select((F.col("_n") * F.lit(minutes_per_record)).alias("minutes_out_of_range"), h.alias("hours"), m.alias("minutes"),
+                        *[f"{kind}_{c}" for c in cols for kind in ("Max", "Min")])
+
+
 def range_report(df: DataFrame, bounds: Bounds = IDEAL_BOUNDS, minutes_per_record: int = 1) -> DataFrame:
     return report_lines(range_stats(df, bounds, minutes_per_record), bounds)

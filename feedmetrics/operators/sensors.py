@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from feedmetrics.functions.columns import coerce_numeric, q
+from feedmetrics.operators.stats import exact_means
 
 _D, _I, _S = DoubleType(), IntegerType(), StringType()
 
@@ -142,6 +143,30 @@ def untimed(df: DataFrame, pattern: str | None = None) -> DataFrame:
     return df.where(read_time(pattern).isNull())
 
 
+def reconcile(frames: Sequence[tuple[str, DataFrame]], documents: DataFrame, on: str = "Time", parts=None) -> DataFrame:
+    """The documents (``value``) that an alignment of the stored readings ``frames`` has and ``documents`` lacks, as often
+    as they are lacking: what a stream with a watermark missed. Stored with the others, a second
+    reconciling gives nothing.
+
+    Counts tell which times are incomplete: the readings of a time per frame, multiplied, against its stored
+    documents. Only these times are aligned again and compared document by document."""
+    counted = None
+    for i, (_, df) in enumerate(frames):
+        own = df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).cast("decimal(19,0)").alias(f"_n{i}"))
+        counted = own if counted is None else counted.join(own, on)
+    wanted = F.lit(1).cast("decimal(38,0)")
+    for i in range(len(frames)):
+        wanted = (wanted * F.col(f"_n{i}")).cast("decimal(38,0)")
+    stored = documents.select("value", F.get_json_object("value", f"$.{on}").alias(on))
+    have = stored.groupBy(on).agg(F.count(F.lit(1)).alias("_have"))
+    open_ = counted.join(have, on, "left").where(wanted > F.coalesce("_have", F.lit(0))).select(on)
+    aligned = align_streams([(alias, df.join(open_, on, "left_semi")) for alias, df in frames], on=[on])
+    again = build_document(aligned, **({} if parts is None else {"parts": parts})).groupBy("value").agg(F.count(F.lit(1)).alias("_n"))
+    known = stored.join(open_, on, "left_semi").groupBy("value").agg(F.count(F.lit(1)).alias("_have"))
+    lacking = again.join(known, "value", "left").withColumn("_n", F.col("_n") - F.coalesce("_have", F.lit(0))).where("_n > 0")
+    return lacking.select("value", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).select("value")
+
+
 def build_document(aligned: DataFrame, parts=DOCUMENT_PARTS, key: str = "Time") -> DataFrame:
     """Aligned row -> ``value``: JSON text ``{Time, Air{...}, Earth{...}, Water{...}}``.
 
@@ -168,5 +193,6 @@ def flatten(df: DataFrame, paths: dict[str, str] = REPORT_FIELDS, root: str = "d
 
 def running_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: the mean of each column over everything seen (complete output mode in a
-    stream). Names are ``<name>_mean`` with dots replaced (``PM2_5_mean``)."""
-    return df.agg(*[F.avg(F.col(q(c))).alias(f"{safe_name(c)}_mean") for c in columns])
+    stream), independent of the order, the partitions and the batches (``stats.exact_means``). Names are
+    ``<name>_mean`` with dots replaced (``PM2_5_mean``)."""
+    return exact_means(df, columns, [f"{safe_name(c)}_mean" for c in columns])

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmetrics.functions.columns import nan_as_null as nan_as_null_col
+from feedmetrics.functions.columns import q
+from feedmetrics.operators import sketches
 from feedmetrics.session import work_dir
 
 
@@ -51,6 +53,41 @@ def summary(df: DataFrame, col: str, prefix: str | None = None, nan_as_null: boo
     return df.agg(F.avg(c).alias(f"{p}_mean"), F.max(c).alias(f"{p}_max"), F.min(c).alias(f"{p}_min"))
 
 
+#: Limbs of a fraction in ``exact_means``, of 32 bits each.
+LIMBS = 3
+
+
+def exact_means(df: DataFrame, columns: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
+    """One row: the mean of each double column, the same to the last bit however the rows are partitioned or batched.
+
+    Sums of doubles depend on their order, sums of whole numbers do not. A value is cut, without rounding, into its
+    whole part and ``LIMBS`` limbs of 32 bits of its fraction (bits below 2^-96 are dropped, per value); limbs
+    are summed as whole numbers and put together at the end. NaN, infinities and numbers from 2^63 on are counted apart:
+    any NaN, or infinities of both signs, give NaN, else an infinity gives itself; a mean over numbers too large
+    is NULL, as is one over nothing."""
+    n, aggs, outs = len(columns), [], []
+    rows = df.select(*[F.col(q(c)).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)])
+    plain = [F.col(f"_x{i}").isNotNull() & ~F.isnan(f"_x{i}") & (F.abs(f"_x{i}") < float(2 ** 63)) for i in range(n)]
+    # One projection a limb: each uses the rest that the one before left, which is then computed once.
+    rows = rows.select("*", *[F.when(plain[i], F.floor(f"_x{i}")).alias(f"_w{i}") for i in range(n)], *[F.when(plain[i], F.col(f"_x{i}") - F.floor(f"_x{i}")).alias(f"_r{i}_0") for i in range(n)])
+    for k in range(LIMBS):
+        rows = rows.select("*", *[F.floor(F.col(f"_r{i}_{k}") * float(2 ** 32)).alias(f"_l{i}_{k}") for i in range(n)])
+        rows = rows.select("*", *[(F.col(f"_r{i}_{k}") * float(2 ** 32) - F.col(f"_l{i}_{k}")).alias(f"_r{i}_{k + 1}") for i in range(n)])
+    for i, name in enumerate(names or [f"{c}_mean" for c in columns]):
+        x = F.col(f"_x{i}")
+        aggs += [F.count(x).alias(f"_n{i}"), F.count_if(F.isnan(x)).alias(f"_nan{i}"), F.count_if(x == float("inf")).alias(f"_up{i}"),
+                 F.count_if(x == float("-inf")).alias(f"_down{i}"), F.count_if(~F.isnan(x) & (F.abs(x) >= float(2 ** 63)) & (F.abs(x) != float("inf"))).alias(f"_large{i}"),
+                 F.sum(F.col(f"_w{i}").cast("decimal(19,0)")).alias(f"_w{i}"), *[F.sum(F.col(f"_l{i}_{k}").cast("decimal(10,0)")).alias(f"_l{i}_{k}") for k in range(LIMBS)]]
+        total = F.lit(0.0)
+        for k in reversed(range(LIMBS)):
+            total = (total + F.col(f"_l{i}_{k}").cast("double")) / float(2 ** 32)
+        mean = (F.col(f"_w{i}").cast("double") + total) / F.col(f"_n{i}").cast("double")
+        outs.append(F.when((F.col(f"_nan{i}") > 0) | ((F.col(f"_up{i}") > 0) & (F.col(f"_down{i}") > 0)), float("nan"))
+                    .when(F.col(f"_up{i}") > 0, float("inf")).when(F.col(f"_down{i}") > 0, float("-inf"))
+                    .when(F.col(f"_large{i}") == 0, mean).alias(name))
+    return rows.agg(*aggs).select(*outs)
+
+
 def first_k(df: DataFrame, order_by: Sequence[Column | str], k: int = 10) -> DataFrame:
     """First ``k`` rows in order (NULL keys last). Planned as TakeOrderedAndProject: each task
     keeps ``k`` rows, no full sort."""
@@ -74,63 +111,64 @@ def argmax_ties(df: DataFrame, col: str) -> DataFrame:
 
 
 def kth_smallest(df: DataFrame, col: str, rank: int | None = None, fraction: float | None = None,
-                 buckets: int = 512, max_bucket_rows: int = 1_000_000, accuracy: int = 100_000,
+                 max_range_rows: int = 1_000_000, sketch_k: int = sketches.KLL_K, stored: DataFrame | None = None,
                  name: str | None = None) -> DataFrame:
     """Exact order statistic: the value at 0-based position ``rank`` of the ascending
     non-NULL values (or at position ``ceil(fraction * n) - 1``). One row; NULL when there
-    is no such position.
+    is no such position. NaN sorts last.
 
     Distributed selection instead of sorting a column in one task:
-      1. histogram ``(value, count)``: a partial aggregate, so hot values are single rows;
-      2. bucket edges = approximate quantiles of the *distinct* values (a fixed-size sketch),
-         so every bucket holds about ``distinct / buckets`` histogram rows;
-      3. per-bucket row counts (``buckets`` rows) locate the bucket holding ``rank``;
-      4. repeat inside that bucket while it still holds more than ``max_bucket_rows``
-         distinct values, then scan the bucket in order.
+      1. a KLL sketch (partial aggregates of a fixed size; or ``stored``, a table of
+         ``sketches.value_sketches`` of the same rows) gives a narrow range of values around the rank;
+      2. one more scan counts what is below the range and makes the range's histogram, which is
+         partially aggregated, so hot values are single rows; a sketch that was off is noticed
+         here, and the range is widened;
+      3. while the range holds more than ``max_range_rows`` distinct values it is narrowed by a sketch of
+         itself; then it is scanned in order.
     """
-    work_dir(df.sparkSession)  # a checkpoint folder must be registered
-    hist = (df.select(F.col(col).alias("v")).where(F.col("v").isNotNull())
-            .groupBy("v").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True))
-    fracs = [i / buckets for i in range(1, buckets)]
-    stats = hist.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).first()
-    n, d = stats["n"] or 0, stats["d"]
+    spark, out_name, kind = df.sparkSession, name or col, sketches.kll_kind(df.schema[col].dataType)
+    if kind is None:
+        raise ValueError(f"{col} is neither an integer nor a float column")
+    work_dir(spark)  # a checkpoint folder must be registered
+    values = df.select(F.col(col).cast(kind).alias("v")).where(F.col("v").isNotNull())
+    vtype = df.schema[col].dataType
+    found = _sketched(values, sketch_k) if stored is None else sketches.merged_values(stored, kind).checkpoint(eager=True)
+    one = found.select("n", "nan").first()
+    n, nan = one["n"], one["nan"]
     if rank is None:
         if fraction is None:
             raise ValueError("give rank or fraction")
-        rank = max(int(math.ceil(fraction * n)) - 1, 0)
-    out_name = name or col
-    if n == 0 or rank < 0 or rank >= n:
-        vtype = hist.schema["v"].dataType
-        return df.sparkSession.range(1).select(F.lit(None).cast(vtype).alias(out_name))
-    cur, lo, hi = hist, None, None  # current bucket is (lo, hi]
-    while d > max_bucket_rows:
-        edges = sorted(set(cur.agg(F.percentile_approx("v", fracs, accuracy).alias("e")).first()["e"]))
-        # bucket index = number of edges strictly below the value
-        b = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col("v")))
-        per = {r["b"]: (r["rows"], r["d"]) for r in
-               cur.groupBy(b.alias("b")).agg(F.sum("c").alias("rows"), F.count(F.lit(1)).alias("d")).collect()}
-        acc = 0
-        for i in range(len(edges) + 1):
-            rows, dd = per.get(i, (0, 0))
-            if acc + rows > rank:
-                break
-            acc += rows
-        new_lo = edges[i - 1] if i > 0 else lo
-        new_hi = edges[i] if i < len(edges) else hi
-        if (new_lo, new_hi) == (lo, hi):  # no split possible (one distinct value left)
+        rank = max(int(math.ceil(fraction * (n + nan))) - 1, 0)
+    if rank < 0 or rank >= n:
+        value = F.lit(float("nan")) if 0 <= rank < n + nan else F.lit(None)
+        return spark.range(1).select(value.cast(vtype).alias(out_name))
+    values = values.where(~F.isnan("v")) if kind == "double" else values
+    within, below, error = values, 0, 2 * sketches.kll_error(sketch_k)
+    while True:
+        lo, hi = sketches.value_range(found, kind, rank - below, n, error)
+        rows = within if hi is None else within.where(F.col("v") <= F.lit(hi))
+        low = F.lit(None) if lo is None else F.col("v") < F.lit(lo)
+        hist = rows.groupBy(F.coalesce(low, F.lit(False)).alias("low"), F.when(~F.coalesce(low, F.lit(False)), F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
+        seen = hist.agg(F.sum(F.when(F.col("low"), F.col("c"))).alias("low"), F.sum(F.when(~F.col("low"), F.col("c"))).alias("own"), F.count_if(~F.col("low")).alias("d")).first()
+        before, own = below + (seen["low"] or 0), seen["own"] or 0
+        if not before <= rank < before + own:
+            error *= 4  # the sketch was off: a wider range, at last all values
+            continue
+        below, within = before, rows if lo is None else rows.where(F.col("v") >= F.lit(lo))
+        if seen["d"] <= max_range_rows or own == n:  # a range that does not get narrower is scanned as it is
             break
-        rank -= acc
-        lo, hi, d = new_lo, new_hi, dd
-        cur = hist
-        if lo is not None:
-            cur = cur.where(F.col("v") > F.lit(lo))
-        if hi is not None:
-            cur = cur.where(F.col("v") <= F.lit(hi))
-    # The remaining bucket is bounded: ordered running count within it, first row past rank.
+        found, n, error = _sketched(within, sketch_k), own, 2 * sketches.kll_error(sketch_k)
+    # The remaining range is bounded: ordered running count within it, first row past the rank.
     w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    picked = (cur.withColumn("_cum", F.sum("c").over(w))
-              .where(F.col("_cum") > F.lit(rank)).orderBy("v").limit(1))
-    return picked.select(F.col("v").alias(out_name))
+    picked = (hist.where(~F.col("low")).withColumn("_cum", F.sum("c").over(w))
+              .where(F.col("_cum") > F.lit(rank - below)).orderBy("v").limit(1))
+    return picked.select(F.col("v").cast(vtype).alias(out_name))
+
+
+def _sketched(values: DataFrame, k: int) -> DataFrame:
+    """One stored row (sketch, nan, n) of the column ``v``."""
+    kind = sketches.kll_kind(values.schema["v"].dataType)
+    return sketches.merged_values(sketches.value_sketches(values, "v", k=k), kind).checkpoint(eager=True)
 
 
 def median_disc(df: DataFrame, col: str, approx: bool = False, accuracy: int = 10_000,

@@ -13,6 +13,8 @@ from feedmetrics.sinks import route_to_csv
 from feedmetrics.sources.derived import sensor_messages
 from feedmetrics.sources.files import read_feed, read_table
 from feedmetrics.sources.topics import TopicSpec, read_topic
+from feedmetrics.sources.topics import offset_gaps as find_offset_gaps
+from feedmetrics.streaming import feeds
 
 PARTITIONS = 2
 FEED_TOPICS = ("view", "click", "purchase", "signup", "error")
@@ -25,7 +27,12 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = messages.assign_partition(feed(spark, sf_dir), PARTITIONS, order_by=["event_id"])
+    """The messages, dealt round robin in the order of the feed's file, without a shuffle of the rows."""
+    rows = messages.assign_partition(feed(spark, sf_dir), PARTITIONS, order_by=None)
+    return as_messages(rows)
+
+
+def as_messages(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("event_type").alias("topic"), "partition",
                        messages.to_messages(rows, ["event_id", "ts", "user_id", "event_type", "value", "props"])
                        .alias("value"))
@@ -35,6 +42,11 @@ def feed_to_messages(spark, sf_dir):
     return published(spark, sf_dir)
 
 
+def feed_file_positions(spark, sf_dir):
+    """Each row's place in the feed's file."""
+    return messages.with_file_positions(feed(spark, sf_dir)).select("event_id", "position")
+
+
 def partition_slice(spark, sf_dir):
     spec = TopicSpec(assign={t: [0] for t in FEED_TOPICS})
     return read_topic(spark, spec, stream=False, stored=published(spark, sf_dir))
@@ -96,13 +108,63 @@ def consume_roundtrip(spark, sf_dir):
 
 
 def overwrite_twice(spark, sf_dir):
-    """A second run with ``mode="overwrite"`` leaves only its own rows."""
+    """A second run with ``mode="overwrite"``, with the rows dealt the other way, leaves only its own rows."""
     path = fresh_path(spark, "overwritten")
-    rows = feed(spark, sf_dir).select("event_id", F.col("event_type").alias("topic"), (F.col("event_id") % PARTITIONS).cast("int").alias("partition"))
-    for some in (rows, rows.where("event_id % 3 = 0")):
-        route_to_csv(some, path, mode="overwrite")
+    rows = feed(spark, sf_dir).select("event_id", F.col("event_type").alias("topic"))
+    for shift in (0, 1):
+        partition = F.pmod(F.col("event_id") + shift, F.lit(PARTITIONS)).cast("int")
+        route_to_csv(rows.withColumn("partition", partition), path, mode="overwrite")
     return read_feed(spark, path, "event_id bigint, topic string, partition int")
 
 
-QUERIES = {f.__name__: f for f in (feed_to_messages, partition_slice, route_counts, malformed_split, malformed_rows,
+def reject_reasons(spark, sf_dir):
+    """Why payloads are rejected, per reason, over messages of every kind of damage."""
+    return messages.reject_reason(damaged(spark, sf_dir)).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+def damaged(spark, sf_dir):
+    """Messages of the feed, most of them damaged in one of seven ways by the event's number."""
+    rows = feed(spark, sf_dir)
+    good, k = messages.to_messages(rows, ["event_id", "user_id", "event_type"]), F.col("event_id") % 8
+    value = (F.when(k == 0, F.concat(good, F.lit(" xyz"))).when(k == 1, F.lit("{'a': 1}")).when(k == 2, F.lit("  "))
+             .when(k == 3, F.concat(good, good)).when(k == 4, F.substring(good, 1, 9)).when(k == 5, F.lit(None)).when(k == 6, F.concat(F.lit("["), good, F.lit("]"))).otherwise(good))
+    return rows.select("event_id", value.alias("value"))
+
+
+def replay_once(spark, sf_dir):
+    """Rejected sensor messages are corrected and replayed twice; each is stored once."""
+    ev = read_table(spark, sf_dir, "events")
+    sent = [sensor_messages(ev, t) for t in TOPICS]
+    arrived = sent[0].unionByName(sent[1]).unionByName(sent[2])
+    good, bad = messages.split_malformed(arrived)
+    whole = [sensor_messages(ev, t, truncated=False) for t in TOPICS]
+    corrected = whole[0].unionByName(whole[1]).unionByName(whole[2])
+    path, kept = fresh_path(spark, "replayed"), ["topic", "partition", "offset", "value"]
+    good.select(kept).write.parquet(path)
+    for _ in range(2):
+        stored = spark.read.schema("topic string, partition int, offset bigint, value string").parquet(path)
+        # An append to the folder that is being read: the plan's files are listed before it begins.
+        messages.replay(corrected, stored, bad).select(kept).write.mode("append").parquet(path)
+    return spark.read.parquet(path).select("topic", "partition", "offset", F.get_json_object("value", "$.Time").alias("time"))
+
+
+def feed_stream_messages(spark, sf_dir):
+    """The feed published as a stream, in two files that arrive one after another, with a restart in between."""
+    path = fresh_path(spark, "feed-stream")
+    ss, rows = streaming.stream_session(spark), feed(spark, sf_dir)
+    half = rows.agg(F.expr("percentile_approx(event_id, 0.5, 1000)").alias("m")).first()["m"]
+    for part in (F.col("event_id") <= half, F.col("event_id") > half):
+        rows.where(part).sortWithinPartitions("event_id").coalesce(1).write.mode("append").parquet(f"{path}/feed")
+        stream = ss.readStream.schema(rows.schema).parquet(f"{path}/feed")
+        streaming.run_all([feeds.start_feed(stream, as_messages, path, f"{path}/checkpoint", PARTITIONS)])
+    return spark.read.parquet(f"{path}/messages").drop("epoch")
+
+
+def offset_gaps(spark, sf_dir):
+    """Runs of offsets that a topic's partition lacks: topic and partition of the feed's events, the event's number as offset."""
+    rows = feed(spark, sf_dir).select(F.col("event_type").alias("topic"), F.pmod("user_id", F.lit(PARTITIONS)).cast("int").alias("partition"), F.col("event_id").alias("offset"))
+    return find_offset_gaps(rows, chunk=1000)
+
+
+QUERIES = {f.__name__: f for f in (feed_stream_messages, offset_gaps, feed_to_messages, feed_file_positions, partition_slice, reject_reasons, replay_once, route_counts, malformed_split, malformed_rows,
                                    feed_blank_cells, consume_roundtrip, overwrite_twice)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmetrics.operators import cache, lookup, logs, stats
+from feedmetrics.operators import cache, lookup, logs, sketches, stats
 from feedmetrics.sources.derived import ip_dictionary, ip_dictionary_with_updates, log_lines
 from feedmetrics.session import fresh_path
 from feedmetrics.sources.files import read_dictionary, read_log_lines, read_table
@@ -169,10 +169,37 @@ def dictionary_file_lookup(spark, sf_dir):
 
 def latency_median_bucketed(spark, sf_dir):
     """The median by narrowing buckets (as on columns with very many distinct values)."""
-    return stats.kth_smallest(valid(spark, sf_dir), "latency", fraction=0.5, max_bucket_rows=64, buckets=16, name="latency_median")
+    return stats.kth_smallest(valid(spark, sf_dir), "latency", fraction=0.5, max_range_rows=64, sketch_k=64, name="latency_median")
 
 
-QUERIES = {f.__name__: f for f in (log_file_roundtrip, dictionary_file_lookup, latency_median_bucketed, 
+def stored_sketches(spark, sf_dir):
+    """Sketches of the valid lines, a row per hour of the log, stored as a table and read back."""
+    rows = valid(spark, sf_dir, with_time=True)
+    hour = F.floor(F.col("ts_ms") / 3_600_000).alias("hour")
+    path = fresh_path(spark, "sketches")
+    distinct = sketches.distinct_sketches(rows, "ip", [hour], name="clients")
+    sketches.value_sketches(rows, "latency", [hour]).join(distinct, "hour").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def unique_clients_sketched(spark, sf_dir):
+    """Distinct clients from the merged hourly sketches, against the exact count: within three standard errors, and equal to a
+    sketch of all lines at once."""
+    table, rows = stored_sketches(spark, sf_dir), valid(spark, sf_dir)
+    merged = sketches.merged_distinct(table, "merged", "clients")
+    direct = sketches.merged_distinct(sketches.distinct_sketches(rows, "ip", []), "direct")
+    both = stats.distinct_count(rows, "ip", name="unique_clients").join(merged).join(direct)  # one row each
+    limit = F.lit(3 * sketches.hll_error())
+    return both.select("unique_clients", (F.abs(F.col("merged") - F.col("unique_clients")) <= limit * F.col("unique_clients")).alias("within_error"),
+                       (F.col("merged") == F.col("direct")).alias("merge_is_direct"))
+
+
+def latency_median_sketched(spark, sf_dir):
+    """The exact median, its range taken from the merged hourly sketches."""
+    return stats.kth_smallest(valid(spark, sf_dir), "latency", fraction=0.5, stored=stored_sketches(spark, sf_dir), name="latency_median")
+
+
+QUERIES = {f.__name__: f for f in (log_file_roundtrip, dictionary_file_lookup, latency_median_bucketed, latency_median_sketched, unique_clients_sketched, 
     log_fields, log_time, log_valid, log_invalid, log_first10, bad_first10, service_counts, log_overview,
     unique_clients, log_enriched, dictionary_lookup, dictionary_lookup_shuffled, dictionary_last_wins, providers,
     provider_count, city_count, city_traffic, latency_summary, latency_median, latency_top2,

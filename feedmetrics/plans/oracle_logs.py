@@ -111,6 +111,10 @@ SQL = {
               SELECT latency, row_number() OVER (ORDER BY latency) AS rn, count(*) OVER () AS n
               FROM enriched WHERE latency IS NOT NULL) WHERE rn = (n + 1) // 2"""),
     "log_file_roundtrip": _w("SELECT n_fields, latency, ip, hit_status, content, size FROM parsed"),
+    "latency_median_sketched": _w("""SELECT latency AS latency_median FROM (
+              SELECT latency, row_number() OVER (ORDER BY latency) AS rn, count(*) OVER () AS n
+              FROM enriched WHERE latency IS NOT NULL) WHERE rn = (n + 1) // 2"""),
+    "unique_clients_sketched": _w("SELECT count(DISTINCT ip) AS unique_clients, true AS within_error, true AS merge_is_direct FROM valid"),
     "latency_median": _w("""SELECT latency AS latency_median FROM (
               SELECT latency, row_number() OVER (ORDER BY latency) AS rn, count(*) OVER () AS n
               FROM enriched WHERE latency IS NOT NULL) WHERE rn = (n + 1) // 2"""),

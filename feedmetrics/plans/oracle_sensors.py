@@ -70,8 +70,21 @@ stats AS (
 """
 
 
+def _mean(c: str) -> str:
+    """Whole parts and 32-bit limbs of the fractions summed as whole numbers, put together at the end."""
+    x, limbs = f'"{c}"', []
+    rest = f"({x} - floor({x}))"
+    for _ in range(3):
+        limbs.append(f"sum(cast(floor({rest} * 4294967296.0) AS hugeint))")
+        rest = f"({rest} * 4294967296.0 - floor({rest} * 4294967296.0))"
+    total = "0.0"
+    for limb in reversed(limbs):
+        total = f"(({total} + cast({limb} AS double)) / 4294967296.0)"
+    return f'(cast(sum(cast(floor({x}) AS hugeint)) AS double) + {total}) / cast(count({x}) AS double) AS "{safe_name(c)}_mean"'
+
+
 def _means(topic: str) -> str:
-    cols = ", ".join(f'round(avg("{c}"), 6) AS "{safe_name(c)}_mean"' for c in MEAN_COLUMNS[topic])
+    cols = ", ".join(_mean(c) for c in MEAN_COLUMNS[topic])
     return _with(EV, topic_cte(topic)) + f"SELECT {cols} FROM {topic.lower()}"
 
 
@@ -117,4 +130,9 @@ SQL = {
     "stream_means_water": _means("WATER"),
     "align3_stream": ALIGNED + "SELECT * FROM aligned",
     "doc_stream_roundtrip": _DOCS,
+    "stream_reconciled": _DOCS,
+    # Arrival: four files by the event's number; a file's limit is the latest time of the files before it, less an hour.
+    "late_rows": """WITH a AS (SELECT event_id, event_id % 4 AS file, CASE WHEN event_id % 97 <> 0 THEN ts END AS t FROM events),
+           l AS (SELECT b.file, max(a.t) - INTERVAL 1 HOUR AS lim FROM (SELECT DISTINCT file FROM a) b LEFT JOIN a ON a.file < b.file GROUP BY b.file)
+           SELECT event_id, CASE WHEN t IS NULL THEN 'untimed' WHEN t <= lim THEN 'late' ELSE 'on_time' END AS kind FROM a JOIN l USING (file)""",
 }

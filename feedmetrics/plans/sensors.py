@@ -10,13 +10,16 @@ from feedmetrics.operators import quality, sensors
 from feedmetrics.session import fresh_path
 from feedmetrics.sinks import write_documents, write_report
 from feedmetrics.sources.derived import sensor_messages
-from feedmetrics.sources.files import read_documents, read_table
+from feedmetrics.sources.files import TABLE_SCHEMAS, read_documents, read_table
 from feedmetrics.sources.topics import TopicSpec, read_topic
+from feedmetrics.streaming import late
 
-MEAN_SCALE = 6  # running means are rounded so that summation order does not show
 TOPICS = ("AIR", "EARTH", "WATER")
 ALIASES = {"AIR": "air", "EARTH": "earth", "WATER": "water"}
 
+# Files that arrive one after another, and how far behind a reading may be.
+ARRIVALS, DELAY = 4, "1 hour"
+
 # Range checks on driver tables beyond the documents (same operators, larger inputs).
 EVENT_VALUE_BOUNDS = {"value": (5.0, 40.0)}
 LINEITEM_BOUNDS = {"l_quantity": (5.0, 40.0), "l_discount": (0.02, 0.08)}
@@ -57,6 +60,16 @@ def report_input(spark: SparkSession, sf_dir: str) -> DataFrame:
                   for a in [f.split(".")[0]]])
 
 
+def report_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duration and extremes over the aligned readings, summed up per topic and time before the join."""
+    parts = []
+    for t in TOPICS:
+        own = {n: f.split(".")[1] for n, f in sensors.REPORT_FIELDS.items() if f.split(".")[0].upper() == t}
+        rows = parsed(spark, sf_dir, t, fields=REPORT_TOPIC_FIELDS[t]).select("Time", *[F.col(f).alias(n) for n, f in own.items()])
+        parts.append((rows, {n: quality.IDEAL_BOUNDS[n] for n in own}))
+    return quality.aligned_range_stats(parts)
+
+
 def parse_air(spark, sf_dir):
     return parsed(spark, sf_dir, "AIR")
 
@@ -85,15 +98,15 @@ def range_flags(spark, sf_dir):
 
 
 def range_duration(spark, sf_dir):
-    return quality.out_of_range_duration(report_input(spark, sf_dir))
+    return report_stats(spark, sf_dir).select("minutes_out_of_range", "hours", "minutes")
 
 
 def range_minmax(spark, sf_dir):
-    return quality.min_max(report_input(spark, sf_dir), list(quality.IDEAL_BOUNDS))
+    return report_stats(spark, sf_dir).drop("minutes_out_of_range", "hours", "minutes")
 
 
 def range_report(spark, sf_dir):
-    return quality.range_report(report_input(spark, sf_dir))
+    return quality.report_lines(report_stats(spark, sf_dir))
 
 
 def report_roundtrip(spark, sf_dir):
@@ -130,8 +143,7 @@ def _stream_means(spark, sf_dir, topic):
     path = fresh_path(spark, f"means-{topic.lower()}")
     streaming.run_available_now(means, "table", path, path + "-checkpoint", output_mode="complete",
                                 skip_final_cleanup=True)
-    out = streaming.read_result_table(spark, path)
-    return out.select(*[F.round(c, MEAN_SCALE).alias(c) for c in out.columns])
+    return streaming.read_result_table(spark, path)
 
 
 def stream_means_air(spark, sf_dir):
@@ -167,7 +179,49 @@ def doc_stream_roundtrip(spark, sf_dir):
     return sensors.flatten(sensors.parse_document(read_documents(spark, path)))
 
 
+def arriving(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, str]:
+    """(a stream session, folder): the events as four files that arrive one after another, dealt by the event's
+    number, so that every file spans all times."""
+    path = fresh_path(spark, "arriving")
+    ev = read_table(spark, sf_dir, "events")
+    for k in range(ARRIVALS):
+        ev.where(F.pmod("event_id", F.lit(ARRIVALS)) == k).coalesce(1).write.mode("append").parquet(path)
+    return streaming.stream_session(spark), path
+
+
+def _arriving_events(ss: SparkSession, path: str) -> DataFrame:
+    return ss.readStream.schema(TABLE_SCHEMAS["events"]).option("maxFilesPerTrigger", "1").parquet(path)
+
+
+def late_rows(spark, sf_dir):
+    """Each reading of a topic in order of arrival: on time, late (an hour or more behind the latest before its file), or
+    without a readable time. The three parts add up to the input."""
+    ss, path = arriving(spark, sf_dir)
+    rows = sensors.parse_envelope(sensor_messages(_arriving_events(ss, path), "WATER"), sensors.SCHEMAS["WATER"], fields=["Time"], keep=["offset"])
+    out = path + "-split"
+    streaming.run_all([late.start_late_split(rows, sensors.read_time(), DELAY, out, out + "-checkpoint")])
+    return late.read_split(spark, out, rows.schema).select(F.col("offset").alias("event_id"), "kind")
+
+
+def stream_reconciled(spark, sf_dir):
+    """A stream with a watermark over readings that arrive out of order drops many; reconciling its stored documents
+    with the stored readings, twice, gives each missing document once."""
+    ss, path = arriving(spark, sf_dir)
+    ev = _arriving_events(ss, path)
+    aligned_ = sensors.align_streams([(ALIASES[t], parsed(ss, sf_dir, t, events=ev)) for t in TOPICS], on=["Time"], watermark=DELAY)
+    out = path + "-documents"
+    streaming.run_available_now(sensors.build_document(aligned_), "json", out, out + "-checkpoint", skip_final_cleanup=True)
+    # A streaming sink's folder lists its own files only: what is added goes to a folder beside it.
+    added = out + "-added"
+    spark.createDataFrame([], "value string").write.json(added)
+    readings = [(ALIASES[t], parsed(spark, sf_dir, t)) for t in TOPICS]
+    for _ in range(2):
+        stored = read_documents(spark, out).unionByName(read_documents(spark, added))
+        write_documents(sensors.reconcile(readings, stored), added, mode="append")
+    return sensors.flatten(sensors.parse_document(read_documents(spark, out).unionByName(read_documents(spark, added))))
+
+
 QUERIES = {f.__name__: f for f in (
-    parse_air, parse_earth, parse_water, align3, doc_roundtrip, range_flags, range_duration,
+    late_rows, stream_reconciled, parse_air, parse_earth, parse_water, align3, doc_roundtrip, range_flags, range_duration,
     range_minmax, range_report, report_roundtrip, range_duration_events, range_stats_lineitem,
     stream_means_air, stream_means_earth, stream_means_water, align3_stream, doc_stream_roundtrip)}

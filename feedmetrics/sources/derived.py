@@ -111,14 +111,14 @@ def sensor_rows(events: DataFrame, topic: str) -> DataFrame:
     return events.select(F.col("event_id"), F.col("ts"), *head, *body)
 
 
-def sensor_messages(events: DataFrame, topic: str) -> DataFrame:
+def sensor_messages(events: DataFrame, topic: str, truncated: bool = True) -> DataFrame:
     """Stored topic messages in the Kafka column layout (value as text).
 
-    Every 97th event is published as a truncated payload, i.e. malformed JSON."""
+    Every 97th event is published as a truncated payload, i.e. malformed JSON, unless ``truncated`` is off."""
     rows = sensor_rows(events, topic)
     fields = [c for c in rows.columns if c not in ("event_id", "ts")]
     payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in fields]))
-    value = F.when(F.col("event_id") % 97 == 0, F.substring(payload, 1, 20)).otherwise(payload)
+    value = F.when(F.col("event_id") % 97 == 0, F.substring(payload, 1, 20)).otherwise(payload) if truncated else payload
     return rows.select(
         F.col("event_id").cast("string").alias("key"),
         value.alias("value"),

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Column layout of the Kafka source (value and key are binary there; stored messages may
-# carry them as text, which ``message_text`` accepts too).
+# carry them as text).
 KAFKA_SCHEMA = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
 
 
@@ -24,6 +24,8 @@ class TopicSpec:
     starting_offsets: str = "earliest"
     fail_on_data_loss: bool = False
     max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
+    max_records_per_partition: int | None = None
 
     def options(self) -> dict[str, str]:
         """Kafka reader options (``subscribe`` xor ``assign``)."""
@@ -41,6 +43,11 @@ class TopicSpec:
             opts["assign"] = "{" + parts + "}"
         if self.max_offsets_per_trigger is not None:
             opts["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
+        # More tasks than topic partitions: the reader splits offset ranges.
+        if self.min_partitions is not None:
+            opts["minPartitions"] = str(self.min_partitions)
+        if self.max_records_per_partition is not None:
+            opts["maxRecordsPerPartition"] = str(self.max_records_per_partition)
         return opts
 
     def restrict(self, messages: DataFrame) -> DataFrame:
@@ -68,6 +75,16 @@ def read_topic(spark: SparkSession, spec: TopicSpec, stream: bool = True,
     return reader.format("kafka").options(**spec.options()).load()
 
 
-def message_text(col: str = "value"):
-    """Payload as text, whether stored as binary (Kafka) or as string."""
-    return F.col(col).cast("string")
+def offset_gaps(messages: DataFrame, chunk: int = 1_000_000) -> DataFrame:
+    """Runs of offsets that are missing between the messages of a topic's partition: ``topic, partition, first_missing,
+    last_missing, missing``. With ``fail_on_data_loss`` off a reader goes on past lost offsets; this shows them.
+
+    Offsets are taken in chunks of ``chunk``, so a partition with most messages is many tasks: gaps within a chunk come from its
+    own neighbours, those across chunks from the first and last offset of each (a row per chunk)."""
+    place = ["topic", "partition"]
+    rows = messages.select(*place, "offset", F.floor(F.col("offset") / F.lit(chunk)).alias("chunk"))
+    inside = rows.withColumn("before", F.lag("offset").over(Window.partitionBy(*place, "chunk").orderBy("offset")))
+    ends = rows.groupBy(*place, "chunk").agg(F.min("offset").alias("offset"), F.max("offset").alias("last"))
+    across = ends.withColumn("before", F.lag("last").over(Window.partitionBy(*place).orderBy("chunk")))
+    both = inside.select(*place, "offset", "before").unionByName(across.select(*place, "offset", "before")).where("offset - before > 1")
+    return both.select(*place, (F.col("before") + 1).alias("first_missing"), (F.col("offset") - 1).alias("last_missing"), (F.col("offset") - F.col("before") - 1).alias("missing"))

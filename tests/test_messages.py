@@ -1,5 +1,6 @@
 """Feed messages: JSON payloads, row positions, topic specs, routing."""
 
+import datetime
 import json
 import random
 
@@ -90,3 +91,42 @@ def test_file_positions_follow_files_and_places(spark, scratch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert got == list(enumerate(expect))
     assert "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_reject_reasons(spark):
+    cases = {'{"a": 1}': None, ' {"a": {"b": [1, 2]}} ': None, None: "missing", "": "blank", " \n": "blank", "[1]": "not an object", "12": "not an object", '"x"': "not an object",
+             '{"a": 1} x': "trailing text", '{"a": 1}{"b": 2}': "trailing text", '{"a": 1},{"b": 2}': "trailing text", '{"a": 1': "cut off", '{"a": "x': "cut off", "{'a': 1}": "malformed", '{"a": }': "malformed",
+             '{"a":1}]': "trailing text", '{"a":1},{"mark":"1"}]': "trailing text", '{"a":"': "cut off"}
+    df = spark.createDataFrame([(v,) for v in cases], "value string")
+    got = {r["value"]: r["reason"] for r in messages.reject_reason(df).collect()}
+    assert got == cases
+    assert {r["value"]: r["malformed"] for r in messages.malformed_flag(df).collect()} == {v: w is not None for v, w in cases.items()}
+
+
+def test_malformed_parses_each_payload_once(spark, capsys):
+    messages.malformed_flag(spark.createDataFrame([("{}",)], "value string")).select("malformed").explain(extended=False)
+    assert capsys.readouterr().out.count("from_json") == 1
+
+
+def test_replay_stores_a_correction_once(spark):
+    layout = "topic string, partition int, offset long, value string, timestamp timestamp"
+    at = datetime.datetime(2024, 1, 1)
+    later = at + datetime.timedelta(hours=1)
+    rejected = spark.createDataFrame([("t", 0, 1, "{", at), ("t", 0, 2, "{", at), ("t", 1, 1, "", at)], layout)
+    stored = spark.createDataFrame([("t", 0, 0, "{}", at)], layout)
+    corrected = spark.createDataFrame([("t", 0, 1, '{"v": 1}', at), ("t", 0, 1, '{"v": 2}', later), ("t", 0, 2, "{", at), ("t", 0, 0, '{"v": 9}', at), ("t", 5, 5, "{}", at)], layout)
+    first = messages.replay(corrected, stored, rejected)
+    assert [(r["partition"], r["offset"], r["value"]) for r in first.collect()] == [(0, 1, '{"v": 2}')] and first.columns == corrected.columns
+    assert messages.replay(corrected, stored.unionByName(first), rejected).count() == 0
+
+
+def test_file_positions_over_several_splits(spark, scratch):
+    spark.range(500).select(F.col("id")).coalesce(1).write.parquet(f"{scratch}/a")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        rows = messages.with_file_positions(spark.read.schema("id long").parquet(f"{scratch}/a"))
+        assert all(r["id"] == r["position"] for r in rows.collect()) and rows.count() == 500
+        assert "SortExec" not in rows._jdf.queryExecution().executedPlan().toString() and "RangePartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
