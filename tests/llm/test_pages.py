@@ -47,6 +47,41 @@ def test_repeated_branches_go_and_changing_ones_stay(spark):
     assert sst.extract(pages.limit(0)).count() == 0
 
 
+def test_the_tree_alone_removes_what_partly_changes(spark):
+    """Neutral elements without a telling tag or name: menus with a word that changes, notices and adverts dealt from a few."""
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
+
+    def page(i):
+        menu = " ".join(f"<span><a href='/s{k}'>{w}</a></span>" for k, w in enumerate(words[:8]))
+        story = " ".join(f"w{(i * 31 + k * k * 7) % 997}" for k in range(40))
+        return (f"<body><div class=xa><div>{menu} <span>here{i}</span></div></div><div class=xb>Our site keeps small files on your device, please agree {i % 2}</div>"
+                f"<div class=xc><div><span>{story}</span></div></div><div class=xd><img src='/b{i % 3}.png'>Buy now, cheap offers {i % 3}</div></body>")
+
+    pages = spark.createDataFrame([(i, f"http://a.example/{i}", page(i)) for i in range(40)], "page_id long, url string, html string")
+    for r in sst.extract(pages).collect():
+        assert r["text"] == " ".join(f"w{(r['page_id'] * 31 + k * k * 7) % 997}" for k in range(40)) and r["n_removed"] >= 3
+    few = sst.extract(pages.limit(5)).collect()
+    assert all(r["n_removed"] == 0 and "Buy now" in r["text"] for r in few)  # too few pages to tell
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ('<article class="post no-sidebar"><p>a</p></article>', "a"), ('<article class="comments-open"><p>a</p></article>', "a"),
+    ('<article><p id="notice-period">n</p><p>a</p></article>', "n\na"), ('<article><p class="ad">n</p><p>a</p></article>', "a"),
+    ('<article><p>a</p><div class="comment-list"><p>c</p></div></article>', "a"), ('<main class="has-sidebar"><p>a</p></main>', "a"),
+])
+def test_names_do_not_take_the_article(page, text):
+    assert text_of(page) == text
+
+
+def test_what_the_tree_removes_on_the_given_pages(spark):
+    """Nothing: menu, advert and footer of each given page have words of their own, which no count over pages tells from
+    content (their names and tags do). All nodes are judged and none is below the threshold."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")  # the smaller tables have too few pages a host
+    low = sst.tree(pages).agg({"importance": "min", "path": "count"}).first()
+    assert low["count(path)"] > 100 and low["min(importance)"] > 0.3
+    assert sst.extract(pages).where("n_removed > 0").count() == 0
+
+
 def test_importance_is_the_entropy(spark):
     pages = spark.createDataFrame([(i, "http://h.example/", f"<div class=c>{'ab'[i % 2]}</div>") for i in range(16)], "page_id long, url string, html string")
     (node,) = sst.tree(pages, weight=1.0).collect()
