@@ -19,8 +19,13 @@ A hit is then verified on the text: of the item's question and of its answer, ea
 An item without separate columns is split: its last line is the answer, or its last sentence
 if it has one line, or its last third if it has one sentence.
 
+An item of fewer than ``MIN_TERMS`` terms is not looked for, since clean text holds such short runs; ``short_items``
+reports these items.
+
 The index is broadcast in blocks of items of bounded bytes; a larger benchmark takes several
-passes over the documents, with document frequencies over all items.
+passes over the documents, each of which is stored before the next block is indexed, with document frequencies over all items.
+
+Ties: a hit's score is the best of its windows. Null document or item ids stay null in the hits.
 
 Defined cases: terms are runs of letters and digits, lower-cased; items and documents without
 a term (null, empty) match nothing; an item's shingles are its whole part where that is shorter
@@ -46,6 +51,8 @@ SEGMENT, WINDOW, BLOCK, SHINGLE = 64, 128, 8, 5
 K1, B = 1.2, 0.75
 #: Share of a segment's score that its optional postings hold at most.
 REST = 0.3
+#: Terms that an item needs: shorter ones would be found in clean text (``short_items`` tells them).
+MIN_TERMS = 8
 #: Item text that one pass indexes.
 PASS_BYTES = 16 << 20
 
@@ -213,8 +220,8 @@ def find(index: Index, texts: pa.Array, threshold: float, overlap: float) -> lis
     return found
 
 
-def indexes(items: DataFrame, id_col: str, text_col: str, question_col: str | None, answer_col: str | None) -> Iterator[Index]:
-    """The index of each block of items (one block of up to ``PASS_BYTES`` of text at a time)."""
+def item_terms(items: DataFrame, id_col: str, text_col: str, question_col: str | None, answer_col: str | None) -> DataFrame:
+    """(id, q, a): the terms of each item's question and answer."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -227,7 +234,18 @@ def indexes(items: DataFrame, id_col: str, text_col: str, question_col: str | No
     null = F.lit(None).cast("string")
     rows = items.select(F.col(id_col).cast("long").alias("id"), (F.col(question_col) if question_col else null).alias("question"),
                         (F.col(answer_col) if question_col else null).alias("answer"), (null if question_col else F.col(text_col)).alias("text"))
-    rows = saved(rows.mapInArrow(split, "id long, q array<string>, a array<string>").where(F.size("q") + F.size("a") > 0), "test-items")
+    return rows.mapInArrow(split, "id long, q array<string>, a array<string>")
+
+
+def short_items(items: DataFrame, *, item_id: str = "item_id", item_text: str = "text", question_col: str | None = None, answer_col: str | None = None) -> DataFrame:
+    """item_id, n_terms of the items that are too short to be looked for."""
+    size = F.size("q") + F.size("a")
+    return item_terms(items, item_id, item_text, question_col, answer_col).where(size < MIN_TERMS).select(F.col("id").alias("item_id"), size.cast("long").alias("n_terms"))
+
+
+def indexes(items: DataFrame, id_col: str, text_col: str, question_col: str | None, answer_col: str | None) -> Iterator[Index]:
+    """The index of each block of items (one block of up to ``PASS_BYTES`` of text at a time)."""
+    rows = saved(item_terms(items, id_col, text_col, question_col, answer_col).where(F.size("q") + F.size("a") >= MIN_TERMS), "test-items")
     size = F.size("q") + F.size("a")
     stats = rows.agg(F.sum(F.ceil(size / SEGMENT)).alias("segments"), F.sum(size).alias("terms"),
                      F.sum(F.length(F.array_join("q", " ")) + F.length(F.array_join("a", " "))).alias("bytes")).first()
@@ -264,9 +282,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, threshold: float = 0.6, ove
 
         return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
-    out = None
+    out = last = None
     for index in indexes(items, item_id, item_text, question_col, answer_col):
-        out = scan(index) if out is None else out.unionByName(scan(index))
+        if last is not None:  # stored, so that one index is held at a time
+            out = saved(last, "leaks") if out is None else out.unionByName(saved(last, "leaks"))
+        last = scan(index)
+    if last is not None:
+        out = last if out is None else out.unionByName(last)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 

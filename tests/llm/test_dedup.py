@@ -89,6 +89,13 @@ def test_index_in_blocks_gives_the_same(spark, sf_dir, monkeypatch):
     assert verbatim <= {x[:2] for x in one}
 
 
+def test_short_items_are_reported_not_found(spark):
+    items = spark.createDataFrame([(1, "Paris"), (2, "Yes.\nNo"), (3, "the quick brown fox jumps over the lazy dog\nand runs away"), (4, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "we went to Paris in spring"), (2, "they say yes and no"), (3, "look: the quick brown fox jumps over the lazy dog and runs away home")], "doc_id long, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, items).collect()] == [(3, 3)]
+    assert sorted(map(tuple, decontaminate.short_items(items).collect())) == [(1, 1), (2, 2), (4, 0)]
+
+
 # -- line dedup --------------------------------------------------------------------------------
 
 def brute_lines(docs, least):
