@@ -5,7 +5,7 @@ nodes of a level have their hash as parent, the last run being shorter, until on
 leaves lie at the same depth, and the node ``index`` of ``level`` covers the leaves from
 ``index * ARITY ** level`` on.
 
-Aligned builders make the nodes: a builder holds an aligned subtree of ``SPAN`` leaves, appends
+Aligned builders make the nodes: a builder holds an aligned subtree of ``ARITY ** LEVELS`` leaves, appends
 each node to its log at the moment it is complete (postorder) and reports its root, which is a leaf
 for the builders of the tier above. Where a node stands in a log needs no index: its position follows
 from the sizes of the subtrees before it (``position``). A proof is extracted by computing the
@@ -14,8 +14,8 @@ the levels above it once per builder, not once per leaf. ``append_log`` gives th
 tree's log, in global postorder, and ``prove`` extracts single proofs from it by an equi-join on positions.
 
 Scale: leaves are numbered by a range shuffle on (tree, key, leaf) and counts of each range, so a
-source with a third of the rows is spread; a builder's row has at most ``SPAN`` leaves; a tier has a
-``SPAN``-th of the rows of the one below. The trees' roots go through the same code as one more tree.
+source with a third of the rows is spread; a builder's row has at most that many leaves; a tier has a
+few hundredths of the rows of the one below. The trees' roots go through the same code as one more tree.
 
 Defined cases: a null field is hashed as ``-``; a null id sorts first and is not tampered with; rows that
 repeat an id are ordered by their leaf hash, equal rows are leaves of their own; empty and very
@@ -35,9 +35,8 @@ from pyspark.sql import functions as F
 from feedmetrics.llm.common import column, saved
 
 ARITY = 3
-#: Levels of one builder's subtree, and its leaves.
+#: Levels of one builder's subtree; it has ``ARITY ** LEVELS`` leaves.
 LEVELS = 5
-SPAN = ARITY ** LEVELS
 #: Range pieces of trees beyond which their offsets are joined by a shuffle, not broadcast.
 MAX_BROADCAST_ROWS = 500_000
 #: Hex characters of a digest.
@@ -167,68 +166,71 @@ def cut(raw: bytes) -> list[bytes]:
 BLOCK = "tree string, n long, b long, leaves string"
 
 
-def build(blocks: DataFrame) -> DataFrame:
+def build(blocks: DataFrame, levels: int) -> DataFrame:
     """Rows (tree, n, b, leaves) with the log of each aligned subtree (hex digests joined)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            logs = [b"".join(postorder(cut(own.encode()), min(LEVELS, depth(n)))).decode()
+            logs = [b"".join(postorder(cut(own.encode()), min(levels, depth(n)))).decode()
                     for n, own in zip(column(b, "n").to_pylist(), column(b, "leaves").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(logs, pa.string())], [*b.schema.names, "log"])
 
     return blocks.select("tree", "n", "b", "leaves").mapInArrow(run, BLOCK + ", log string")
 
 
-def joined_leaves(rows: DataFrame, i: str, leaf: str) -> DataFrame:
-    """Rows (tree, n, i, leaf) gathered by builder: at most ``SPAN`` of them each."""
+def joined_leaves(rows: DataFrame, i: str, leaf: str, span: int) -> DataFrame:
+    """Rows (tree, n, i, leaf) gathered by builder: at most ``span`` of them each."""
     own = F.array_sort(F.collect_list(F.struct(F.col(i).alias("i"), F.col(leaf).alias("leaf"))))
-    return rows.groupBy("tree", "n", F.floor(F.col(i) / SPAN).alias("b")).agg(F.array_join(F.transform(own, lambda x: x["leaf"]), "").alias("leaves"))
+    return rows.groupBy("tree", "n", F.floor(F.col(i) / span).alias("b")).agg(F.array_join(F.transform(own, lambda x: x["leaf"]), "").alias("leaves"))
 
 
-def tiers(rows: DataFrame) -> list[DataFrame]:
+def tiers(rows: DataFrame, levels: int) -> list[DataFrame]:
     """The builders of each tier, the lowest first: (tree, n, b, leaves, log); saved. ``n`` counts the tier's leaves."""
-    out = [saved(build(joined_leaves(rows, "i", "leaf")), "merkle-tier")]
+    span = ARITY ** levels
+    out = [saved(build(joined_leaves(rows, "i", "leaf", span), levels), "merkle-tier")]
     while True:
-        open_ = out[-1].where(F.col("n") > SPAN)
+        open_ = out[-1].where(F.col("n") > span)
         if open_.isEmpty():
             return out
-        roots = open_.select("tree", F.ceil(F.col("n") / SPAN).alias("n"), "b", F.right("log", F.lit(WIDTH)).alias("leaf"))
-        out.append(saved(build(joined_leaves(roots, "b", "leaf")), "merkle-tier"))
+        tops = open_.select("tree", F.ceil(F.col("n") / span).alias("n"), "b", F.right("log", F.lit(WIDTH)).alias("leaf"))
+        out.append(saved(build(joined_leaves(tops, "b", "leaf", span), levels), "merkle-tier"))
 
 
-def roots(levels: list[DataFrame]) -> DataFrame:
+def roots(built: list[DataFrame], levels: int) -> DataFrame:
     """(tree, subroot): the last node appended to the log of each tree's uppermost builder."""
-    tops = [t.where(F.col("n") <= SPAN).select("tree", F.right("log", F.lit(WIDTH)).alias("subroot")) for t in levels]
+    tops = [t.where(F.col("n") <= ARITY ** levels).select("tree", F.right("log", F.lit(WIDTH)).alias("subroot")) for t in built]
     out = tops[0]
     for t in tops[1:]:
         out = out.unionByName(t)
     return out
 
 
-def paths(levels: list[DataFrame], above: DataFrame) -> DataFrame:
+def paths(built: list[DataFrame], above: DataFrame, levels: int) -> DataFrame:
     """(tree, b, above, subroot, root) of every lowest builder: the proof path from its root on,
     handed down tier by tier. ``above``: (tree, above, subroot, root) of whole trees."""
     carried = None
-    for t in reversed(levels[1:]):
-        carried = saved(hand_down(t, with_above(t, carried, above), SPAN), "merkle-paths")
-    return with_above(levels[0], carried, above)
+    for t in reversed(built[1:]):
+        carried = saved(hand_down(with_above(t, carried, above, levels), levels), "merkle-paths")
+    return with_above(built[0], carried, above, levels)
 
 
-def with_above(tier: DataFrame, carried: DataFrame | None, above: DataFrame) -> DataFrame:
-    own = tier.where(F.col("n") <= SPAN).join(above, "tree")
+def with_above(tier: DataFrame, carried: DataFrame | None, above: DataFrame, levels: int) -> DataFrame:
+    span = ARITY ** levels
+    own = tier.where(F.col("n") <= span).join(above, "tree")
     if carried is None:
         return own
-    return own.unionByName(tier.where(F.col("n") > SPAN).join(carried, ["tree", "b"]), allowMissingColumns=True)
+    return own.unionByName(tier.where(F.col("n") > span).join(carried, ["tree", "b"]), allowMissingColumns=True)
 
 
-def hand_down(tier: DataFrame, rows: DataFrame, span: int) -> DataFrame:
+def hand_down(rows: DataFrame, levels: int) -> DataFrame:
     """(tree, b, above, ...) of the children of each builder."""
+    span = ARITY ** levels
+    names = pa.schema([("tree", pa.string()), ("b", pa.int64()), ("above", pa.binary()), ("subroot", pa.string()), ("root", pa.string())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in one_by_one(batch):
-                count, log = len(r["leaves"]) // WIDTH, cut(r["log"].encode())
-                found = siblings(log, count, min(LEVELS, depth(r["n"])))
-                yield pa.RecordBatch.from_pylist([{"tree": r["tree"], "b": r["b"] * span + i, "above": packed(p) + r["above"], "subroot": r["subroot"], "root": r["root"]} for i, p in enumerate(found)],
-                                                 pa.schema([("tree", pa.string()), ("b", pa.int64()), ("above", pa.binary()), ("subroot", pa.string()), ("root", pa.string())]))
+                found = siblings(cut(r["log"].encode()), len(r["leaves"]) // WIDTH, min(levels, depth(r["n"])))
+                yield pa.RecordBatch.from_pylist([{"tree": r["tree"], "b": r["b"] * span + i, "above": packed(p) + r["above"], "subroot": r["subroot"], "root": r["root"]} for i, p in enumerate(found)], names)
 
     return rows.select("tree", "n", "b", "leaves", "log", "above", "subroot", "root").mapInArrow(run, "tree string, b long, above binary, subroot string, root string")
 
@@ -236,24 +238,25 @@ def hand_down(tier: DataFrame, rows: DataFrame, span: int) -> DataFrame:
 class Manifest:
     """The trees of a dataset: one per source, and the tree of their roots."""
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, levels: int = LEVELS):
+        self.levels = levels
         rows = leaves(docs).withColumn("tree", tree_name(F.col("source"))).drop("source")
         self.rows = saved(numbered(rows, ["doc_id", "leaf"]), "merkle-leaves")
-        self.sources = tiers(self.rows)
-        subroots = roots(self.sources).select(F.lit("").alias("tree"), F.col("tree").alias("name"), F.col("subroot").alias("leaf"))
+        self.sources = tiers(self.rows, levels)
+        subroots = roots(self.sources, levels).select(F.lit("").alias("tree"), F.col("tree").alias("name"), F.col("subroot").alias("leaf"))
         self.names = saved(numbered(subroots, ["name"]), "merkle-sources")
-        self.top = tiers(self.names)
+        self.top = tiers(self.names, levels)
 
     def root(self) -> DataFrame:
-        return roots(self.top).select(F.col("subroot").alias("root"))
+        return roots(self.top, self.levels).select(F.col("subroot").alias("root"))
 
     def builders(self) -> DataFrame:
         """Each lowest builder with the path from its root to the dataset's root."""
         start = self.root().select(F.lit("").alias("tree"), F.lit(b"").cast("binary").alias("above"), F.lit("").alias("subroot"), "root")
-        own = paths(self.top, start)
-        down = hand_down(self.top[0], own, SPAN).select(F.col("b").alias("i"), "above", "root")
+        own = paths(self.top, start, self.levels)
+        down = hand_down(own, self.levels).select(F.col("b").alias("i"), "above", "root")
         above = saved(self.names.join(down, "i").select(F.col("name").alias("tree"), "above", F.col("leaf").alias("subroot"), "root"), "merkle-above")
-        return paths(self.sources, above)
+        return paths(self.sources, above, self.levels)
 
 
 def tree_name(source: Column) -> Column:
@@ -264,26 +267,26 @@ def tree_name(source: Column) -> Column:
 PROOF = "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
 
 
-def verify(docs: DataFrame) -> DataFrame:
+def verify(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
     """Per row: doc_id, leaf, subroot, root, proof_sha256 (of its siblings up to the root), folded_root
     (from the tampered leaf, where the row is tampered with) and verified."""
-    manifest = Manifest(docs)
+    manifest = Manifest(docs, levels)
     own = F.array_sort(F.collect_list(F.struct("i", "doc_id", "changed")))
-    docs_of = manifest.rows.groupBy("tree", F.floor(F.col("i") / SPAN).alias("b")).agg(own.alias("docs"))
+    docs_of = manifest.rows.groupBy("tree", F.floor(F.col("i") / ARITY ** levels).alias("b")).agg(own.alias("docs"))
     rows = docs_of.join(manifest.builders(), ["tree", "b"]).select("docs.doc_id", "docs.changed", "n", "leaves", "log", "above", "subroot", "root")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in one_by_one(batch):
-                yield pa.RecordBatch.from_pylist(list(proofs(r)), pa.schema([(c, pa.int64() if c == "doc_id" else pa.bool_() if c == "verified" else pa.string()) for c in (x.split()[0] for x in PROOF.split(", "))]))
+                yield pa.RecordBatch.from_pylist(list(proofs(r, levels)), pa.schema([(c, pa.int64() if c == "doc_id" else pa.bool_() if c == "verified" else pa.string()) for c in (x.split()[0] for x in PROOF.split(", "))]))
 
     return rows.mapInArrow(run, PROOF)
 
 
-def proofs(r: dict) -> Iterator[dict]:
+def proofs(r: dict, levels: int) -> Iterator[dict]:
     """The proofs of one builder's leaves. The path above the builder is folded once per node that reaches it."""
     own, above = cut(r["leaves"].encode()), unpacked(r["above"])
-    found = siblings(cut(r["log"].encode()), len(own), min(LEVELS, depth(r["n"])))
+    found = siblings(cut(r["log"].encode()), len(own), min(levels, depth(r["n"])))
     tail = b"".join(x for _, others in above for x in others)
     reached: dict[bytes, bytes] = {}
     for leaf, doc_id, changed, path in zip(own, r["doc_id"], r["changed"], found, strict=True):
@@ -297,30 +300,30 @@ def proofs(r: dict) -> Iterator[dict]:
 
 # ---------------------------------------------------------------- the whole log, and single proofs from it
 
-def append_log(levels: list[DataFrame], counts: DataFrame) -> DataFrame:
+def append_log(built: list[DataFrame], counts: DataFrame, levels: int = LEVELS) -> DataFrame:
     """(tree, start, digests): the nodes of each tree in global postorder, as runs that one builder
     completes together. ``counts``: (tree, total) with the leaves of each tree."""
     out = None
-    for k, tier in enumerate(levels):
+    for k, tier in enumerate(built):
         def run(batches: Iterator[pa.RecordBatch], k: int = k) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for r in one_by_one(batch):
-                    yield pa.RecordBatch.from_pylist(list(runs(r, k)), pa.schema([("tree", pa.string()), ("start", pa.int64()), ("digests", pa.string())]))
+                    yield pa.RecordBatch.from_pylist(list(runs(r, k, levels)), pa.schema([("tree", pa.string()), ("start", pa.int64()), ("digests", pa.string())]))
 
         rows = tier.join(counts, "tree").select("tree", "n", "b", "leaves", "log", "total").mapInArrow(run, "tree string, start long, digests string")
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
-def runs(r: dict, tier: int) -> Iterator[dict]:
+def runs(r: dict, tier: int, levels: int) -> Iterator[dict]:
     """A builder's log as runs at global positions. Its leaves are left out where they are roots of the tier below."""
     log, count, total = cut(r["log"].encode()), len(r["leaves"]) // WIDTH, r["total"]
-    height, whole = min(LEVELS, depth(r["n"])), depth(total)
+    height, whole = min(levels, depth(r["n"])), depth(total)
     where = {}
     for level in range(0 if tier == 0 else 1, height + 1):
         index = np.arange(-(-count // ARITY ** level))
         own = position(level, index, count, height).tolist()
-        every = position(tier * LEVELS + level, index + r["b"] * ARITY ** (LEVELS - level), total, whole).tolist()
+        every = position(tier * levels + level, index + r["b"] * ARITY ** (levels - level), total, whole).tolist()
         where.update(zip(every, own, strict=True))
     start, nodes = None, []
     for p in sorted(where):
@@ -334,19 +337,19 @@ def runs(r: dict, tier: int) -> Iterator[dict]:
         yield {"tree": r["tree"], "start": start, "digests": b"".join(nodes).decode()}
 
 
-def run_start(level: int, index: int, n: int) -> int:
+def run_start(level: int, index: int, n: int, levels: int) -> int:
     """Start of the log run that holds a node: its builder's first leaf, or the first node that was
     completed with it in its builder."""
     height = depth(n)
-    tier = max(0, level - 1) // LEVELS
+    tier, span = max(0, level - 1) // levels, ARITY ** levels
     if tier == 0:
-        return int(position(0, index * ARITY ** level // SPAN * SPAN, n, height))
+        return int(position(0, index * ARITY ** level // span * span, n, height))
     last = min((index + 1) * ARITY ** level, n)
-    low = tier * LEVELS + 1
+    low = tier * levels + 1
     return int(position(low, -(-last // ARITY ** low) - 1, n, height))
 
 
-def prove(log: DataFrame, wanted: DataFrame) -> DataFrame:
+def prove(log: DataFrame, wanted: DataFrame, levels: int = LEVELS) -> DataFrame:
     """(tree, i, level, place, sibling) for each (tree, i, total) of ``wanted``: the proof of leaf i, read
     from the append log by an equi-join on the starts of its runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,7 +361,7 @@ def prove(log: DataFrame, wanted: DataFrame) -> DataFrame:
                     own = r["i"] // ARITY ** level
                     for j in range(own - own % ARITY, min(own - own % ARITY + ARITY, -(-n // ARITY ** level))):
                         if j != own:
-                            start = run_start(level, j, n)
+                            start = run_start(level, j, n, levels)
                             rows.append({"tree": r["tree"], "i": r["i"], "level": level, "place": j % ARITY, "start": start, "skip": int(position(level, j, n, height)) - start})
             yield pa.RecordBatch.from_pylist(rows, pa.schema([("tree", pa.string()), *((c, pa.int64()) for c in ("i", "level", "place", "start", "skip"))]))
 

@@ -60,17 +60,15 @@ def expected(rows):
     return sorted(out, key=repr)
 
 
-def got(docs):
-    return sorted(map(tuple, merkle.verify(docs).collect()), key=repr)
+def got(docs, levels=merkle.LEVELS):
+    return sorted(map(tuple, merkle.verify(docs, levels).collect()), key=repr)
 
 
 @pytest.mark.parametrize("span", [1, 5])
-def test_against_recursion(spark, sf_dir, span, monkeypatch):
+def test_against_recursion(spark, sf_dir, span):
     """With builders of three leaves the trees have several tiers."""
-    monkeypatch.setattr(merkle, "LEVELS", span)
-    monkeypatch.setattr(merkle, "SPAN", 3 ** span)
     docs = table(spark, sf_dir, "documents").withColumn("source", F.when(F.col("doc_id") % 3 > 0, "hot").otherwise(F.col("source")))
-    assert got(docs) == expected(docs.collect())
+    assert got(docs, span) == expected(docs.collect())
 
 
 def test_odd_rows(spark):
@@ -103,13 +101,11 @@ def test_positions_are_the_postorder(n):
     assert len(log) == len(node) and all(log[int(merkle.position(level, i, n, height))] == x for (level, i), x in node.items())
 
 
-def test_append_log_and_proofs_from_it(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr(merkle, "LEVELS", 2)
-    monkeypatch.setattr(merkle, "SPAN", 9)
+def test_append_log_and_proofs_from_it(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("source", F.when(F.col("doc_id") % 2 == 0, "hot").otherwise(F.col("source")))
-    manifest = merkle.Manifest(docs)
+    manifest = merkle.Manifest(docs, 2)
     counts = manifest.rows.select("tree", F.col("n").alias("total")).distinct()
-    log = merkle.append_log(manifest.sources, counts).collect()
+    log = merkle.append_log(manifest.sources, counts, 2).collect()
     for name, total in [tuple(r) for r in counts.collect()]:
         runs = sorted((r["start"], r["digests"]) for r in log if r["tree"] == name)
         at = 0
@@ -121,7 +117,7 @@ def test_append_log_and_proofs_from_it(spark, sf_dir, monkeypatch):
     rows = manifest.rows.where("tree = 'shot'").select("tree", "i", F.col("n").alias("total"))
     leaves = [r["leaf"] for r in manifest.rows.where("tree = 'shot'").orderBy("i").collect()]
     steps = {}
-    for r in merkle.prove(spark.createDataFrame(log), rows).collect():
+    for r in merkle.prove(spark.createDataFrame(log), rows, 2).collect():
         steps.setdefault(r["i"], []).append((r["level"], r["place"], r["sibling"]))
     tree = levels(leaves)
     for i in range(len(leaves)):
