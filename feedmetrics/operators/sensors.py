@@ -178,6 +178,32 @@ def build_document(aligned: DataFrame, parts=DOCUMENT_PARTS, key: str = "Time")
     return aligned.select(F.to_json(F.struct(F.col(key), *nested)).alias("value"))
 
 
+def payload_fields(df: DataFrame, by: str = "topic", col: str = "value") -> DataFrame:
+    """(by, field, kind, records): the top-level fields that the payloads really have, and the kind of their values
+    (``number``, ``text``, ``boolean``, ``object``, ``array``, ``null``). Payloads that are no JSON object have none."""
+    spark = df.sparkSession
+    parsed = df.select(F.col(by).alias("by"), F.try_parse_json(F.col(col).cast("string")).alias("v")).alias("m")
+    # Only objects have named fields; the elements of an array have none.
+    fields = parsed.lateralJoin(spark.tvf.variant_explode(F.col("m.v").outer())).where(F.col("key").isNotNull())
+    kind = F.schema_of_variant("value")
+    name = (F.when(kind.rlike("^(DECIMAL|BIGINT|DOUBLE|FLOAT)"), "number").when(kind == "STRING", "text").when(kind == "BOOLEAN", "boolean")
+            .when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").otherwise("null"))
+    return fields.groupBy(F.col("by").alias(by), F.col("key").alias("field"), name.alias("kind")).agg(F.count(F.lit(1)).alias("records"))
+
+
+def payload_drift(df: DataFrame, schemas, by: str = "topic", col: str = "value") -> DataFrame:
+    """How the payloads differ from the declared layouts (``schemas``: a StructType per value of ``by``): rows ``by, field,
+    status, kind, records``. ``unknown``: a field that is not declared; ``changed``: a declared one with values of
+    another kind; ``absent``: a declared one that no payload has. Other fields have no row."""
+    declared = [(t, f.name, "text" if isinstance(f.dataType, StringType) else "number" if f.dataType.typeName() in ("double", "float", "integer", "long", "short", "byte") else
+                 "boolean" if f.dataType.typeName() == "boolean" else "object" if isinstance(f.dataType, StructType) else "array") for t, s in schemas.items() for f in s.fields]
+    known = df.sparkSession.createDataFrame(declared, f"{by} string, field string, declared string")  # a row per declared field
+    both = payload_fields(df, by, col).join(F.broadcast(known), [by, "field"], "full")
+    status = (F.when(F.col("declared").isNull(), "unknown").when(F.col("kind").isNull(), "absent")
+              .when((F.col("kind") != F.col("declared")) & (F.col("kind") != "null"), "changed"))
+    return both.select(by, "field", status.alias("status"), "kind", F.coalesce("records", F.lit(0)).alias("records")).where("status is not null")
+
+
 def parse_document(df: DataFrame, schema: StructType = REPORT_DOCUMENT_SCHEMA, col: str = "value") -> DataFrame:
     """Parse only the fields in ``schema`` (the JSON reader skips the rest)."""
     return df.select(F.from_json(F.col(col), schema).alias("doc"))

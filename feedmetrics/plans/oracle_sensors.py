@@ -131,6 +131,8 @@ SQL = {
     "align3_stream": ALIGNED + "SELECT * FROM aligned",
     "doc_stream_roundtrip": _DOCS,
     "stream_reconciled": _DOCS,
+    "payload_drift": """SELECT 'EARTH' AS topic, 'Battery' AS field, 'unknown' AS status, 'number' AS kind, count(*) AS records FROM events WHERE event_id % 97 <> 0
+           UNION ALL SELECT 'AIR', 'Wind_Direction', 'changed', 'text', count(json_extract_string(props, '$.k')) FROM events WHERE event_id % 97 <> 0""",
     # Arrival: four files by the event's number; a file's limit is the latest time of the files before it, less an hour.
     "late_rows": """WITH a AS (SELECT event_id, event_id % 4 AS file, CASE WHEN event_id % 97 <> 0 THEN ts END AS t FROM events),
            l AS (SELECT b.file, max(a.t) - INTERVAL 1 HOUR AS lim FROM (SELECT DISTINCT file FROM a) b LEFT JOIN a ON a.file < b.file GROUP BY b.file)

@@ -221,7 +221,20 @@ def stream_reconciled(spark, sf_dir):
     return sensors.flatten(sensors.parse_document(read_documents(spark, out).unionByName(read_documents(spark, added))))
 
 
+def payload_drift(spark, sf_dir):
+    """What the sensor payloads have beyond or besides their declared layouts: the feeds also publish a battery level that
+    no layout knows, and the wind's direction as text."""
+    ev = read_table(spark, sf_dir, "events")
+    sent = None
+    for t in TOPICS:
+        m = sensor_messages(ev, t)
+        more = F.concat(F.substring("value", 1, F.length("value") - 1), F.lit(',"Battery":'), (F.col("offset") % 100).cast("string"), F.lit("}"))
+        m = m.select("topic", F.when(F.col("offset") % 97 == 0, F.col("value")).otherwise(more).alias("value")) if t == "EARTH" else m.select("topic", "value")
+        sent = m if sent is None else sent.unionByName(m)
+    return sensors.payload_drift(sent, sensors.SCHEMAS)
+
+
 QUERIES = {f.__name__: f for f in (
-    late_rows, stream_reconciled, parse_air, parse_earth, parse_water, align3, doc_roundtrip, range_flags, range_duration,
+    payload_drift, late_rows, stream_reconciled, parse_air, parse_earth, parse_water, align3, doc_roundtrip, range_flags, range_duration,
     range_minmax, range_report, report_roundtrip, range_duration_events, range_stats_lineitem,
     stream_means_air, stream_means_earth, stream_means_water, align3_stream, doc_stream_roundtrip)}

@@ -22,11 +22,23 @@ def write_report(lines: DataFrame, path: str, mode: str = "errorifexists") -> No
     lines.orderBy("line_no").select("line").coalesce(1).write.mode(mode).text(path)
 
 
-def route_to_csv(df: DataFrame, path: str, by: Sequence[str] = ("topic", "partition"), mode: str = "append") -> None:
+def route_to_csv(df: DataFrame, path: str, by: Sequence[str] = ("topic", "partition"), mode: str = "append",
+                 rows_per_file: int | None = None) -> None:
     """One CSV folder per ``by`` value (``topic=AIR/partition=0/``), header in every file.
 
-    ``mode="overwrite"`` starts clean; ``append`` adds files next to earlier runs."""
-    df.write.mode(mode).partitionBy(*by).option("header", True).csv(path)
+    ``mode="overwrite"`` starts clean; ``append`` adds files next to earlier runs. Every task writes a file into each folder it
+    has rows for; with ``rows_per_file`` the rows are first dealt by folder, and a folder with more rows by a number
+    within it, so that a folder has about one file per ``rows_per_file`` rows and a large one is still many tasks."""
+    if rows_per_file:
+        sizes = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
+        key = F.struct(*[F.col(c) for c in by])
+        sizes = sizes.select(key.alias("_folder"), "_files")
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.monotonically_increasing_id()), F.col("_files"))
+        dealt = df.withColumn("_key", key).join(sizes, F.col("_key").eqNullSafe(F.col("_folder")), "left").drop("_key", "_folder")
+        dealt = dealt.withColumn("_salt", F.coalesce(salt, F.lit(0)))
+        df = dealt.repartition(*by, "_salt").select(df.columns)
+    limit = {"maxRecordsPerFile": str(rows_per_file)} if rows_per_file else {}
+    df.write.mode(mode).partitionBy(*by).options(header=True, **limit).csv(path)
 
 
 def publish(messages: DataFrame, spec: TopicSpec) -> None:

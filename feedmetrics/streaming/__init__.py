@@ -44,13 +44,29 @@ def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_tri
     return r.parquet(path) if status.isDirectory() else r.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
 
-def _overwrite_table(path: str):
-    """Each micro-batch writes a folder of its own, so a reader always has a complete result."""
+def _overwrite_table(path: str, keep: int):
+    """Each micro-batch writes a folder of its own, so a reader always has a complete result. Folders that are
+    ``keep`` or more batches old are removed once a newer one is complete."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id:020d}")
+        expire_results(batch.sparkSession, path, epoch_id - keep)
     return write
 
 
+def expire_results(spark: SparkSession, path: str, last: int) -> list[str]:
+    """Removes the results of a ``table`` sink up to batch ``last``, but never the current one; their names.
+
+    A reader takes the newest complete result when it begins; it has until that one is ``keep`` batches old."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = sorted(f.getPath().getName() for f in fs.listStatus(hadoop) if f.getPath().getName().startswith("epoch="))
+    done = [n for n in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{n}/_SUCCESS"))]
+    old = [n for n in found if done and n < done[-1] and int(n[len("epoch="):]) <= last]
+    for n in old:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{n}"), True)
+    return old
+
+
 def read_result_table(spark: SparkSession, path: str) -> DataFrame:
     """The last complete result of a ``table`` sink (its folder with the largest epoch that has
     the writer's success mark)."""
@@ -63,12 +79,12 @@ def read_result_table(spark: SparkSession, path: str) -> DataFrame:
 
 def start_sink(df: DataFrame, kind: str, path: str | None = None, checkpoint: str | None = None,
                name: str | None = None, trigger: dict | None = None, output_mode: str = "append",
-               partition_by: Sequence[str] = (), options: dict | None = None) -> StreamingQuery:
+               partition_by: Sequence[str] = (), options: dict | None = None, keep_results: int = 10) -> StreamingQuery:
     """Start one streaming query.
 
     kind: ``json``/``parquet``/``csv``/``text`` (file sink, append), ``table`` (the whole
     result written as parquet per micro-batch, each in a folder of its own, see
-    ``read_result_table``: for small complete-mode aggregates),
+    ``read_result_table``: for small complete-mode aggregates; the ``keep_results`` newest stay),
     ``kafka`` (publish ``topic, partition, key, value`` rows; pass
     ``options={"kafka.bootstrap.servers": ...}``; needs the Kafka connector), ``memory``
     (driver memory: small results in tests only), ``console`` (preview).
@@ -88,7 +104,7 @@ def start_sink(df: DataFrame, kind: str, path: str | None = None, checkpoint: st
     for k, v in (options or {}).items():
         w = w.option(k, v)
     if kind == "table":
-        return w.foreachBatch(_overwrite_table(path)).start()
+        return w.foreachBatch(_overwrite_table(path, keep_results)).start()
     if kind in ("json", "parquet", "csv", "text"):
         if partition_by:
             w = w.partitionBy(*partition_by)

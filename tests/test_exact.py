@@ -94,7 +94,7 @@ def test_range_figures_before_the_join_equal_those_after_it(spark):
 
     def side(n, names):
         rows = [(r.choice(["a", "b", "b", "c", "d", None]), *[r.choice([None, r.uniform(0, 100)]) for _ in names]) for _ in range(n)]
-        return spark.createDataFrame(rows, "Time string, " + ", ".join(f"{c} double" for c in names))
+        return spark.createDataFrame(rows, ", ".join(["Time string", *(f"{c} double" for c in names)]))
 
     air, earth, water = side(40, ["Air_Temperature", "Air_Moisture"]), side(30, ["Earth_pH"]), side(20, [])
     joined = air.join(earth, "Time").join(water, "Time")
@@ -135,3 +135,25 @@ def test_reconciling_adds_what_is_missing_once(spark):
         assert sorted(kept + added) == whole
         again = spark.createDataFrame([(v,) for v in kept + added], "value string")
         assert sensors.reconcile(frames, again).count() == 0
+
+
+def test_payload_drift(spark):
+    from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
+
+    layout = {"t": StructType([StructField("a", DoubleType()), StructField("b", StringType()), StructField("c", DoubleType()), StructField("d", BooleanType())])}
+    rows = [("t", '{"a": 1, "b": "x"}'), ("t", '{"a": 2.5e3, "b": 7}'), ("t", '{"a": "3", "n": null, "z": {"y": 1}}'), ("t", '{"a": 4, "d": true'), ("t", None), ("t", "[1]"), ("u", '{"q": [1]}')]
+    got = {tuple(r) for r in sensors.payload_drift(spark.createDataFrame(rows, "topic string, value string"), layout).collect()}
+    assert got == {("t", "a", "changed", "text", 1), ("t", "b", "changed", "number", 1), ("t", "n", "unknown", "null", 1), ("t", "z", "unknown", "object", 1),
+                   ("t", "c", "absent", None, 0), ("t", "d", "absent", None, 0), ("u", "q", "unknown", "array", 1)}
+
+
+def test_routed_files_are_bounded(spark, scratch):
+    import glob
+
+    from feedmetrics.sinks import route_to_csv
+
+    df = spark.range(1000).select("id", F.when(F.col("id") < 900, "hot").when(F.col("id") < 990, F.lit(None)).otherwise("cold").alias("topic")).repartition(16)
+    route_to_csv(df, f"{scratch}/r", by=("topic",), rows_per_file=300)
+    count = {p.split("topic=")[1]: len(glob.glob(f"{p}/*.csv")) for p in glob.glob(f"{scratch}/r/topic=*")}
+    assert count["cold"] == 1 and 3 <= count["hot"] <= 6 and count["__HIVE_DEFAULT_PARTITION__"] == 1
+    assert spark.read.option("header", True).csv(f"{scratch}/r").count() == 1000

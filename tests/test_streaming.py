@@ -174,7 +174,7 @@ def test_late_rows_are_kept_aside_and_drops_are_recorded(spark, scratch):
 
     from feedmetrics.streaming import late
 
-    files = [["2024-01-01 10:00:00", "2024-01-01 12:00:00", None], ["2024-01-01 11:30:00", "2024-01-01 10:59:00", "2024-01-01 11:00:00"], ["2024-01-01 15:00:00"], ["2024-01-01 13:59:59", "no time"]]
+    files = [["2024-01-01 10:00:00", "2024-01-01 12:00:00", None], ["2024-01-01 11:30:00", "2024-01-01 10:59:00", "2024-01-01 11:00:00"], ["2024-01-01 15:00:00"], ["2024-01-01 13:59:59", "no time"], ["2024-01-01 09:00:00"]]
     for k, times in enumerate(files):
         spark.createDataFrame([(t, k) for t in times], "Time string, k int").coalesce(1).write.mode("append").parquet(f"{scratch}/in")
 
@@ -185,7 +185,7 @@ def test_late_rows_are_kept_aside_and_drops_are_recorded(spark, scratch):
     rows = late.read_split(spark, f"{scratch}/out", stream().schema)
     kinds = {(r["Time"], r["k"]): r["kind"] for r in rows.collect()}
     assert rows.count() == sum(map(len, files)) == len(kinds)
-    assert {t for (t, _), kind in kinds.items() if kind == "late"} == {"2024-01-01 10:59:00", "2024-01-01 11:00:00", "2024-01-01 13:59:59"}
+    assert {t for (t, _), kind in kinds.items() if kind == "late"} == {"2024-01-01 10:59:00", "2024-01-01 11:00:00", "2024-01-01 13:59:59", "2024-01-01 09:00:00"}
     assert {t for (t, _), kind in kinds.items() if kind == "untimed"} == {None, "no time"}
     assert late.read_split(spark, f"{scratch}/out", stream().schema, "on_time").count() == 4
     seen = []
@@ -200,4 +200,19 @@ def test_late_rows_are_kept_aside_and_drops_are_recorded(spark, scratch):
             clock.sleep(0.2)
     finally:
         spark.streams.removeListener(listener)
-    assert sum(s["dropped"] for s in seen) >= 2 and max(s["state_rows"] for s in seen) > 0
+    assert sum(s["dropped"] for s in seen) >= 1 and max(s["state_rows"] for s in seen) > 0
+
+
+def test_old_results_expire_and_a_reader_always_finds_a_whole_one(spark, scratch):
+    import os
+
+    for k in range(6):
+        spark.range(k + 1).write.parquet(f"{scratch}/in/{k}")
+        stream = spark.readStream.schema("id long").option("recursiveFileLookup", "true").parquet(f"{scratch}/in").groupBy().count()
+        streaming.run_available_now(stream, "table", f"{scratch}/t", f"{scratch}/c", output_mode="complete", keep_results=2)
+        kept = sorted(os.listdir(f"{scratch}/t"))
+        assert streaming.read_result_table(spark, f"{scratch}/t").first()[0] == sum(range(1, k + 2))
+        assert len(kept) <= 2
+    os.makedirs(f"{scratch}/t/epoch={99:020d}")  # begun, not finished: the result before it must stay
+    assert streaming.expire_results(spark, f"{scratch}/t", 98) == kept[:-1]
+    assert streaming.read_result_table(spark, f"{scratch}/t").first()[0] == 21
