@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.bpe import LINE, SLICE_BYTES, PieceEncoder, _read, byte_letters, flat_ids, release
+from feedmetrics.llm.bpe import LINE, MAX_REMEMBERED, SLICE_BYTES, PieceEncoder, _read, byte_letters, flat_ids, release
 from feedmetrics.llm.common import column, plain_text, saved, slices
 from feedmetrics.llm.token_files import LibraryEncoder
 
@@ -48,6 +48,7 @@ class SpacedEncoder(LibraryEncoder):
 
     def __init__(self, file: bytes):
         super().__init__(file, plain=True)
+        self.recent.most = MAX_REMEMBERED
         letters = byte_letters()
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
         table = [b""] * (max(self.tokenizer.get_vocab().values()) + 1)
@@ -236,7 +237,7 @@ def aligner(file_a: bytes, file_b: bytes) -> Aligner:
     return _loaded[key]
 
 
-def chunks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def chunks(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = SLICE_BYTES) -> DataFrame:
     """The documents' windows and pairs, a row per chunk of documents; saved."""
     file_a, file_b = docs.sparkSession.sparkContext.broadcast(_read(path_a)), docs.sparkSession.sparkContext.broadcast(_read(path_b))
 
@@ -246,7 +247,7 @@ def chunks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         own, zip_ = aligner(file_a.value, file_b.value), zstandard.ZstdCompressor(level=1)
         number = TaskContext.get().partitionId() << 32
         for big in batches:
-            for b in slices(big, "text", SLICE_BYTES):
+            for b in slices(big, "text", chunk_bytes):
                 c = own.chunk(column(b, "text"))
                 rows = {"chunk": pa.array([number], pa.int64()), "doc_id": pa.array([column(b, "doc_id").to_pylist()], pa.list_(pa.int64()))}
                 rows |= {k: pa.array([c[k]], pa.list_(pa.int64())) for k in (*LISTS, "pairs", "docs")} | {"groups_sha256": pa.array([c["groups_sha256"]], pa.list_(pa.string()))}
@@ -268,11 +269,12 @@ def pair_counts(parts: DataFrame) -> DataFrame:
     return saved(counts.join(most, "a").select("pair", "count", (F.col("count") == F.col("most")).alias("best")), "pair-scores")
 
 
-def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def align(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = SLICE_BYTES) -> DataFrame:
     """Per row: doc_id, n_a, n_b, n_groups, n_links, n_best (links whose pair is the most common of its A id),
     count_sum (of the pairs' document counts over the links), groups_sha256."""
-    parts = chunks(docs, path_a, path_b)
-    rows = parts.select("chunk", F.posexplode(F.col("pairs")).alias("code", "pair")).join(pair_counts(parts), "pair").select("chunk", "code", "count", "best")
+    parts = chunks(docs, path_a, path_b, chunk_bytes)
+    rows = (parts.select(F.col("chunk").alias("of"), F.posexplode(F.col("pairs")).alias("code", "pair")).join(pair_counts(parts), "pair")
+            .select("of", "code", "count", "best"))
 
     def run(own: pa.Table, scores: pa.Table) -> pa.Table:
         out = pa.table({k: pa.array([], pa.string() if k == "groups_sha256" else pa.int64()) for k in (x.split()[0] for x in RESULT.split(", "))})
@@ -288,7 +290,7 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             out = pa.concat_tables([out, pa.table({**{k: pa.array(v, pa.int64()) for k, v in columns.items()}, "groups_sha256": pa.array(r["groups_sha256"], pa.string())})])
         return out
 
-    return parts.drop("pairs", "docs").groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(run, RESULT)
+    return parts.drop("pairs", "docs").groupBy("chunk").cogroup(rows.groupBy("of")).applyInArrow(run, RESULT)
 
 
 def per_document(doc: np.ndarray, seq: np.ndarray, window: np.ndarray, values: np.ndarray, windows: int, docs: int) -> np.ndarray:

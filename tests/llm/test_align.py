@@ -75,10 +75,9 @@ def expected(libraries, rows):
     return sorted(out, key=repr)
 
 
-def test_given_documents(spark, sf_dir, libraries, monkeypatch):
-    monkeypatch.setattr(align, "SLICE_BYTES", 40_000)  # several chunks
+def test_given_documents(spark, sf_dir, libraries):
     docs = table(spark, sf_dir, "documents").where("length(text) < 6000 or text is null").select("doc_id", "text")
-    assert sorted(map(tuple, align.align(docs, A, B).collect()), key=repr) == expected(libraries, [tuple(r) for r in docs.collect()])
+    assert sorted(map(tuple, align.align(docs, A, B, chunk_bytes=40_000).collect()), key=repr) == expected(libraries, [tuple(r) for r in docs.collect()])
 
 
 def test_query_covers_the_table(spark, sf_dir):
