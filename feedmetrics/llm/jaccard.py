@@ -22,8 +22,9 @@ of many near copies is thus finished after a few pivots, without listing its pai
 Two cheap bounds go before each exact comparison: the sizes (a quarter apart at most), and the
 number of common region shingles, beyond which at most three quarters can be common.
 
-Hot keys: a region's rows are spread by salted, partial aggregations; joins are plain joins of
-saved tables, which Spark splits where one region or pivot is large.
+Hot keys: documents with equal sets send one row per region and task; joins are plain joins of
+saved tables, which Spark splits where one region or pivot is large; which shingles are shared is
+told by sorting each shingle's points, a few bytes a row. Shingles and words are compared by 64-bit hashes.
 
 Defined cases: a text without words (null, empty) has an empty set and links with nothing, not
 even another; repeated rows, also of one id, are one point; a null id is never a component's
@@ -52,6 +53,10 @@ LEAST, MUCH = 75, 100
 LARGE = 8
 #: ... for at most so many shingles, the largest regions' (they are sent with the tasks).
 MAX_LARGE = 100_000
+#: Text bytes taken from Arrow at once; digests of sets and shingles that a task holds at most.
+SLICE_BYTES, MAX_SEEN, MAX_HELD = 2 << 20, 500_000, 4_000_000
+#: Pairs or points up to which a saved table of them is broadcast (16 bytes a row); beyond, joins are shuffled.
+MAX_BROADCAST_ROWS = 200_000
 #: Pivots of a region in the first round; each further round has four times as many.
 PIVOTS = 16
 
@@ -133,7 +138,7 @@ def per_text(docs: DataFrame, schema: str, make) -> DataFrame:
     """mapInArrow over (u, doc_id, text) with ``make`` from (slice, its sets) to a record batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for b in slices(big, "text", 2 << 20):
+            for b in slices(big, "text", SLICE_BYTES):
                 yield make(b, shingle_sets(column(b, "text")))
 
     return docs.mapInArrow(run, schema)
@@ -145,17 +150,56 @@ def set_digests(b: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
                                       ["u", "doc_id", "h", "n", "d1", "d2"])
 
 
-def first_rows(large: np.ndarray, rank: np.ndarray, share: float = 1.0):
-    """Rows (shingle, u) of the regions of each text; ``share`` < 1: of the first regions only."""
-    def make(b: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
-        own = [first_shingles(s, large, rank) for s in sets]
-        if share < 1:
-            own = [x[:int(len(x) * share) + 1] for x in own]
-        size = np.array([len(x) for x in own], np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(own) if own else np.empty(0, np.int64), pa.int64()),
-                                           column(b, "u").take(pa.array(np.repeat(np.arange(len(own)), size)))], ["g", "u"])
+def fresh_sets(b: pa.RecordBatch, sets: list[np.ndarray], seen: set[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(rows, sets) of a slice whose set the task has not had yet: equal sets are one point, so a group of copies
+    sends one row of each of its regions per task. ``seen`` holds digests, a bounded number of them."""
+    rows = []
+    for i, s in enumerate(sets):
+        if len(s) and (d := hashlib.blake2b(s.tobytes(), digest_size=16).digest()) not in seen:
+            if len(seen) >= MAX_SEEN:
+                seen.clear()
+            seen.add(d)
+            rows.append(i)
+    return np.array(rows, np.int64), [sets[i] for i in rows]
 
-    return make
+
+def region_rows(docs: DataFrame, large: np.ndarray, rank: np.ndarray) -> DataFrame:
+    """Rows (shingle, u) of the regions of each text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for big in batches:
+            for b in slices(big, "text", SLICE_BYTES):
+                rows, sets = fresh_sets(b, shingle_sets(column(b, "text")), seen)
+                own = [first_shingles(s, large, rank) for s in sets]
+                at = pa.array(np.repeat(rows, [len(x) for x in own]) if len(rows) else rows)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own) if own else np.empty(0, np.int64), pa.int64()), column(b, "u").take(at)], ["g", "u"])
+
+    return docs.mapInArrow(run, "g long, u long")
+
+
+def common_shingles(docs: DataFrame) -> DataFrame:
+    """(g, n): shingles that would make large regions, by the texts that have them among their first ones in hash order.
+
+    A task counts its own texts and tells those that it has seen twice or more; the sums leave out what no
+    task saw twice. This only guides the order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        held: list[np.ndarray] = []
+
+        def told() -> pa.RecordBatch:
+            g, n = np.unique(np.concatenate(held) if held else np.empty(0, np.int64), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(g[n > 1]), pa.array(n[n > 1].astype(np.int64))], ["g", "n"])
+
+        for big in batches:
+            for b in slices(big, "text", SLICE_BYTES):
+                _, sets = fresh_sets(b, shingle_sets(column(b, "text")), seen)
+                held += [s[:int(prefix_size(len(s)) * 0.6) + 1] for s in sets]
+                if sum(map(len, held)) > MAX_HELD:
+                    yield told()
+        yield told()
+
+    return docs.mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where(F.col("n") > LARGE)
 
 
 def points(docs: DataFrame) -> DataFrame:
@@ -167,9 +211,7 @@ def points(docs: DataFrame) -> DataFrame:
 
 def regions(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """(g, cid, n): the points of each region that has two or more; saved."""
-    none = np.empty(0, np.int64)
-    # How many points would share each region: counted over all documents, in the first regions.
-    counts = per_text(docs, "g long, u long", first_rows(none, none, 0.6)).groupBy("g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LARGE)
+    counts = common_shingles(docs)
     most = sorted((r["g"], r["n"]) for r in counts.orderBy(F.desc("n"), "g").limit(MAX_LARGE).collect())
     large = np.array([g for g, _ in most], np.int64)
     order = np.lexsort((large, np.array([n for _, n in most], np.int64)))
@@ -178,7 +220,7 @@ def regions(docs: DataFrame, rows: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     w = Window.partitionBy("g").orderBy("u")
-    all_rows = per_text(docs, "g long, u long", first_rows(large, rank))
+    all_rows = region_rows(docs, large, rank)
     shared = saved(all_rows.withColumn("near", F.lag("u").over(w).isNotNull() | F.lead("u").over(w).isNotNull()).where("near").select("g", "u"), "regions")
     point = rows.where("cid is not null").groupBy("u", "cid").agg(F.max("n").alias("n"))
     named = saved(shared.join(saved(point, "point-keys"), "u").select("g", "cid", "n").distinct(), "region-points")
@@ -206,17 +248,27 @@ class Comparer:
         self.texts = saved(text.dropDuplicates(["cid"]).select("cid", "text"), "point-texts")
 
     def distances(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, d) of the pairs that pass the bounds; saved."""
+        """(a, b, d) of the pairs (a saved table) that pass the bounds; saved."""
         a, b = (self.sizes.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("gs").alias(f"g{c}")) for c in "ab")
+        # Few pairs (the later rounds): only the rows of their points move.
+        if few(pairs):
+            a, b = (x.join(F.broadcast(pairs.select(c).distinct()), c) for x, c in ((a, "a"), (b, "b")))
         close = (pairs.join(a, "a").join(b, "b").where(MUCH * F.least("na", "nb") >= LEAST * F.greatest("na", "nb"))
                  .withColumn("common", F.size(F.array_intersect("ga", "gb"))))
         beyond = F.floor(LEAST * F.greatest("na", "nb") / MUCH)
         close = saved(close.where((MUCH + LEAST) * (F.col("common") + beyond) >= LEAST * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb"), "close-pairs")
         ta, tb = (self.texts.select(F.col("cid").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
+        if few(close):
+            ta, tb = (x.join(F.broadcast(close.select(c).distinct()), c) for x, c in ((ta, "a"), (tb, "b")))
         rows = close.join(ta, "a").join(tb, "b")
         return saved(rows.select("a", "b", "na", "nb", "ta", "tb").mapInArrow(compare, "a long, b long, d double, link boolean"), "distances")
 
 
+def few(table: DataFrame) -> bool:
+    """Whether a saved table is small enough to be broadcast."""
+    return table.count() <= MAX_BROADCAST_ROWS
+
+
 def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The exact distance of each pair of texts; the sets of a batch's distinct points are made together."""
     for big in batches:
@@ -258,7 +310,7 @@ def region_links(docs: DataFrame, point_rows: DataFrame) -> DataFrame | None:
     groups = saved(distinct_regions(rows), "region-groups")
     comparer = Comparer(docs, point_rows, rows)
     # Regions of two points are their pair; the others are joined by pivots.
-    done = comparer.distances(groups.where("k = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).distinct())
+    done = comparer.distances(saved(groups.where("k = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).distinct(), "pairs"))
     members = saved(rows.join(groups.where("k > 2").select("g"), "g").select("g", "cid", "n"), "region-members")
     used, near, labels, turn = None, None, components(done.where("link")), 0
     while True:
@@ -288,7 +340,7 @@ def region_links(docs: DataFrame, point_rows: DataFrame) -> DataFrame | None:
             pairs = (pairs.join(saved(cell, "cells"), "x", "left").join(near.select(F.col("x").alias("q"), "p", F.col("d").alias("dq")), ["q", "p"], "left")
                      .where(F.col("dq").isNull() | (F.abs(F.col("dx") - F.col("dq")) <= 1 - LEAST / MUCH + 1e-9)))
         pairs = saved(pairs.select(F.least("x", "q").alias("a"), F.greatest("x", "q").alias("b")).distinct(), "pairs")
-        fresh = comparer.distances(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"))
+        fresh = comparer.distances(saved(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), "new-pairs"))
         done = saved(done.unionByName(fresh), "compared")
         used = pivots.select("g", F.col("q").alias("cid")) if used is None else used.unionByName(pivots.select("g", F.col("q").alias("cid")))
         used = saved(used, "used-pivots")
