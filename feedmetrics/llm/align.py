@@ -12,7 +12,7 @@ since no token of either tokenizer crosses such a border (checked on the vocabul
 with other white space is encoded whole.
 
 How many documents hold an id pair linked is counted over the corpus in two steps: documents are
-taken in chunks of about ``bpe.SLICE_BYTES``; a chunk counts its own pairs once, so a pair that every
+taken in chunks of about ``CHUNK_BYTES``; a chunk counts its own pairs once, so a pair that every
 document has is one row per chunk; the sums go back to the chunks by a join on the pair, and each chunk's
 documents are scored from its windows. Nothing is gathered beyond a chunk.
 
@@ -34,11 +34,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.bpe import LINE, MAX_REMEMBERED, SLICE_BYTES, PieceEncoder, _read, byte_letters, flat_ids, release
+from feedmetrics.llm.bpe import LINE, PieceEncoder, _read, byte_letters, flat_ids, release
 from feedmetrics.llm.common import column, plain_text, saved, slices
 from feedmetrics.llm.token_files import LibraryEncoder
 
 SPACE = "▁"
+#: Text bytes of a chunk; bytes of pieces that a worker remembers for each tokenizer in each of two generations.
+CHUNK_BYTES, REMEMBERED_BYTES = 3 << 20, 28 << 20
 
 
 class SpacedEncoder(LibraryEncoder):
@@ -48,7 +50,7 @@ class SpacedEncoder(LibraryEncoder):
 
     def __init__(self, file: bytes):
         super().__init__(file, plain=True)
-        self.recent.most = MAX_REMEMBERED
+        self.recent.most = REMEMBERED_BYTES
         letters = byte_letters()
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
         table = [b""] * (max(self.tokenizer.get_vocab().values()) + 1)
@@ -68,6 +70,7 @@ class SentenceEncoder(PieceEncoder):
 
     def __init__(self, file: bytes):
         super().__init__()
+        self.recent.most = REMEMBERED_BYTES
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=file)
@@ -237,7 +240,7 @@ def aligner(file_a: bytes, file_b: bytes) -> Aligner:
     return _loaded[key]
 
 
-def chunks(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = SLICE_BYTES) -> DataFrame:
+def chunks(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The documents' windows and pairs, a row per chunk of documents; saved."""
     file_a, file_b = docs.sparkSession.sparkContext.broadcast(_read(path_a)), docs.sparkSession.sparkContext.broadcast(_read(path_b))
 
@@ -269,7 +272,7 @@ def pair_counts(parts: DataFrame) -> DataFrame:
     return saved(counts.join(most, "a").select("pair", "count", (F.col("count") == F.col("most")).alias("best")), "pair-scores")
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = SLICE_BYTES) -> DataFrame:
+def align(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Per row: doc_id, n_a, n_b, n_groups, n_links, n_best (links whose pair is the most common of its A id),
     count_sum (of the pairs' document counts over the links), groups_sha256."""
     parts = chunks(docs, path_a, path_b, chunk_bytes)
@@ -309,7 +312,7 @@ def groups(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(file_a, file_b)
         for big in batches:
-            for b in slices(big, "text", SLICE_BYTES):
+            for b in slices(big, "text", CHUNK_BYTES):
                 text = [t.decode()[:-1] for t in own.windows(*own.tokens(column(b, "text"))[1]).text.to_pylist()]  # a document as one window
                 yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(text, pa.string())], ["doc_id", "groups"])
         release()
