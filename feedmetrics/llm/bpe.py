@@ -228,21 +228,26 @@ class Bpe:
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 BEYOND = regex.compile("[^\\x00-\u017f]")
 # Kinds of remembered pieces: what stands before a run of non-space characters.
-LINE, START, WORD = "\n", "\r", "\v"
+LINE, START, WORD, NEAR = "\n", "\r", "\v", "\x02"
 #: Texts that are not cut at white space: some other white space than single spaces and line
 #: feeds between other characters.
-UNEVEN = "^[ \\n]|[ \\n]$|[ \\n][ \\n]|[\\t\\x0b\\f\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+UNEVEN = "^[ \\n]|[ \\n]$|[ \\n][ \\n]|[\\x02\\t\\x0b\\f\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 #: New pieces given to the tokenizers library at once.
 AT_ONCE = 4000
 
 
 def piece_text(key: str) -> str:
     """The text a key of a piece stands for."""
-    if key[:1] in (START, WORD):
+    if key[:1] in (START, WORD, NEAR):
         return key[1:]
     return key if key[:1] == LINE else " " + key
 
 
+def bare_text(key: str) -> str:
+    """The same without a line feed before it."""
+    return key[1:] if key[:1] == LINE else piece_text(key)
+
+
 class Recent:
     """Values (bytes) by key in two generations: when the younger is full it becomes the older.
 
@@ -285,6 +290,8 @@ class PieceEncoder:
     special: dict[str, int] = {}
     #: What stands before a text: nothing, or a space if the tokenizer puts one there.
     start = START
+    #: Whether words end between a letter and a punctuation mark, so that pieces do too.
+    marks_apart = False
 
     def __init__(self):
         self.recent = Recent(self.compute)
@@ -312,6 +319,8 @@ class PieceEncoder:
         return both.take(pa.array(place))
 
     def even(self, texts: pa.Array) -> pa.LargeBinaryArray:
+        if self.marks_apart:
+            texts = pc.replace_substring_regex(texts, r"([A-Za-z])([,.;:!?])", "\\1 \x02\\2")
         marked = pc.binary_join_element_wise(pa.scalar(self.start, pa.large_string()), pc.replace_substring(texts, "\n", " \n"), pa.scalar("", pa.large_string()))
         lists = pc.split_pattern(marked, " ")
         if not len(lists):
@@ -350,7 +359,7 @@ class RuleEncoder(PieceEncoder):
         # The file's rule is the published pattern, as far as a probe of every character it is used for tells.
         probe = "".join(f"x{c} {c}'s  {c}{c}1 {c}" for c in map(chr, range(0x180)))
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str(probe)
-        self.known_rule = [probe[a:b] for _, (a, b) in split] == PATTERN.findall(probe)
+        self.known_rule = self.marks_apart = [probe[a:b] for _, (a, b) in split] == PATTERN.findall(probe)
         added = self.tokenizer.get_added_tokens_decoder()
         self.tokenizer.encode_special_tokens = plain
         self.special = {} if plain else {t.content: i for i, t in added.items()}
@@ -391,7 +400,7 @@ class Memory(RuleEncoder):
         for at in range(0, len(runs), AT_ONCE):
             some = runs[at:at + AT_ONCE]
             # Joined by line feeds, which are words of their own between pieces.
-            text = "\n".join([k[1:] if k[:1] in (LINE, START) else " " + k for k in some])
+            text = "\n".join(map(bare_text, some))
             parts: list[list[str]] = [[]]
             for w in self.words(text):
                 if w == "\n":

@@ -40,11 +40,12 @@ from feedmetrics.llm.common import column, plain_text, slices
 
 #: Weight rows that features are hashed to.
 ROWS = 1 << 16
+NOT_IN_LEXICON = ["l?"]
 UNKNOWN = "und"
 #: Letters of a word at most.
 LONGEST = 40
 #: Text bytes taken from Arrow at once; bytes of chunks that a worker remembers in each of two generations.
-SLICE_BYTES, REMEMBERED_BYTES = 2 << 20, 32 << 20
+SLICE_BYTES, REMEMBERED_BYTES = 2 << 20, 40 << 20
 
 
 def words_of(chunk: str) -> list[str]:
@@ -56,13 +57,41 @@ def words_of(chunk: str) -> list[str]:
     return [r[i:i + LONGEST] for r in runs for i in range(0, len(r), LONGEST)]
 
 
-def word_features(word: str, lexicon: dict[str, list[str]]) -> list[int]:
-    """Rows of a word's affixes, n-grams and lexicon features."""
-    found = [f"p{word[:k]}" for k in (1, 2, 3)] + [f"s{word[-k:]}" for k in (1, 2, 3)]
-    bound = f"^{word}$"
-    found += [bound[i:i + n] for n in (2, 3) for i in range(len(bound) - n + 1)]
-    found += lexicon.get(word, ["l?"])
-    return [zlib.crc32(f.encode()) % ROWS for f in found]
+_MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+
+
+def hashed(kind: int, letters: list[np.ndarray]) -> np.ndarray:
+    """Weight rows of features: a kind and one to three letters each."""
+    h = np.full(len(letters[0]), kind + 1, np.uint64)
+    for x, m in zip(letters, _MIX, strict=False):
+        h = (h ^ (h >> np.uint64(29)) ^ x) * m
+    return ((h ^ (h >> np.uint64(32))) % np.uint64(ROWS)).astype(np.int64)
+
+
+def word_features(words: list[str], lexicon: dict[str, list[str]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of the words' affixes, n-grams and lexicon features, kind after kind: (rows, how many each word has)."""
+    # Every word stands between marks; a letter before the first and after the last of them is never read.
+    text = np.frombuffer(("^" + "$^".join(words) + "$").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    first = np.cumsum(size + 2) - size - 1  # each word's first letter
+    last, one = first + size - 1, np.ones(len(words), np.int64)
+    for k in (1, 2, 3):  # of a shorter word, the whole word
+        yield hashed(k, [text[np.minimum(first + j, last)] * (size > j) for j in range(k)]), one
+        yield hashed(10 + k, [text[np.maximum(last - j, first)] * (size > j) for j in range(k)]), one
+    for n in (2, 3):
+        count = size + 3 - n
+        at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first - 1, count)
+        yield hashed(20 + n, [text[at + j] for j in range(n)]), count
+    found = [lexicon.get(w, NOT_IN_LEXICON) for w in words]
+    yield np.array([zlib.crc32(f.encode()) % ROWS for x in found for f in x], np.int64), np.fromiter(map(len, found), np.int64, len(found))
+
+
+def features_of_each(words: list[str], lexicon: dict[str, list[str]]) -> list[np.ndarray]:
+    """The rows of all features of each word."""
+    kinds = list(word_features(words, lexicon))
+    owner = np.concatenate([np.repeat(np.arange(len(words)), n) for _, n in kinds])
+    rows = np.concatenate([r for r, _ in kinds])[np.argsort(owner, kind="stable")]
+    return np.split(rows, np.cumsum(np.bincount(owner, minlength=len(words)))[:-1])
 
 
 def forward_backward(e: np.ndarray, start: np.ndarray, count: np.ndarray, first: np.ndarray, move: np.ndarray,
@@ -111,12 +140,11 @@ class Field:
         """Label weights of the words in each chunk, as bytes, word after word; none where it has no letter."""
         words = [words_of(c) for c in chunks]
         own = {w: i for i, w in enumerate(dict.fromkeys(w for x in words for w in x))}
-        found = [word_features(w, self.lexicon) for w in own]
-        if not found:
+        if not own:
             return [b""] * len(chunks)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((f for x in found for f in x), np.int64, int(sizes.sum()))
-        score = np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes, axis=0)
+        score = np.zeros((len(own), len(self.labels)), np.float32)
+        for rows, n in word_features(list(own), self.lexicon):
+            score += np.add.reduceat(self.weights[rows], np.cumsum(n) - n, axis=0)
         raw = np.exp(np.maximum(score - score.max(1, keepdims=True), -30)).astype(np.float32).tobytes()
         step = 4 * len(self.labels)
         return [b"".join([raw[step * own[w]:step * own[w] + step] for w in x]) for x in words]
@@ -184,7 +212,7 @@ def fit(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 0.2, batch
     shuffled = [lines[i] for i in rng.permutation(len(lines))]
     joined = [shuffled[i:i + 2] for i in range(0, len(shuffled), 2)]
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, x in lines for w in x}))}
-    features = [np.array(word_features(w, lexicon)) for w in vocabulary]
+    features = features_of_each(list(vocabulary), lexicon) if vocabulary else []
     number = {k: i for i, k in enumerate(labels)}
     weights, move, first = np.zeros((ROWS, n)), np.zeros((n, n)), np.zeros(n)
     sums = [np.full_like(x, 1e-3) for x in (weights, move, first)]

@@ -29,10 +29,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.bpe import AT_ONCE, LINE, SLICE_BYTES, START, WORD, RuleEncoder, flat_ids, release
+from feedmetrics.llm.bpe import AT_ONCE, LINE, SLICE_BYTES, WORD, RuleEncoder, bare_text, flat_ids, release
 from feedmetrics.llm.common import Folder, column, slices
 from feedmetrics.session import fresh_path
 
+#: Bytes of pieces that a worker remembers in each of two generations: the library is slow on new ones.
+REMEMBERED_BYTES = 100 << 20
 MAGIC = b"IDPLANE1"
 MANIFEST = "shard long, file string, n_docs long, n_ids long"
 
@@ -45,6 +47,7 @@ class LibraryEncoder(RuleEncoder):
 
     def __init__(self, file: bytes, plain: bool = False):
         super().__init__(file, plain)
+        self.recent.most = REMEMBERED_BYTES
         self.line = self.ids("\n")[0]
 
     def ids(self, text: str) -> list[int]:
@@ -59,7 +62,7 @@ class LibraryEncoder(RuleEncoder):
         line = array("I", [self.line]).tobytes()
         for at in range(0, len(runs), AT_ONCE):
             some = runs[at:at + AT_ONCE]
-            text = "\n".join([k[1:] if k[:1] in (LINE, START) else " " + k for k in some])
+            text = "\n".join(map(bare_text, some))
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             ends = [*np.flatnonzero(ids == self.line).tolist(), len(ids)]
             if len(ends) != len(some):
