@@ -133,15 +133,21 @@ def replay(corrected: DataFrame, stored: DataFrame, rejected: DataFrame, col: st
     Of several corrections of one place the latest (``timestamp``, then payload) counts. Storing the result and replaying
     again gives nothing, so a replay may be repeated after a failure."""
     keys = [F.col(q(k)) for k in key]
-    good = malformed_flag(corrected, col, "_bad").where(~F.col("_bad")).drop("_bad")
+    # Only what is due is parsed and grouped: the places, a small part of all messages, come first.
+    due = rejected.select(*keys).distinct().join(stored.select(*keys), list(key), "left_anti")
+    good = malformed_flag(corrected.join(due, list(key), "left_semi"), col, "_bad").where(~F.col("_bad")).drop("_bad")
     order = [F.col(c) for c in ("timestamp", col) if c in corrected.columns]
     last = good.groupBy(*keys).agg(F.max(F.struct(*order, F.struct("*").alias("_row"))).alias("_last")).select("_last._row.*")
-    return last.join(rejected.select(*keys).distinct(), list(key), "left_semi").join(stored.select(*keys), list(key), "left_anti").select(*corrected.columns)
+    return last.select(*corrected.columns)
 
 
-def split_malformed(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(well-formed, malformed); the bad side is what a consumer reports instead of storing."""
+def split_malformed(df: DataFrame, col: str = "value", path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(well-formed, malformed); the bad side is what a consumer reports instead of storing. With ``path`` the flagged
+    messages are stored there first, so that both sides together make and parse each payload once."""
     t = malformed_flag(df, col, "_bad")
+    if path is not None:
+        t.write.parquet(path)
+        t = df.sparkSession.read.schema(t.schema).parquet(path)
     return t.where(~F.col("_bad")).drop("_bad"), t.where(F.col("_bad")).drop("_bad")
 
 

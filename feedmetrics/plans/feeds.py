@@ -136,7 +136,7 @@ def replay_once(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     sent = [sensor_messages(ev, t) for t in TOPICS]
     arrived = sent[0].unionByName(sent[1]).unionByName(sent[2])
-    good, bad = messages.split_malformed(arrived)
+    good, bad = messages.split_malformed(arrived, path=fresh_path(spark, "arrived"))
     whole = [sensor_messages(ev, t, truncated=False) for t in TOPICS]
     corrected = whole[0].unionByName(whole[1]).unionByName(whole[2])
     path, kept = fresh_path(spark, "replayed"), ["topic", "partition", "offset", "value"]

@@ -120,6 +120,17 @@ def test_replay_stores_a_correction_once(spark):
     assert messages.replay(corrected, stored.unionByName(first), rejected).count() == 0
 
 
+def test_replay_parses_and_groups_only_what_is_due(spark, scratch, capsys):
+    rows = spark.createDataFrame([("t", 0, 1, "{"), ("t", 0, 2, '{"v": 1}'), ("t", 0, 3, None), (None, 0, 4, "{}"), ("t", 0, 2, '{"v": 1}')], "topic string, partition int, offset long, value string")
+    good, bad = messages.split_malformed(rows, path=f"{scratch}/flagged")
+    assert [sorted(map(str, x.collect())) for x in (good, bad)] == [sorted(map(str, x.collect())) for x in messages.split_malformed(rows)]
+    good.explain()
+    assert "from_json" not in capsys.readouterr().out
+    messages.replay(rows, good, bad).explain()
+    plan = capsys.readouterr().out
+    assert plan.index("Aggregate") < plan.index("Join")
+
+
 def test_file_positions_over_several_splits(spark, scratch):
     spark.range(500).select(F.col("id")).coalesce(1).write.parquet(f"{scratch}/a")
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
