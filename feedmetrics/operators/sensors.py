@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 from feedmetrics.functions.columns import coerce_numeric, q
 from feedmetrics.operators.stats import exact_means
+from feedmetrics.session import stored_rows
 
 _D, _I, _S = DoubleType(), IntegerType(), StringType()
 
@@ -149,7 +150,8 @@ def reconcile(frames: Sequence[tuple[str, DataFrame]], documents: DataFrame, on:
     reconciling gives nothing.
 
     Counts tell which times are incomplete: the readings of a time per frame, multiplied, against its stored
-    documents. Only these times are aligned again and compared document by document."""
+    documents. Only these times, stored once, are aligned again. All documents of a time that has none are lacking; those
+    of a time that has some are compared document by document."""
     counted = None
     for i, (_, df) in enumerate(frames):
         own = df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).cast("decimal(19,0)").alias(f"_n{i}"))
@@ -159,12 +161,19 @@ def reconcile(frames: Sequence[tuple[str, DataFrame]], documents: DataFrame, on:
         wanted = (wanted * F.col(f"_n{i}")).cast("decimal(38,0)")
     stored = documents.select("value", F.get_json_object("value", f"$.{on}").alias(on))
     have = stored.groupBy(on).agg(F.count(F.lit(1)).alias("_have"))
-    open_ = counted.join(have, on, "left").where(wanted > F.coalesce("_have", F.lit(0))).select(on)
-    aligned = align_streams([(alias, df.join(open_, on, "left_semi")) for alias, df in frames], on=[on])
-    again = build_document(aligned, **({} if parts is None else {"parts": parts})).groupBy("value").agg(F.count(F.lit(1)).alias("_n"))
-    known = stored.join(open_, on, "left_semi").groupBy("value").agg(F.count(F.lit(1)).alias("_have"))
+    open_ = stored_rows(counted.join(have, on, "left").where(wanted > F.coalesce("_have", F.lit(0))).select(on, F.col("_have").isNull().alias("_none")), "open-times")
+    none, some = (open_.where(c).select(on) for c in (F.col("_none"), ~F.col("_none")))
+
+    def made(times: DataFrame) -> DataFrame:
+        aligned = align_streams([(alias, df.join(times, on, "left_semi")) for alias, df in frames], on=[on])
+        return build_document(aligned, **({} if parts is None else {"parts": parts}))
+
+    if some.isEmpty():
+        return made(none)
+    again = made(some).groupBy("value").agg(F.count(F.lit(1)).alias("_n"))
+    known = stored.join(some, on, "left_semi").groupBy("value").agg(F.count(F.lit(1)).alias("_have"))
     lacking = again.join(known, "value", "left").withColumn("_n", F.col("_n") - F.coalesce("_have", F.lit(0))).where("_n > 0")
-    return lacking.select("value", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).select("value")
+    return made(none).unionByName(lacking.select("value", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).select("value"))
 
 
 def build_document(aligned: DataFrame, parts=DOCUMENT_PARTS, key: str = "Time") -> DataFrame:

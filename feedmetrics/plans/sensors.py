@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmetrics import streaming
 from feedmetrics.operators import quality, sensors
-from feedmetrics.session import fresh_path
+from feedmetrics.session import fresh_path, stored_rows
 from feedmetrics.sinks import write_documents, write_report
 from feedmetrics.sources.derived import sensor_messages
 from feedmetrics.sources.files import TABLE_SCHEMAS, read_documents, read_table
@@ -17,7 +19,7 @@ from feedmetrics.streaming import late
 TOPICS = ("AIR", "EARTH", "WATER")
 ALIASES = {"AIR": "air", "EARTH": "earth", "WATER": "water"}
 
-# Files that arrive one after another, and how far behind a reading may be.
+# Arrivals one after another, and how far behind a reading may be.
 ARRIVALS, DELAY = 4, "1 hour"
 
 # Range checks on driver tables beyond the documents (same operators, larger inputs).
@@ -179,42 +181,39 @@ def doc_stream_roundtrip(spark, sf_dir):
     return sensors.flatten(sensors.parse_document(read_documents(spark, path)))
 
 
-def arriving(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, str]:
-    """(a stream session, folder): the events as four files that arrive one after another, dealt by the event's
-    number, so that every file spans all times."""
-    path = fresh_path(spark, "arriving")
-    ev = read_table(spark, sf_dir, "events")
+def arriving(spark: SparkSession, sf_dir: str, path: str) -> Iterator[DataFrame]:
+    """The events in four arrivals in the folder ``path``, one after another, dealt by the event's number, so that every
+    arrival spans all times. After each the stream of the folder is given, to be run on what is new: an arrival
+    is one micro-batch, of as many files as its rows were read in."""
+    ss, ev = streaming.stream_session(spark), read_table(spark, sf_dir, "events")
     for k in range(ARRIVALS):
-        ev.where(F.pmod("event_id", F.lit(ARRIVALS)) == k).coalesce(1).write.mode("append").parquet(path)
-    return streaming.stream_session(spark), path
-
-
-def _arriving_events(ss: SparkSession, path: str) -> DataFrame:
-    return ss.readStream.schema(TABLE_SCHEMAS["events"]).option("maxFilesPerTrigger", "1").parquet(path)
+        ev.where(F.pmod("event_id", F.lit(ARRIVALS)) == k).write.mode("append").parquet(path)
+        yield ss.readStream.schema(TABLE_SCHEMAS["events"]).parquet(path)
 
 
 def late_rows(spark, sf_dir):
-    """Each reading of a topic in order of arrival: on time, late (an hour or more behind the latest before its file), or
-    without a readable time. The three parts add up to the input."""
-    ss, path = arriving(spark, sf_dir)
-    rows = sensors.parse_envelope(sensor_messages(_arriving_events(ss, path), "WATER"), sensors.SCHEMAS["WATER"], fields=["Time"], keep=["offset"])
+    """Each reading of a topic in order of arrival: on time, late (an hour or more behind the latest of the arrivals before its
+    own), or without a readable time. The three parts add up to the input."""
+    path = fresh_path(spark, "arriving")
     out = path + "-split"
-    streaming.run_all([late.start_late_split(rows, sensors.read_time(), DELAY, out, out + "-checkpoint")])
+    for ev in arriving(spark, sf_dir, path):
+        rows = sensors.parse_envelope(sensor_messages(ev, "WATER"), sensors.SCHEMAS["WATER"], fields=["Time"], keep=["offset"])
+        streaming.run_all([late.start_late_split(rows, sensors.read_time(), DELAY, out, out + "-checkpoint")])
     return late.read_split(spark, out, rows.schema).select(F.col("offset").alias("event_id"), "kind")
 
 
 def stream_reconciled(spark, sf_dir):
     """A stream with a watermark over readings that arrive out of order drops many; reconciling its stored documents
     with the stored readings, twice, gives each missing document once."""
-    ss, path = arriving(spark, sf_dir)
-    ev = _arriving_events(ss, path)
-    aligned_ = sensors.align_streams([(ALIASES[t], parsed(ss, sf_dir, t, events=ev)) for t in TOPICS], on=["Time"], watermark=DELAY)
+    path = fresh_path(spark, "arriving")
     out = path + "-documents"
-    streaming.run_available_now(sensors.build_document(aligned_), "json", out, out + "-checkpoint", skip_final_cleanup=True)
+    for ev in arriving(spark, sf_dir, path):
+        aligned_ = sensors.align_streams([(ALIASES[t], parsed(ev.sparkSession, sf_dir, t, events=ev)) for t in TOPICS], on=["Time"], watermark=DELAY)
+        streaming.run_available_now(sensors.build_document(aligned_), "json", out, out + "-checkpoint", skip_final_cleanup=True)
     # A streaming sink's folder lists its own files only: what is added goes to a folder beside it.
     added = out + "-added"
     spark.createDataFrame([], "value string").write.json(added)
-    readings = [(ALIASES[t], parsed(spark, sf_dir, t)) for t in TOPICS]
+    readings = [(ALIASES[t], stored_rows(parsed(spark, sf_dir, t), f"readings-{ALIASES[t]}")) for t in TOPICS]
     for _ in range(2):
         stored = read_documents(spark, out).unionByName(read_documents(spark, added))
         write_documents(sensors.reconcile(readings, stored), added, mode="append")

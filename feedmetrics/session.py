@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a production job should also carry (cluster managers set memory and cores).
 SCALE_CONF = {
@@ -80,3 +80,10 @@ def work_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, kind: str) -> str:
     """A new, unused path under the shared work folder (one per run; never reused)."""
     return f"{work_dir(spark)}/feedmetrics/{kind}-{uuid.uuid4().hex}"
+
+
+def stored_rows(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` written as Parquet under the shared work folder and read back: made once, however often it is read."""
+    path = fresh_path(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,5 +1,7 @@
 """Streams: equal to batch, restart from checkpoint without loss or duplicates."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,3 +218,23 @@ def test_old_results_expire_and_a_reader_always_finds_a_whole_one(spark, scratch
     os.makedirs(f"{scratch}/t/epoch={99:020d}")  # begun, not finished: the result before it must stay
     assert streaming.expire_results(spark, f"{scratch}/t", 98) == kept[:-1]
     assert streaming.read_result_table(spark, f"{scratch}/t").first()[0] == 21
+
+
+def test_an_arrival_is_as_many_files_as_its_rows_were_read_in(spark, scratch):
+    import glob
+
+    from feedmetrics.sources.files import TABLE_SCHEMAS
+
+    rows = [(i, datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=i), i, "view", 1.0, '{"k": 1}') for i in range(200)]
+    for at in range(0, 200, 50):
+        spark.createDataFrame(rows[at:at + 50], TABLE_SCHEMAS["events"]).coalesce(1).write.mode("append").parquet(f"{scratch}/events.parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        files = [len(glob.glob(f"{scratch}/arriving/*.parquet")) for _ in plans.arriving(spark, scratch, f"{scratch}/arriving")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(files) == 4 and all(b - a > 1 for a, b in zip([0, *files], files))
+    assert sorted(r["event_id"] for r in spark.read.parquet(f"{scratch}/arriving").collect()) == list(range(200))
+    assert plans.stream_reconciled(spark, scratch).count() == len([i for i in range(200) if i % 97])
+    assert plans.late_rows(spark, scratch).count() == 200
