@@ -43,7 +43,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.common import column, plain_text, saved, slices
+from feedmetrics.llm import common
+from feedmetrics.llm.common import column, plain_text, slices
 
 #: Words of a shingle.
 N = 5
@@ -54,7 +55,9 @@ LARGE = 8
 #: ... for at most so many shingles, the largest regions' (they are sent with the tasks).
 MAX_LARGE = 100_000
 #: Text bytes taken from Arrow at once; digests of sets and shingles that a task holds at most.
-SLICE_BYTES, MAX_SEEN, MAX_HELD = 2 << 20, 500_000, 4_000_000
+SLICE_BYTES, MAX_SEEN, MAX_HELD = 1 << 19, 200_000, 1_000_000
+#: Spark's setting of the rows of an Arrow batch, and how many there are here: the JVM and Python each hold a batch's texts.
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
 #: Pairs or points up to which a saved table of them is broadcast (16 bytes a row); beyond, joins are shuffled.
 MAX_BROADCAST_ROWS = 200_000
 #: Pivots of a region in the first round; each further round has four times as many.
@@ -63,6 +66,17 @@ PIVOTS = 16
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
+def saved(df: DataFrame, kind: str) -> DataFrame:
+    """``common.saved``, with short Arrow batches."""
+    conf = df.sparkSession.conf
+    before = conf.get(BATCH)
+    conf.set(BATCH, str(BATCH_ROWS))
+    try:
+        return common.saved(df, kind)
+    finally:
+        conf.set(BATCH, before)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(33))
     h = h * np.uint64(0xFF51AFD7ED558CCD)
@@ -211,7 +225,7 @@ def points(docs: DataFrame) -> DataFrame:
 
 def regions(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """(g, cid, n): the points of each region that has two or more; saved."""
-    counts = common_shingles(docs)
+    counts = saved(common_shingles(docs), "common-shingles")
     most = sorted((r["g"], r["n"]) for r in counts.orderBy(F.desc("n"), "g").limit(MAX_LARGE).collect())
     large = np.array([g for g, _ in most], np.int64)
     order = np.lexsort((large, np.array([n for _, n in most], np.int64)))
@@ -272,7 +286,7 @@ def few(table: DataFrame) -> bool:
 def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The exact distance of each pair of texts; the sets of a batch's distinct points are made together."""
     for big in batches:
-        for b in slices(big, "ta", 1 << 20):
+        for b in slices(big, "ta", SLICE_BYTES):
             text = dict(zip(column(b, "a").to_pylist(), column(b, "ta").to_pylist(), strict=True)) | dict(zip(column(b, "b").to_pylist(), column(b, "tb").to_pylist(), strict=True))
             size = dict(zip(column(b, "a").to_pylist(), column(b, "na").to_pylist(), strict=True)) | dict(zip(column(b, "b").to_pylist(), column(b, "nb").to_pylist(), strict=True))
             sets = dict(zip(text, shingle_sets(pa.array(text.values(), pa.large_string())), strict=True))
@@ -325,7 +339,9 @@ def region_links(docs: DataFrame, point_rows: DataFrame) -> DataFrame | None:
         open_ = now.where("not used").join(groups_in, ["g", "c"]).join(saved(largest, "region-largest"), "g").where("c <> top")
         # More pivots in every round: a group of near copies is done after the first ones, while
         # regions of unlike points need all of theirs, in few rounds.
-        salt = F.pmod(F.xxhash64("cid", "g"), F.lit(PIVOTS * 4 ** min(turn, 8)))
+        # The draw goes by point alone, so that regions of nearly the same points take the same pivots: a group of copies
+        # lies in a region for each shingle of its prefixes, and pivots of each region's own would soon be all its points.
+        salt = F.pmod(F.xxhash64(F.lit(7), "cid"), F.lit(PIVOTS * 4 ** min(turn, 8)))
         turn += 1
         pivots = (open_.groupBy("g", salt.alias("salt")).agg(F.min(F.struct("size", F.xxhash64("cid").alias("h"), "cid", "c", "n")).alias("p"))
                   .select("g", F.col("p.cid").alias("q"), F.col("p.c").alias("qc"), F.col("p.n").alias("qn")))

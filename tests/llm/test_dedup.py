@@ -288,3 +288,12 @@ def test_pipeline_stages(spark, sf_dir, scratch):
         if name == "bpe":
             assert not gone
         docs = out
+
+
+def test_near_copies_are_compared_with_few_pivots(spark, monkeypatch):
+    words = [f"w{i}" for i in range(120)]
+    docs = spark.createDataFrame([(i, " ".join([*words[:i], f"x{i}", *words[i + 1:]])) for i in range(100)], "doc_id long, text string")
+    counts, distances = [], jaccard.Comparer.distances
+    monkeypatch.setattr(jaccard.Comparer, "distances", lambda self, pairs: counts.append(pairs.count()) or distances(self, pairs))
+    assert {r["component_id"] for r in jaccard.near_duplicates(docs).collect()} == {0}
+    assert sum(counts) < 100 * 30
