@@ -112,7 +112,7 @@ def argmax_ties(df: DataFrame, col: str) -> DataFrame:
 
 def kth_smallest(df: DataFrame, col: str, rank: int | None = None, fraction: float | None = None,
                  max_range_rows: int = 1_000_000, sketch_k: int = sketches.KLL_K, stored: DataFrame | None = None,
-                 name: str | None = None) -> DataFrame:
+                 name: str | None = None, buckets: int | None = None, max_bucket_rows: int | None = None) -> DataFrame:
     """Exact order statistic: the value at 0-based position ``rank`` of the ascending
     non-NULL values (or at position ``ceil(fraction * n) - 1``). One row; NULL when there
     is no such position. NaN sorts last.
@@ -125,7 +125,10 @@ def kth_smallest(df: DataFrame, col: str, rank: int | None = None, fraction: flo
          here, and the range is widened;
       3. while the range holds more than ``max_range_rows`` distinct values it is narrowed by a sketch of
          itself; then it is scanned in order.
+
+    ``buckets`` and ``max_bucket_rows`` are the earlier names of ``sketch_k`` and ``max_range_rows``.
     """
+    sketch_k, max_range_rows = buckets or sketch_k, max_bucket_rows or max_range_rows
     spark, out_name, kind = df.sparkSession, name or col, sketches.kll_kind(df.schema[col].dataType)
     if kind is None:
         raise ValueError(f"{col} is neither an integer nor a float column")
