@@ -11,20 +11,22 @@ replicated into these regions, and any two neighbours meet in one. The order is
 shingles that fill large regions last (rarer first), so that a passage that many otherwise different
 documents share does not make a region. The order decides how much work there is, not the result.
 
-A region is joined recursively by pivots that are points of it: in each round every unfinished region
-picks some pivots, first from the smallest connected groups, and each is compared with the region's points of other groups. A point's nearest pivot so
-far is its Voronoi cell; by the triangle inequality a new pivot q and a point x of cell p can be
-neighbours only if |d(x, p) - d(q, p)| <= r, and only such q are replicated into the cell. Only
-the connected groups are asked for, so points that are already connected are not compared,
-and a region is finished when all its points outside one group have been pivots. A group
-of many near copies is thus finished after a few pivots, without listing its pairs.
-
-Two cheap bounds go before each exact comparison: the sizes (a quarter apart at most), and the
-number of common region shingles, beyond which at most three quarters can be common.
+Two points meet in the region of the first shingle that they share, in that order. What stands before it in either
+set is not in the other, which bounds their distance from its places in the two; a region's pairs beyond that
+are none. Sizes bound it as well (the distance to the empty set). A sketch of 512 bits, each the parity of
+the set's shingles that fall on it, is a contraction of the symmetric difference: as many bits as differ, so many
+shingles differ at least. The three bounds need no texts and stand in the joins, so that these make few rows.
+
+A region is joined by pivots that are points of it: first by one, then by some, and last, all by all, but every time only
+points that are not connected yet. The pivots are the first of all points in one order, so that regions of nearly the same
+points, as a group of copies has for each shingle of its prefixes, take the same ones. A region whose points are
+all connected is finished. A group of many near copies is thus finished after a few pivots, without listing its pairs; points
+of a region that are all unlike one another are only compared by the bounds.
 
 Hot keys: documents with equal sets send one row per region and task; joins are plain joins of
 saved tables, which Spark splits where one region or pivot is large; which shingles are shared is
 told by sorting each shingle's points, a few bytes a row. Shingles and words are compared by 64-bit hashes.
+A point's name is half of a 128-bit digest of its set; should two sets share it, all are named anew with another key.
 
 Defined cases: a text without words (null, empty) has an empty set and links with nothing, not
 even another; repeated rows, also of one id, are one point; a null id is never a component's
@@ -35,12 +37,13 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmetrics.llm import common
@@ -60,8 +63,11 @@ SLICE_BYTES, MAX_SEEN, MAX_HELD = 1 << 19, 200_000, 1_000_000
 BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
 #: Pairs or points up to which a saved table of them is broadcast (16 bytes a row); beyond, joins are shuffled.
 MAX_BROADCAST_ROWS = 200_000
-#: Pivots of a region in the first round; each further round has four times as many.
-PIVOTS = 16
+#: Pivots of a region after the first; then so many times as many, then all its points.
+PIVOTS, MORE_PIVOTS = 16, 16
+#: 64-bit words of a sketch, and their columns.
+WORDS = 8
+SKETCH = [f"s{k}" for k in range(WORDS)]
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -158,37 +164,58 @@ def per_text(docs: DataFrame, schema: str, make) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def set_digests(b: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
-    raw = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([*(column(b, c) for c in ("u", "doc_id", "h")), pa.array([len(s) for s in sets], pa.int64()), pa.array(raw[:, 0]), pa.array(raw[:, 1])],
-                                      ["u", "doc_id", "h", "n", "d1", "d2"])
+def digest(s: np.ndarray, key: int) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16, salt=key.to_bytes(8, "little")).digest()
+
+
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of ``WORDS`` words for each set: the parities of its shingles by their last bits."""
+    bits = 64 * WORDS
+    place = np.concatenate([np.empty(0, np.int64), *sets]) & (bits - 1)
+    place += np.repeat(np.arange(len(sets)) * bits, [len(s) for s in sets])
+    odd = (np.bincount(place, minlength=bits * len(sets)) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(-1, WORDS)
+
 
+def set_digests(key: int) -> Callable[[pa.RecordBatch, list[np.ndarray]], pa.RecordBatch]:
+    def make(b: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
+        raw = np.frombuffer(b"".join(digest(s, key) for s in sets), np.int64).reshape(-1, 2)
+        sizes = np.array([len(s) for s in sets], np.int64)
+        words = sketches(sets)
+        return pa.RecordBatch.from_arrays([*(column(b, c) for c in ("u", "doc_id", "h")), pa.array(sizes), pa.array(raw[:, 0], mask=sizes == 0), pa.array(raw[:, 1]),
+                                           *(pa.array(words[:, k]) for k in range(WORDS))], ["u", "doc_id", "h", "n", "cid", "d2", *SKETCH])
 
-def fresh_sets(b: pa.RecordBatch, sets: list[np.ndarray], seen: set[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(rows, sets) of a slice whose set the task has not had yet: equal sets are one point, so a group of copies
+    return make
+
+
+def fresh_sets(sets: list[np.ndarray], seen: set[bytes], key: int = 0) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(names, sets) of the sets of a slice that the task has not had yet: equal sets are one point, so a group of copies
     sends one row of each of its regions per task. ``seen`` holds digests, a bounded number of them."""
-    rows = []
-    for i, s in enumerate(sets):
-        if len(s) and (d := hashlib.blake2b(s.tobytes(), digest_size=16).digest()) not in seen:
+    names, fresh = [], []
+    for s in sets:
+        if len(s) and (d := digest(s, key)) not in seen:
             if len(seen) >= MAX_SEEN:
                 seen.clear()
             seen.add(d)
-            rows.append(i)
-    return np.array(rows, np.int64), [sets[i] for i in rows]
+            names.append(d[:8])
+            fresh.append(s)
+    return np.frombuffer(b"".join(names), np.int64), fresh
 
 
-def region_rows(docs: DataFrame, large: np.ndarray, rank: np.ndarray) -> DataFrame:
-    """Rows (shingle, u) of the regions of each text."""
+def region_rows(docs: DataFrame, large: np.ndarray, rank: np.ndarray, key: int) -> DataFrame:
+    """Rows (shingle, point, its size, the shingle's place in it) of the regions of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for big in batches:
             for b in slices(big, "text", SLICE_BYTES):
-                rows, sets = fresh_sets(b, shingle_sets(column(b, "text")), seen)
-                own = [first_shingles(s, large, rank) for s in sets]
-                at = pa.array(np.repeat(rows, [len(x) for x in own]) if len(rows) else rows)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own) if own else np.empty(0, np.int64), pa.int64()), column(b, "u").take(at)], ["g", "u"])
+                names, sets = fresh_sets(shingle_sets(column(b, "text")), seen, key)
+                if len(sets):
+                    own = [first_shingles(s, large, rank) for s in sets]
+                    k = [len(x) for x in own]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(own), np.repeat(names, k), np.repeat([len(s) for s in sets], k),
+                                                                            np.concatenate([np.arange(x) for x in k]))], ["g", "cid", "n", "i"])
 
-    return docs.mapInArrow(run, "g long, u long")
+    return docs.select("text").mapInArrow(run, "g long, cid long, n long, i long")
 
 
 def common_shingles(docs: DataFrame) -> DataFrame:
@@ -207,7 +234,7 @@ def common_shingles(docs: DataFrame) -> DataFrame:
 
         for big in batches:
             for b in slices(big, "text", SLICE_BYTES):
-                _, sets = fresh_sets(b, shingle_sets(column(b, "text")), seen)
+                _, sets = fresh_sets(shingle_sets(column(b, "text")), seen)
                 held += [s[:int(prefix_size(len(s)) * 0.6) + 1] for s in sets]
                 if sum(map(len, held)) > MAX_HELD:
                     yield told()
@@ -216,66 +243,85 @@ def common_shingles(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where(F.col("n") > LARGE)
 
 
-def points(docs: DataFrame) -> DataFrame:
-    """Per row: u (its key), doc_id, h (hash of the text), n, cid (its point: the rows with an equal set); saved."""
-    rows = saved(per_text(docs, "u long, doc_id long, h long, n long, d1 long, d2 long", set_digests), "shingle-sets")
-    classes = saved(rows.where("n > 0").groupBy("d1", "d2").agg(F.min("u").alias("rep")).withColumn("cid", F.monotonically_increasing_id()), "points")
-    return saved(rows.join(classes, ["d1", "d2"], "left").select("u", "doc_id", "h", "n", "cid", (F.col("u") == F.col("rep")).alias("is_rep")), "point-rows")
+def points(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(rows, points, key of their names). Per row: doc_id, h (hash of the text), n, cid (its point: the rows with an equal set,
+    null without words). Per point: cid, n, u and h of a text that has the set (rows of one u may differ in text), sketch."""
+    for key in count():
+        rows = saved(per_text(docs, "u long, doc_id long, h long, n long, cid long, d2 long, " + ", ".join(f"{c} long" for c in SKETCH), set_digests(key)), "shingle-sets")
+        made = rows.where("n > 0").groupBy("cid").agg(F.min(F.struct("u", "h")).alias("rep"), (F.min("d2") < F.max("d2")).alias("clash"), *(F.min(c).alias(c) for c in ("n", *SKETCH)))
+        classes = saved(made.select("cid", "n", "rep.u", "rep.h", *SKETCH, "clash"), "points")
+        if classes.where("clash").isEmpty():
+            return rows.select("doc_id", "h", "n", "cid"), classes.drop("clash"), key
 
 
-def regions(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(g, cid, n): the points of each region that has two or more; saved."""
+def regions(docs: DataFrame, key: int) -> DataFrame:
+    """(g, cid, n, i, q, qn, qi, more): the points of each region of two or more but its first pivot q, and whether there are others; saved."""
     counts = saved(common_shingles(docs), "common-shingles")
     most = sorted((r["g"], r["n"]) for r in counts.orderBy(F.desc("n"), "g").limit(MAX_LARGE).collect())
     large = np.array([g for g, _ in most], np.int64)
     order = np.lexsort((large, np.array([n for _, n in most], np.int64)))
     rank = np.empty(len(large), np.int64)
     rank[order] = np.arange(len(large))
-    from pyspark.sql import Window
+    w = Window.partitionBy("g").orderBy("cid")
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Rows of one point, from several tasks, stand together; the last one stays.
+    rows = region_rows(docs, large, rank, key).select("g", "cid", "n", "i", *(F.first(c).over(so_far).alias(q) for c, q in (("cid", "q"), ("n", "qn"), ("i", "qi"))),
+                                                      F.lead("cid").over(w).alias("after"), F.dense_rank().over(w).alias("place"))
+    rows = rows.where((F.col("cid") != F.col("q")) & (F.col("after").isNull() | (F.col("after") != F.col("cid"))))
+    return saved(rows.select("g", "cid", "n", "i", "q", "qn", "qi", (F.col("after").isNotNull() | (F.col("place") > 2)).alias("more")), "regions")
+
 
-    w = Window.partitionBy("g").orderBy("u")
-    all_rows = region_rows(docs, large, rank)
-    shared = saved(all_rows.withColumn("near", F.lag("u").over(w).isNotNull() | F.lead("u").over(w).isNotNull()).where("near").select("g", "u"), "regions")
-    point = rows.where("cid is not null").groupBy("u", "cid").agg(F.max("n").alias("n"))
-    named = saved(shared.join(saved(point, "point-keys"), "u").select("g", "cid", "n").distinct(), "region-points")
-    sizes = saved(named.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("g"), "region-sizes")
-    return saved(named.join(sizes, "g"), "region-rows")
+def may_be_near(n: Column, m: Column) -> Column:
+    """The bound by the sizes of two points."""
+    return MUCH * F.least(n, m) >= LEAST * F.greatest(n, m)
 
 
-def distinct_regions(rows: DataFrame) -> DataFrame:
-    """One region of each set of members: (g, k members, lo, hi)."""
-    h = F.xxhash64("cid")
-    sign = rows.groupBy("g").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "cid")).alias("y"),
-                                 F.min("cid").alias("lo"), F.max("cid").alias("hi"))
-    return sign.groupBy("k", "x", "y", "lo", "hi").agg(F.min("g").alias("g")).select("g", "k", "lo", "hi")
+def may_meet(n: Column, i: Column, m: Column, j: Column) -> Column:
+    """The bounds by the sizes and by the places of the first shingle that both have: no more than follow it are common."""
+    least = LEAST * (n + m)
+    return may_be_near(n, m) & ((MUCH + LEAST) * (n - i) >= least) & ((MUCH + LEAST) * (m - j) >= least)
+
+
+def alike(n: Column, m: Column, words: list[tuple[Column, Column]]) -> Column:
+    """The bound by the sketches."""
+    differ = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in words), F.lit(0))
+    return (MUCH + LEAST) * differ <= (MUCH - LEAST) * (n + m)
+
+
+def named(df: DataFrame, prefix: str, *kept: str) -> DataFrame:
+    """The columns with a prefix, but those that are ``kept``."""
+    return df.select(*(F.col(c).alias(c if c in kept else prefix + c) for c in df.columns))
 
 
 class Comparer:
-    """Compares pairs of points exactly, after the two bounds."""
+    """Compares pairs of points exactly, after the bounds by sizes and sketches."""
 
-    def __init__(self, docs: DataFrame, point_rows: DataFrame, region_rows: DataFrame):
-        self.sizes = saved(region_rows.groupBy("cid").agg(F.max("n").alias("n"), F.collect_list("g").alias("gs")), "point-regions")
-        # A key and hash of a text that has the point's set (rows of one key may differ in text).
-        reps = point_rows.where("is_rep").groupBy("u", "cid").agg(F.min("h").alias("h")).join(self.sizes.select("cid"), "cid")
-        # Always a merge join: the representatives grow with the documents.
-        text = docs.select("u", "h", "text").join(saved(reps, "representatives").hint("merge"), ["u", "h"])
-        self.texts = saved(text.dropDuplicates(["cid"]).select("cid", "text"), "point-texts")
+    def __init__(self, docs: DataFrame, classes: DataFrame):
+        self.docs, self.classes = docs, classes
 
     def distances(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, d) of the pairs (a saved table) that pass the bounds; saved."""
-        a, b = (self.sizes.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("gs").alias(f"g{c}")) for c in "ab")
+        """(a, b, link) of the pairs (a saved table) that pass the bounds; saved."""
+        a, b = (named(self.classes.select("cid", "n", *SKETCH), c).withColumnRenamed(f"{c}cid", c) for c in "ab")
         # Few pairs (the later rounds): only the rows of their points move.
         if few(pairs):
             a, b = (x.join(F.broadcast(pairs.select(c).distinct()), c) for x, c in ((a, "a"), (b, "b")))
-        close = (pairs.join(a, "a").join(b, "b").where(MUCH * F.least("na", "nb") >= LEAST * F.greatest("na", "nb"))
-                 .withColumn("common", F.size(F.array_intersect("ga", "gb"))))
-        beyond = F.floor(LEAST * F.greatest("na", "nb") / MUCH)
-        close = saved(close.where((MUCH + LEAST) * (F.col("common") + beyond) >= LEAST * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb"), "close-pairs")
-        ta, tb = (self.texts.select(F.col("cid").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
+        na, nb = F.col("an"), F.col("bn")
+        close = pairs.join(a, "a").join(b, "b").where(may_be_near(na, nb) & alike(na, nb, [(F.col(f"a{c}"), F.col(f"b{c}")) for c in SKETCH]))
+        close = saved(close.select("a", "b", na.alias("na"), nb.alias("nb")), "close-pairs")
+        texts = self.texts(close)
+        ta, tb = (texts.select(F.col("cid").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
         if few(close):
             ta, tb = (x.join(F.broadcast(close.select(c).distinct()), c) for x, c in ((ta, "a"), (tb, "b")))
         rows = close.join(ta, "a").join(tb, "b")
-        return saved(rows.select("a", "b", "na", "nb", "ta", "tb").mapInArrow(compare, "a long, b long, d double, link boolean"), "distances")
+        return saved(rows.select("a", "b", "na", "nb", "ta", "tb").mapInArrow(compare, "a long, b long, link boolean"), "distances")
+
+    def texts(self, close: DataFrame) -> DataFrame:
+        """(cid, text): a text of each point of some pairs; saved."""
+        asked = close.select(F.col("a").alias("cid")).union(close.select(F.col("b").alias("cid"))).distinct()
+        reps = saved(self.classes.select("cid", "u", "h").join(asked, "cid"), "representatives")
+        # Where they are many, a merge join: they grow with the documents.
+        own = F.broadcast(reps) if few(reps) else reps.hint("merge")
+        return saved(self.docs.select("u", "h", "text").join(own, ["u", "h"]).dropDuplicates(["cid"]).select("cid", "text"), "point-texts")
 
 
 def few(table: DataFrame) -> bool:
@@ -284,7 +330,7 @@ def few(table: DataFrame) -> bool:
 
 
 def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The exact distance of each pair of texts; the sets of a batch's distinct points are made together."""
+    """Whether each pair of texts links; the sets of a batch's distinct points are made together."""
     for big in batches:
         for b in slices(big, "ta", SLICE_BYTES):
             text = dict(zip(column(b, "a").to_pylist(), column(b, "ta").to_pylist(), strict=True)) | dict(zip(column(b, "b").to_pylist(), column(b, "tb").to_pylist(), strict=True))
@@ -295,9 +341,8 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 u, v = sets[x], sets[y]
                 both = int((v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u).sum())
                 union = size[x] + size[y] - both
-                rows.append((x, y, 1 - both / union, MUCH * both >= LEAST * union))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.bool_()), strict=True)],
-                                             ["a", "b", "d", "link"])
+                rows.append((x, y, MUCH * both >= LEAST * union))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.bool_()), strict=True)], ["a", "b", "link"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -316,55 +361,41 @@ def components(edges: DataFrame) -> DataFrame:
         labels = saved(step.select("cid", "c").join(own, "c").select("cid", F.least("c", "up").alias("c")), "labels")
 
 
-def region_links(docs: DataFrame, point_rows: DataFrame) -> DataFrame | None:
-    """(cid, c) of all linked points; None if no region has two points."""
-    rows = regions(docs, point_rows)
-    if rows.isEmpty():
-        return None
-    groups = saved(distinct_regions(rows), "region-groups")
-    comparer = Comparer(docs, point_rows, rows)
-    # Regions of two points are their pair; the others are joined by pivots.
-    done = comparer.distances(saved(groups.where("k = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).distinct(), "pairs"))
-    members = saved(rows.join(groups.where("k > 2").select("g"), "g").select("g", "cid", "n"), "region-members")
-    used, near, labels, turn = None, None, components(done.where("link")), 0
-    while True:
-        now = members.join(labels, "cid", "left").withColumn("c", F.coalesce("c", "cid"))
-        if used is not None:
-            now = now.join(used.withColumn("used", F.lit(True)), ["g", "cid"], "left")
+def region_links(docs: DataFrame, classes: DataFrame, key: int) -> DataFrame | None:
+    """(cid, c) of all linked points; None if there are none."""
+    rows = regions(docs, key)
+    comparer = Comparer(docs, classes)
+    n, i, m, j = (F.col(c) for c in ("n", "i", "qn", "qi"))
+    pairs = rows.where(may_meet(n, i, m, j)).select(F.least("cid", "q").alias("a"), F.greatest("cid", "q").alias("b")).distinct()
+    done = comparer.distances(saved(pairs, "pairs"))
+    labels = None if done.where("link").isEmpty() else components(done.where("link"))
+    # Regions of two points are done; the first pivots have been compared with all.
+    now = rows.where("more").select("g", "cid", "n", "i")
+    for many in (PIVOTS, PIVOTS * MORE_PIVOTS, None):
+        now = now.withColumn("c", F.col("cid")) if labels is None else now.join(labels, "cid", "left").withColumn("c", F.coalesce("c", "cid"))
+        mixed = saved(now.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("g"), "mixed-regions")
+        now = now.join(mixed, "g")
+        if SKETCH[0] not in now.columns:
+            now = now.join(classes.select("cid", *SKETCH), "cid")
+        now = saved(now, "region-state")
+        if now.isEmpty():
+            break
+        if many is None:
+            others, once = now, F.col("cid") < F.col("qcid")
         else:
-            now = now.withColumn("used", F.lit(None).cast("boolean"))
-        now = saved(now.select("g", "cid", "n", "c", F.coalesce("used", F.lit(False)).alias("used")), "region-state")
-        groups_in = saved(now.groupBy("g", "c").agg(F.count(F.lit(1)).alias("size")), "region-components")
-        largest = groups_in.groupBy("g").agg(F.max(F.struct("size", "c")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("g", F.col("top.c").alias("top"))
-        open_ = now.where("not used").join(groups_in, ["g", "c"]).join(saved(largest, "region-largest"), "g").where("c <> top")
-        # More pivots in every round: a group of near copies is done after the first ones, while
-        # regions of unlike points need all of theirs, in few rounds.
-        # The draw goes by point alone, so that regions of nearly the same points take the same pivots: a group of copies
-        # lies in a region for each shingle of its prefixes, and pivots of each region's own would soon be all its points.
-        salt = F.pmod(F.xxhash64(F.lit(7), "cid"), F.lit(PIVOTS * 4 ** min(turn, 8)))
-        turn += 1
-        pivots = (open_.groupBy("g", salt.alias("salt")).agg(F.min(F.struct("size", F.xxhash64("cid").alias("h"), "cid", "c", "n")).alias("p"))
-                  .select("g", F.col("p.cid").alias("q"), F.col("p.c").alias("qc"), F.col("p.n").alias("qn")))
-        pivots = saved(pivots, "pivots")
-        if pivots.isEmpty():
-            return labels
-        pairs = (now.join(pivots, "g").where((F.col("c") != F.col("qc")) & (MUCH * F.least("n", "qn") >= LEAST * F.greatest("n", "qn")))
-                 .select(F.col("cid").alias("x"), "q").distinct())
-        if near is not None:
-            # The window of each Voronoi cell: pivots too far from or near to its centre stay out.
-            cell = near.groupBy(F.col("x")).agg(F.min(F.struct("d", "p")).alias("v")).select("x", F.col("v.p").alias("p"), F.col("v.d").alias("dx"))
-            pairs = (pairs.join(saved(cell, "cells"), "x", "left").join(near.select(F.col("x").alias("q"), "p", F.col("d").alias("dq")), ["q", "p"], "left")
-                     .where(F.col("dq").isNull() | (F.abs(F.col("dx") - F.col("dq")) <= 1 - LEAST / MUCH + 1e-9)))
-        pairs = saved(pairs.select(F.least("x", "q").alias("a"), F.greatest("x", "q").alias("b")).distinct(), "pairs")
-        fresh = comparer.distances(saved(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), "new-pairs"))
+            # The draw goes by point alone: regions of nearly the same points take the same pivots.
+            salt = F.pmod(F.xxhash64("cid"), F.lit(many)).alias("salt")
+            drawn = now.groupBy("g", salt).agg(F.min("cid").alias("cid")).select("g", "cid")
+            others, once = now.join(drawn, ["g", "cid"]), F.col("cid") != F.col("qcid")
+        both = now.join(named(others, "q", "g"), "g").where(
+            once & (F.col("c") != F.col("qc")) & may_meet(n, i, m, j) & alike(n, m, [(F.col(c), F.col(f"q{c}")) for c in SKETCH]))
+        pairs = both.select(F.least("cid", "qcid").alias("a"), F.greatest("cid", "qcid").alias("b")).distinct()
+        fresh = comparer.distances(saved(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs"))
         done = saved(done.unionByName(fresh), "compared")
-        used = pivots.select("g", F.col("q").alias("cid")) if used is None else used.unionByName(pivots.select("g", F.col("q").alias("cid")))
-        used = saved(used, "used-pivots")
-        centres = saved(used.select(F.col("cid").alias("p")).distinct(), "centres")
-        either = done.select(F.col("a").alias("x"), F.col("b").alias("p"), "d").unionByName(done.select(F.col("b").alias("x"), F.col("a").alias("p"), "d"))
-        near = saved(either.join(centres, "p").select("x", "p", "d"), "pivot-distances")
         if not fresh.where("link").isEmpty():
             labels = components(done.where("link"))
+        now = now.drop("c")
+    return labels
 
 
 def prepared(docs: DataFrame) -> DataFrame:
@@ -376,10 +407,10 @@ def prepared(docs: DataFrame) -> DataFrame:
 def linked(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, h (hash of the text), n_shingles, c (its component, null without words); saved."""
     docs = prepared(docs)
-    rows = points(docs)
-    labels = region_links(docs, rows)
-    named = rows.withColumn("c", F.col("cid")) if labels is None else rows.join(labels, "cid", "left").withColumn("c", F.coalesce("c", "cid"))
-    return saved(named.select("doc_id", "h", F.col("n").alias("n_shingles"), "c"), "labelled-rows")
+    rows, classes, key = points(docs)
+    labels = region_links(docs, classes, key)
+    rows = rows.withColumn("c", F.col("cid")) if labels is None else rows.join(labels, "cid", "left").withColumn("c", F.coalesce("c", "cid"))
+    return saved(rows.select("doc_id", "h", F.col("n").alias("n_shingles"), "c"), "labelled-rows")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

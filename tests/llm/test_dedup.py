@@ -297,3 +297,25 @@ def test_near_copies_are_compared_with_few_pivots(spark, monkeypatch):
     monkeypatch.setattr(jaccard.Comparer, "distances", lambda self, pairs: counts.append(pairs.count()) or distances(self, pairs))
     assert {r["component_id"] for r in jaccard.near_duplicates(docs).collect()} == {0}
     assert sum(counts) < 100 * 30
+
+
+def test_unlike_points_of_a_region_are_told_apart_by_the_bounds(spark, monkeypatch):
+    """Much in common, but not enough to link: the pairs would grow with the square of the group."""
+    r = random.Random(11)
+    words = [f"w{i}" for i in range(70)]
+    docs = spark.createDataFrame([(i, " ".join(f"x{i}_{j}" if j in gone else w for j, w in enumerate(words))) for i in range(150) for gone in [r.sample(range(70), 4)]], "doc_id long, text string")
+    counts, distances = [], jaccard.Comparer.distances
+    monkeypatch.setattr(jaccard.Comparer, "distances", lambda self, pairs: counts.append(pairs.count()) or distances(self, pairs))
+    got = sorted(map(tuple, jaccard.near_duplicates(docs).collect()), key=repr)
+    assert got == sorted(brute_components([tuple(r) for r in docs.collect()]), key=repr)
+    assert sum(counts) < 150 * 10
+
+
+def test_sketches_never_tell_more_than_differs():
+    rng = np.random.default_rng(3)
+    base = rng.integers(-1 << 62, 1 << 62, 900)
+    sets = [np.unique(np.concatenate([base[:k], rng.integers(-1 << 62, 1 << 62, m)])) for k, m in ((900, 0), (880, 9), (500, 2), (0, 1), (0, 0), (3, 2000))]
+    bits = np.unpackbits(jaccard.sketches(sets).view(np.uint8), axis=1).astype(int)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            assert np.abs(bits[i] - bits[j]).sum() <= len(np.setxor1d(x, y))
