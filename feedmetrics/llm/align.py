@@ -34,8 +34,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.bpe import LINE, PieceEncoder, _read, byte_letters, flat_ids, release
-from feedmetrics.llm.common import column, plain_text, saved, slices
+from feedmetrics.llm.bpe import LINE, PieceEncoder, _read, byte_letters, flat_ids
+from feedmetrics.llm.common import column, only, plain_text, release, saved, slices, worker_cache
 from feedmetrics.llm.token_files import LibraryEncoder
 
 SPACE = "▁"
@@ -230,12 +230,12 @@ CHUNK = ("chunk long, doc_id array<long>, " + ", ".join(f"{c} array<long>" for c
          + ", ".join(f"{c} binary" for c in PACKED) + ", pairs array<long>, docs array<long>")
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
-_loaded: dict[str, Aligner] = {}
+_loaded: dict[str, Aligner] = worker_cache()
 
 
 def aligner(file_a: bytes, file_b: bytes) -> Aligner:
     key = hashlib.sha256(file_a + file_b).hexdigest()
-    if key not in _loaded:
+    if key not in only(_loaded):
         _loaded[key] = Aligner(file_a, file_b)
     return _loaded[key]
 

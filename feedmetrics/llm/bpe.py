@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from feedmetrics.llm.common import column, plain_text, slices
+from feedmetrics.llm.common import column, only, plain_text, release, slices, worker_cache
 
 NEVER = np.int64(1 << 40)
 #: Bytes of a word beyond which it is merged by itself.
@@ -423,13 +423,13 @@ class Memory(RuleEncoder):
         return [data[a:b] for a, b in zip(at, at[1:])]  # noqa: B905
 
 
-_loaded: dict[str, Memory] = {}
+_loaded: dict[str, Memory] = worker_cache()
 
 
 def memory(file: bytes) -> Memory:
     """The worker's encoder for a tokenizer file (built once per Python worker)."""
     key = hashlib.sha256(file).hexdigest()
-    if key not in _loaded:
+    if key not in only(_loaded):
         _loaded[key] = Memory(file)
     return _loaded[key]
 
@@ -496,11 +496,6 @@ def decode(rows: DataFrame, tokenizer_path: str, ids_col: str = "ids", text_col:
     return keep.mapInArrow(run, StructType([*keep.schema.fields]).add(text_col, StringType()))
 
 
-def release() -> None:
-    """At the end of a task: give free memory back, since the worker may stay alive beside later stages."""
-    pa.default_memory_pool().release_unused()
-
-
 def _read(path: str) -> bytes:
     """The tokenizer file; it is read once here and sent with the tasks (about 1.5 MB)."""
     with open(path, "rb") as f:

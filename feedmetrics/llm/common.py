@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -70,6 +72,35 @@ def plain_text(texts: pa.Array) -> pa.Array:
     return pc.fill_null(texts, "").take(pa.array(np.arange(len(texts)))).cast(pa.large_string())
 
 
+_caches: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """A new cache for what an operator keeps in a Python worker from task to task."""
+    _caches.append({})
+    return _caches[-1]
+
+
+def only(cache: dict) -> dict:
+    """``cache``, with all others emptied: a worker serves one stage after the other, and only this one's models are of use now."""
+    others = [c for c in _caches if c is not cache and c]
+    for c in others:
+        c.clear()
+    if others:
+        gc.collect()
+        release()
+    return cache
+
+
+def release() -> None:
+    """At the end of a task: give free memory back, Arrow's and that of the C library, since the worker may stay alive beside later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # no glibc
+        pass
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

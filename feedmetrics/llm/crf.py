@@ -35,8 +35,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.bpe import Recent, release
-from feedmetrics.llm.common import column, plain_text, slices
+from feedmetrics.llm.bpe import Recent
+from feedmetrics.llm.common import column, only, plain_text, release, slices, worker_cache
 
 #: Weight rows that features are hashed to.
 ROWS = 1 << 16
@@ -265,13 +265,13 @@ def learn(docs: DataFrame, buckets: int = 400, sample_chars: int = 3000) -> Fiel
     return fit(found) if found else Field([], {}, np.zeros((1, 0)), np.zeros(0), np.zeros((0, 0)))
 
 
-_fields: dict[int, tuple[Field, Recent]] = {}
+_fields: dict[int, tuple[Field, Recent]] = worker_cache()
 
 
 def loaded(blob: bytes) -> tuple[Field, Recent]:
     """The worker's field, with the label weights of recent chunks of text."""
     key = zlib.crc32(blob)
-    if key not in _fields:
+    if key not in only(_fields):
         field = pickle.loads(zlib.decompress(blob))
         _fields.clear()
         _fields[key] = field, Recent(field.emissions, REMEMBERED_BYTES)

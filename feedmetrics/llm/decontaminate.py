@@ -45,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.common import column, plain_text, saved, slices
+from feedmetrics.llm.common import column, only, plain_text, release, saved, slices
 
 SEGMENT, WINDOW, BLOCK, SHINGLE = 64, 128, 8, 5
 K1, B = 1.2, 0.75
@@ -271,6 +271,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, threshold: float = 0.6, ove
 
     def scan(index: Index) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            only({})
             for big in batches:
                 for b in slices(big, "text", 2 << 20):
                     hits = find(index, column(b, "text"), threshold, overlap)
@@ -279,6 +280,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, threshold: float = 0.6, ove
                         yield pa.RecordBatch.from_arrays([column(b, "id").take(pa.array(r)), pa.array([index.items[i] for i in k], pa.int64()),
                                                           *(pa.array(x, pa.float64()) for x in numbers)],
                                                          ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+            release()
 
         return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
@@ -297,11 +299,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, threshold: float = 0.6,
     """The documents without a leak, with all their columns."""
     for index in indexes(items, item_id, item_text, question_col, answer_col):
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
+            only({})
             for big in batches:
                 for b in slices(big, text_col, 2 << 20):
                     keep = np.ones(b.num_rows, bool)
                     keep[[h[0] for h in find(index, column(b, text_col), threshold, overlap)]] = False
                     yield b.filter(pa.array(keep))
+            release()
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

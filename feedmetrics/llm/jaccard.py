@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmetrics.llm import common
-from feedmetrics.llm.common import column, plain_text, slices
+from feedmetrics.llm.common import column, only, plain_text, release, slices
 
 #: Words of a shingle.
 N = 5
@@ -157,9 +157,11 @@ def first_shingles(s: np.ndarray, large: np.ndarray, rank: np.ndarray) -> np.nda
 def per_text(docs: DataFrame, schema: str, make) -> DataFrame:
     """mapInArrow over (u, doc_id, text) with ``make`` from (slice, its sets) to a record batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only({})
         for big in batches:
             for b in slices(big, "text", SLICE_BYTES):
                 yield make(b, shingle_sets(column(b, "text")))
+        release()
 
     return docs.mapInArrow(run, schema)
 
@@ -214,6 +216,7 @@ def region_rows(docs: DataFrame, large: np.ndarray, rank: np.ndarray, key: int)
                     k = [len(x) for x in own]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(own), np.repeat(names, k), np.repeat([len(s) for s in sets], k),
                                                                             np.concatenate([np.arange(x) for x in k]))], ["g", "cid", "n", "i"])
+        release()
 
     return docs.select("text").mapInArrow(run, "g long, cid long, n long, i long")
 
@@ -239,6 +242,7 @@ def common_shingles(docs: DataFrame) -> DataFrame:
                 if sum(map(len, held)) > MAX_HELD:
                     yield told()
         yield told()
+        release()
 
     return docs.mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where(F.col("n") > LARGE)
 
@@ -343,6 +347,7 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 union = size[x] + size[y] - both
                 rows.append((x, y, MUCH * both >= LEAST * union))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.bool_()), strict=True)], ["a", "b", "link"])
+    release()
 
 
 def components(edges: DataFrame) -> DataFrame:

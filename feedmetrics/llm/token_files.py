@@ -29,8 +29,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.bpe import AT_ONCE, LINE, SLICE_BYTES, WORD, RuleEncoder, bare_text, flat_ids, release
-from feedmetrics.llm.common import Folder, column, slices
+from feedmetrics.llm.bpe import AT_ONCE, LINE, SLICE_BYTES, WORD, RuleEncoder, bare_text, flat_ids
+from feedmetrics.llm.common import Folder, column, only, release, slices, worker_cache
 from feedmetrics.session import fresh_path
 
 #: Bytes of pieces that a worker remembers in each of two generations: the library is slow on new ones.
@@ -75,12 +75,12 @@ class LibraryEncoder(RuleEncoder):
         return [done[k] for k in keys]
 
 
-_encoder: dict[int, LibraryEncoder] = {}
+_encoder: dict[int, LibraryEncoder] = worker_cache()
 
 
 def encoder(file: bytes) -> LibraryEncoder:
     key = zlib.crc32(file)
-    if key not in _encoder:
+    if key not in only(_encoder):
         _encoder[key] = LibraryEncoder(file)
     return _encoder[key]
 

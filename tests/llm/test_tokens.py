@@ -153,3 +153,22 @@ def test_any_chunk_is_read_alone(spark, scratch):
 
 def test_empty_table_gives_no_files(spark, scratch):
     assert token_files.token_file_digests(rows(spark).limit(0), tokenizer_path(), f"{scratch}/e").count() == 0
+
+
+def test_a_worker_keeps_the_models_of_one_operator():
+    """A pipeline's stages run in the same Python workers, one after the other."""
+    import pickle
+
+    from feedmetrics.llm import crf
+
+    blob = zlib.compress(pickle.dumps(crf.Field([], {}, np.zeros((1, 0)), np.zeros(0), np.zeros((0, 0)))))
+    with open(tokenizer_path(), "rb") as f:
+        file = f.read()
+    field = crf.loaded(blob)
+    assert crf.loaded(blob) is field
+    own = bpe.memory(file)
+    assert not crf._fields and bpe.memory(file) is own
+    token_files.encoder(file)
+    assert not bpe._loaded and token_files._encoder
+    crf.loaded(blob)
+    assert not token_files._encoder and crf._fields
