@@ -229,6 +229,9 @@ PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 BEYOND = regex.compile("[^\\x00-\u017f]")
 # Kinds of remembered pieces: what stands before a run of non-space characters.
 LINE, START, WORD, NEAR = "\n", "\r", "\v", "\x02"
+#: Keys of pieces without a run (an empty text is one). Joined to others by line feeds they would make one word of the
+#: white space around them, so they are encoded by themselves.
+BARE = frozenset({"", LINE, START, NEAR})
 #: Texts that are not cut at white space: some other white space than single spaces and line
 #: feeds between other characters.
 UNEVEN = "^[ \\n]|[ \\n]$|[ \\n][ \\n]|[\\x02\\t\\x0b\\f\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
@@ -248,6 +251,12 @@ def bare_text(key: str) -> str:
     return key[1:] if key[:1] == LINE else piece_text(key)
 
 
+def apart(keys: list[str]) -> tuple[list[str], list[str]]:
+    """(keys encoded by themselves, keys of runs that may be joined by line feeds)."""
+    alone = [k for k in keys if k[:1] == WORD or k in BARE]
+    return alone, [k for k in keys if k[:1] != WORD and k not in BARE]
+
+
 class Recent:
     """Values (bytes) by key in two generations: when the younger is full it becomes the older.
 

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.bpe import AT_ONCE, LINE, SLICE_BYTES, WORD, RuleEncoder, bare_text, flat_ids
+from feedmetrics.llm.bpe import AT_ONCE, LINE, SLICE_BYTES, RuleEncoder, apart, bare_text, flat_ids, piece_text
 from feedmetrics.llm.common import Folder, column, only, release, slices, worker_cache
 from feedmetrics.session import fresh_path
 
@@ -55,10 +55,9 @@ class LibraryEncoder(RuleEncoder):
 
     def compute(self, keys: list[str]) -> list[bytes]:
         done: dict[str, bytes] = {}
-        words = [k for k in keys if k[:1] == WORD]
-        for k, e in zip(words, self.tokenizer.encode_batch_fast([k[1:] for k in words], add_special_tokens=False), strict=True):
+        alone, runs = apart(keys)
+        for k, e in zip(alone, self.tokenizer.encode_batch_fast([piece_text(k) for k in alone], add_special_tokens=False), strict=True):
             done[k] = array("I", e.ids).tobytes()
-        runs = [k for k in keys if k[:1] != WORD]
         line = array("I", [self.line]).tobytes()
         for at in range(0, len(runs), AT_ONCE):
             some = runs[at:at + AT_ONCE]
