@@ -404,8 +404,9 @@ class Memory(RuleEncoder):
         self.bytes_of = pa.array(self.bpe.bytes_of, pa.large_binary())
 
     def compute(self, keys: list[str]) -> Iterator[bytes]:
-        split: list[list[str]] = [[k[1:]] for k in keys if k[:1] == WORD]
-        runs = sorted([k for k in keys if k[:1] != WORD], key=lambda k: BEYOND.search(k) is not None)
+        alone, runs = apart(keys)
+        split: list[list[str]] = [[w] if (w := piece_text(k)) else [] for k in alone]
+        runs.sort(key=lambda k: BEYOND.search(k) is not None)
         for at in range(0, len(runs), AT_ONCE):
             some = runs[at:at + AT_ONCE]
             # Joined by line feeds, which are words of their own between pieces.
@@ -419,7 +420,7 @@ class Memory(RuleEncoder):
             split += [["\n", *p] if k[:1] == LINE else p for k, p in zip(some, parts, strict=True)]
         words = list({w for s in split for w in s})
         ids = dict(zip(words, self.bpe.encode_words([w.encode() for w in words]), strict=True))
-        found = dict(zip([*(k for k in keys if k[:1] == WORD), *runs], split, strict=True))
+        found = dict(zip([*alone, *runs], split, strict=True))
         return (b"".join([ids[w] for w in found[k]]) for k in keys)
 
     def texts_of(self, ids: pa.LargeBinaryArray, table: pa.LargeBinaryArray) -> list[memoryview]:

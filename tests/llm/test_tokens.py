@@ -109,6 +109,15 @@ def test_token_files_take_empty_texts_between_new_pieces(library):
         assert own.compute([*keys]) == [array("I", want(library, bpe.piece_text(k))).tobytes() for k in keys]
 
 
+def test_digests_take_empty_texts_between_new_pieces(library):
+    with open(tokenizer_path(), "rb") as f:
+        own = bpe.Memory(f.read())
+    assert ids_of(own, SEEN) == [want(library, t) for t in SEEN]
+    assert ids_of(own, BETWEEN) == [want(library, t or "") for t in BETWEEN]
+    for keys in itertools.permutations(["", "\n", "\r", "\x02", "a", "\nb", "\rc", "\x02.", "\vd"], 5):
+        assert [*own.compute([*keys])] == [array("I", want(library, bpe.piece_text(k))).tobytes() for k in keys]
+
+
 def rows(spark):
     data = [(3, "b a", 1), (1, None, 2), (2, "", 3), (1, "dup", 4), (1, "dup", 4), (None, "no id", 5), (7, "long word " * 20000, 6)] + [(100 + i, t, 0) for i, t in enumerate(ODD)]
     return spark.createDataFrame(data, "doc_id long, text string, n_tokens int")
